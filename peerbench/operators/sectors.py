@@ -31,7 +31,7 @@ def with_sector_name(universe: DataFrame) -> DataFrame:
 def screen(universe: DataFrame, code: str | None = None, currency: str = "USD") -> DataFrame:
     """Active, public, primary listings in one currency, of one sector or all."""
     rows = universe.where(
-        F.col("active") & F.col("public") & F.col("primary") & (F.col("curn") == currency)
+        F.col("is_active") & F.col("is_public") & F.col("is_primary") & (F.col("curn") == currency)
     )
     return rows if code is None else rows.where(F.col("sector_code") == code)
 

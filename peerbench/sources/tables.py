@@ -15,8 +15,8 @@ SCHEMAS = {
     "metrics": "id string, file string, file_ord int, sheet string, sheet_ord int, "
     "row_idx bigint, col_ord int, header string, value string",
     "vendor": "id string, field string, fy int, value string, ord bigint",
-    "universe": "id string, sector_code string, active boolean, public boolean, "
-    "primary boolean, curn string, field string, value string",
+    "universe": "id string, sector_code string, is_active boolean, is_public boolean, "
+    "is_primary boolean, curn string, field string, value string",
 }
 
 
