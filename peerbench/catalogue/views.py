@@ -101,6 +101,12 @@ SELECT concat('O', o_orderkey) AS id, r_name AS sector,
   CASE o_orderpriority WHEN '3-MEDIUM' THEN 'NULL' ELSE {_WHOLE.format("o_totalprice")} END AS value
 FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey
 JOIN {{nation}} ON c_nationkey = n_nationkey JOIN {{region}} ON n_regionkey = r_regionkey""",
+    # file names of many kinds
+    "files": """
+SELECT concat(CASE p_type WHEN 'STANDARD' THEN 'Consumer_' WHEN 'MEDIUM' THEN 'Basic_Consumer_'
+  WHEN 'ECONOMY' THEN 'IT_Media_' WHEN 'PROMO' THEN 'Housing_Technology_'
+  WHEN 'LARGE' THEN 'Telecom_' ELSE 'Other_' END, p_brand, '.xlsx') AS file FROM {part}""",
+    # proxy entities of each sector in the order they are tried
     "proxies": """
 SELECT r_name AS sector,
   CAST(row_number() OVER (PARTITION BY r_name ORDER BY s_suppkey) - 1 AS INT) AS ord,
