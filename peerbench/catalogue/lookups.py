@@ -157,7 +157,7 @@ def numeric_coerce(v):
     f"""SELECT id, row_idx, col_ord, CASE WHEN value IS NULL THEN ''
   WHEN {sql_number("value")} >= 1000 THEN format('{{{{:,.0f}}}}', {sql_number("value")})
   WHEN {sql_number("value")} IS NOT NULL THEN format('{{{{:.2f}}}}', {sql_number("value")})
-  ELSE value END AS display FROM {{metrics}} WHERE header <> 'x'""".replace(" WHERE header <> 'x'", ""),
+  ELSE value END AS display FROM {{metrics}}""",
 )
 def value_format(v):
     return v.metrics.select("id", "row_idx", "col_ord", num.display_value(F.col("value")).alias("display"))

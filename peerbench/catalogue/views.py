@@ -12,7 +12,21 @@ import string
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+# Schemas are given so that building a view runs no inference job.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp",
+}
 
 _FILE = """CASE o_orderpriority WHEN '1-URGENT' THEN 'Basic_Consumer_Staples.xlsx'
   WHEN '2-HIGH' THEN 'Consumer_Cyclicals.xlsx' WHEN '3-MEDIUM' THEN 'Health_Care.xlsx'
@@ -25,7 +39,7 @@ _WHOLE = "CAST(CAST(floor({0}) AS BIGINT) AS STRING)"
 
 VIEWS = {
     # entity sheets: every order mentions its customer once
-    "ent_rows": f"""
+    "ent_base": f"""
 SELECT {_FILE} AS file, {_FILE_ORD} AS file_ord, {_SHEET} AS sheet, {_SHEET_ORD} AS sheet_ord,
   o_orderkey AS row_idx,
   CASE WHEN o_orderstatus <> 'O' THEN c_name END AS holding,
@@ -33,9 +47,13 @@ SELECT {_FILE} AS file, {_FILE_ORD} AS file_ord, {_SHEET} AS sheet, {_SHEET_ORD}
   n_name AS sub_industry,
   CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS focus,
   CASE WHEN o_orderstatus = 'P' THEN concat(' C', o_custkey, ' ')
-       ELSE concat('C', o_custkey) END AS id
+       ELSE concat('C', o_custkey) END AS id,
+  o_orderkey, o_custkey, o_totalprice, year(o_orderdate) AS fy
 FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey
 JOIN {{nation}} ON c_nationkey = n_nationkey""",
+    "ent_rows": """
+SELECT file, file_ord, sheet, sheet_ord, row_idx, holding, universe, sub_industry, focus, id
+FROM {ent_base}""",
     # entity rows with few, much repeated names
     "ent_p": """
 SELECT concat(p_type, '.xlsx') AS file, length(p_type) AS file_ord, p_brand AS sheet,
@@ -124,8 +142,7 @@ SELECT file, file_ord, sheet, sheet_ord,
   CASE fy WHEN 1995 THEN 'The record could not be found' WHEN 1998 THEN ' rl '
           ELSE CAST(o_orderkey AS STRING) END AS c7,
   CASE WHEN fy > 1998 THEN 'CHF' ELSE 'USD' END AS c8
-FROM (SELECT e.*, o.o_orderkey, o.o_custkey, o.o_totalprice, year(o.o_orderdate) AS fy
-      FROM {{ent_rows}} e JOIN {{orders}} o ON e.row_idx = o.o_orderkey) x
+FROM {{ent_base}}
 UNION ALL
 SELECT DISTINCT {_FILE}, {_FILE_ORD}, {_SHEET}, {_SHEET_ORD},
   CAST({_FILE_ORD} * 2 + {_SHEET_ORD} - 2 AS BIGINT),
@@ -154,8 +171,7 @@ SELECT trim(id) AS id, holding AS name, file, file_ord, sheet, sheet_ord, row_id
   CASE WHEN fy <> 1996 THEN concat(o_custkey, '.5') END AS c6,
   'revenue' AS h7, CASE WHEN fy > 1996 THEN CAST(row_idx AS STRING) END AS c7,
   'Currency' AS h8, 'USD' AS c8
-FROM (SELECT e.*, o.o_custkey, o.o_totalprice, year(o.o_orderdate) AS fy
-      FROM {{ent_rows}} e JOIN {{orders}} o ON e.row_idx = o.o_orderkey) x""",
+FROM {{ent_base}}""",
 }
 
 _GRID_COLS = range(9)
@@ -212,7 +228,7 @@ def _names(sql: str) -> list[str]:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table or view as a lazy DataFrame."""
     if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
     sql = SPARK_VIEWS.get(name) or VIEWS[name]
     return spark.sql(sql, **{n: view(spark, sf_dir, n) for n in _names(sql)})
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from peerbench.functions.fieldnames import field_key, field_keys
 from peerbench.functions.numbers import as_number, to_number, without_marks
 from peerbench.functions.text import norm_key
-from peerbench.operators.joins import first_by
+from peerbench.operators.joins import first_by, only
 from peerbench.operators.metrics import last_wins
 from peerbench.operators.peers import GROUP
 from peerbench.operators.quantiles import grouped_quantiles, trimmed_mean
@@ -53,11 +53,11 @@ def group_means(
 
 def mean_of_list(vendor: DataFrame, ids: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Plain mean per field over listed ids, after removing ',' and '%'."""
-    wanted = ids.select(norm_key(F.col("id")).alias("id")).distinct()
+    wanted = ids.select(norm_key(F.col("id")).alias("id"))
     rows = vendor.where(field_key(F.col("field")).isin(field_keys(fields))).withColumn(
         "id", norm_key(F.col("id"))
     )
-    values = last_wins(rows.join(wanted, "id", "left_semi")).withColumn(
+    values = last_wins(only(rows, wanted, ["id"], ["ord"])).withColumn(
         "v", to_number(without_marks(F.col("value")))
     )
     return (
@@ -82,7 +82,7 @@ def first_ids_per_sector(universe: DataFrame, top: int = 500) -> DataFrame:
 def sector_medians(universe: DataFrame, top: int = 500) -> DataFrame:
     """Median per (sector, field) over the first ``top`` ids of the sector."""
     chosen = first_ids_per_sector(universe, top)
-    rows = universe.join(chosen, ["sector", "id"], "left_semi").select(
+    rows = only(universe, chosen, ["sector", "id"], ["field", "value"]).select(
         "sector", "field", as_number(universe, "value").alias("v")
     )
     return grouped_quantiles(rows, ["sector", "field"], "v", {"median_value": 0.5})

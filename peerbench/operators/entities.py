@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from peerbench.constants import MIN_NAME_LENGTH
 from peerbench.functions.labels import entity_name
 from peerbench.functions.text import norm_key, strip
-from peerbench.operators.joins import ORDER, first_by, first_per_key, lookup
+from peerbench.operators.joins import ORDER, first_by, first_per_key, lookup, only
 from peerbench.session import durable
 
 FACTS = ("holding", "universe", "sub_industry", "focus")
@@ -28,8 +28,8 @@ def find_by_id(wanted: DataFrame, entities: DataFrame) -> DataFrame:
 
     Only rows with a wanted id are shuffled.
     """
-    keys = wanted.select(norm_key(F.col("id")).alias("key")).distinct()
-    hits = entities.withColumn("key", norm_key(F.col("id"))).join(keys, "key", "left_semi")
+    keys = wanted.select(norm_key(F.col("id")).alias("key"))
+    hits = only(entities.withColumn("key", norm_key(F.col("id"))), keys, ["key"], ORDER)
     found = first_per_key(hits, ["key"], ["id", *FACTS])
     return with_name(found.withColumn("id", strip(F.col("id"))))
 
@@ -52,17 +52,21 @@ def _trigrams(text: Column) -> Column:
 
 
 def _name_texts(entities: DataFrame) -> DataFrame:
-    """One row per searchable name: holding (side 0) and universe (side 1)."""
+    """Each distinct name once, with the first row that has it in holding or universe.
+
+    Whether a name contains a needle depends on the name alone, so rows that
+    repeat a name collapse before any name is compared.
+    """
     texts = F.array(
         F.struct(F.lit(0).alias("side"), F.lower("holding").alias("text")),
         F.struct(F.lit(1).alias("side"), F.lower("universe").alias("text")),
     )
-    return (
-        entities.select("*", F.explode(texts).alias("_t"))
+    named = (
+        entities.select("id", *FACTS, *ORDER, F.explode(texts).alias("_t"))
         .select("*", "_t.side", "_t.text")
-        .drop("_t")
         .where(F.length("text") >= MIN_NAME_LENGTH)
     )
+    return first_per_key(named, ["text", "side"], ["id", *FACTS, *ORDER])
 
 
 def find_by_name(wanted: DataFrame, entities: DataFrame) -> DataFrame:
@@ -74,27 +78,14 @@ def find_by_name(wanted: DataFrame, entities: DataFrame) -> DataFrame:
     beats a hit in universe; the first sheet with a hit wins.
     """
     needles = wanted.select("needle").where(F.length("needle") >= MIN_NAME_LENGTH).distinct()
-    grams = durable(needles.select("needle", F.explode(_trigrams(F.col("needle"))).alias("gram")))
-    texts = _name_texts(entities)
-    in_use = durable(grams.select("gram").distinct())
-    place = ["id", *ORDER]
-    all_grams = texts.select(*place, F.explode(_trigrams(F.col("text"))).alias("gram"))
-    seen = (
-        lookup(all_grams, in_use, ["gram"], spread=place)
-        .groupBy("gram")
-        .agg(F.count("*").alias("n"))
-    )
-    filed = durable(
-        grams.join(seen, "gram")
-        .groupBy("needle")
-        .agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
-    )
-    exploded = texts.select(
-        "id", *FACTS, *ORDER, "side", "text", F.explode(_trigrams(F.col("text"))).alias("gram")
-    )
-    hits = lookup(exploded, filed, ["gram"], spread=place).where(
-        F.contains("text", "needle")
-    )
+    grams = needles.select("needle", F.explode(_trigrams(F.col("needle"))).alias("gram"))
+    texts = durable(_name_texts(entities))
+    spread = ["text", "side"]
+    exploded = texts.withColumn("gram", F.explode(_trigrams(F.col("text"))))
+    seen = exploded.groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = F.min_by("gram", F.struct("n", "gram")).alias("gram")
+    filed = durable(seen.join(grams, "gram").groupBy("needle").agg(rarest))
+    hits = lookup(exploded, filed, ["gram"], spread=spread).where(F.contains("text", "needle"))
     order = ["file_ord", "sheet_ord", "side", "row_idx"]
     found = first_per_key(hits, ["needle"], ["id", *FACTS], order)
     return with_name(found.withColumn("id", strip(F.col("id"))))
@@ -112,8 +103,7 @@ def resolve_by_name(requests: DataFrame, entities: DataFrame) -> DataFrame:
 def name_to_id(names: DataFrame, entities: DataFrame) -> DataFrame:
     """Id of the first entity whose holding equals a name in any case; '' if none."""
     wanted = names.select("name").distinct().withColumn("key", F.lower("name"))
-    keys = wanted.select("key").distinct()
-    hits = entities.withColumn("key", F.lower("holding")).join(keys, "key", "left_semi")
+    hits = only(entities.withColumn("key", F.lower("holding")), wanted, ["key"], ORDER)
     found = first_per_key(hits, ["key"], ["id"])
     return wanted.join(found, "key", "left").select("name", F.coalesce("id", F.lit("")).alias("id"))
 
@@ -121,8 +111,7 @@ def name_to_id(names: DataFrame, entities: DataFrame) -> DataFrame:
 def id_to_name(ids: DataFrame, entities: DataFrame) -> DataFrame:
     """Holding of the first row with an id; '' for unknown ids."""
     wanted = ids.select("id").distinct().withColumn("key", norm_key(F.col("id")))
-    keys = wanted.select("key").distinct()
-    hits = entities.withColumn("key", norm_key(F.col("id"))).join(keys, "key", "left_semi")
+    hits = only(entities.withColumn("key", norm_key(F.col("id"))), wanted, ["key"], ORDER)
     found = hits.groupBy("key").agg(first_by(F.col("holding"), ORDER).alias("name"))
     return wanted.join(found, "key", "left").select("id", F.coalesce("name", F.lit("")).alias("name"))
 

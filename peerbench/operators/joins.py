@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peerbench.session import durable
+
 ORDER = ("file_ord", "sheet_ord", "row_idx")
 SMALL_ROWS = 200_000
 SALTS = 32
@@ -48,6 +50,11 @@ def lookup(
     return salted_join(big, small, on, how, spread or big.columns)
 
 
+def only(big: DataFrame, wanted: DataFrame, on: Sequence[str], spread: Sequence[str]) -> DataFrame:
+    """Rows of the big side whose key is wanted."""
+    return lookup(big, durable(wanted.select(*on).distinct()), on, "left_semi", spread)
+
+
 def salted_join(
     big: DataFrame,
     small: DataFrame,
@@ -56,7 +63,11 @@ def salted_join(
     spread: Sequence[str],
     salts: int = SALTS,
 ) -> DataFrame:
-    """Shuffle join with every key of the big side split over ``salts`` tasks."""
+    """Shuffle join with every key of the big side split over ``salts`` tasks.
+
+    The salt is a hash of columns that tell rows apart, so a repeated task
+    gives each row the same place again.
+    """
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")

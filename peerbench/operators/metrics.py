@@ -15,10 +15,15 @@ from pyspark.sql import functions as F
 from peerbench.functions.fieldnames import field_base, field_key, field_keys, years_back
 from peerbench.functions.numbers import display_value, is_code_like, is_error_text
 from peerbench.functions.text import blank_to_null, is_blank, norm_key, one_line
-from peerbench.operators.joins import first_by, lookup
+from peerbench.operators.joins import first_by, lookup, only
 from peerbench.session import durable
 
 SHEET = ("file_ord", "sheet_ord")
+PLACE = (*SHEET, "row_idx", "col_ord")
+
+
+def _upper_ids(ids: DataFrame) -> DataFrame:
+    return ids.select(norm_key(F.col("id")).alias("id"))
 
 
 def _each_field(fields: Sequence[str]) -> Column:
@@ -64,7 +69,7 @@ def _candidates(
 ) -> DataFrame:
     """Metric cells under a header that fits a wanted field."""
     fit = durable(match_headers(metrics if headers is None else headers, fields, tier))
-    return lookup(metrics, fit, ["header"], spread=["file_ord", "sheet_ord", "row_idx"])
+    return lookup(metrics, fit, ["header"], spread=PLACE)
 
 
 def sheet_picks(
@@ -134,8 +139,7 @@ def metric_lookup(
     if files is not None:
         rows = rows.join(files.select("file").distinct(), "file", "left_semi")
     if ids is not None:
-        wanted = ids.select(norm_key(F.col("id")).alias("id")).distinct()
-        rows = rows.join(wanted, "id", "left_semi")
+        rows = only(rows, _upper_ids(ids), ["id"], PLACE)
     hits = judge(sheet_picks(rows, fields, headers=metrics), strict_codes).where("is_hit")
     if stop_after_first_hit:
         hits = _until_first_yield(rows, hits)
@@ -151,7 +155,7 @@ def metric_lookup_by_name(
     """
     keyed = metrics.withColumn("key", F.lower(F.trim("name")))
     wanted = names.select("name", F.lower(F.trim("name")).alias("key")).distinct()
-    rows = keyed.join(wanted.select("key").distinct(), "key", "left_semi")
+    rows = only(keyed, wanted, ["key"], PLACE)
     picks = sheet_picks(rows, fields, "key", header_tier_loose, metrics).where(F.col("value").isNotNull())
     found = picks.groupBy("key", "field").agg(first_by(F.col("value"), SHEET).alias("value"))
     return found.join(wanted, "key").select("name", "field", "value")
@@ -190,23 +194,19 @@ def vendor_lookup(vendor: DataFrame, ids: DataFrame, fields: Sequence[str]) -> D
     All fields in one job; only rows of wanted ids and fields are shuffled.
     """
     keys = field_keys(fields)
-    wanted = ids.select(norm_key(F.col("id")).alias("id")).distinct()
-    rows = (
-        vendor.where(field_key(F.col("field")).isin(*keys))
-        .withColumn("id", norm_key(F.col("id")))
-        .join(wanted, "id", "left_semi")
+    rows = vendor.where(field_key(F.col("field")).isin(*keys)).withColumn(
+        "id", norm_key(F.col("id"))
     )
+    rows = only(rows, _upper_ids(ids), ["id"], ["ord"])
     batch = every_field(ids, last_wins(rows), keys)
     return batch.select("id", "field", "value", display_value(F.col("value")).alias("display"))
 
 
 def point_lookup(vendor: DataFrame, ids: DataFrame, fields: Sequence[str]) -> DataFrame:
     """First row per wanted id and existing field, spelled as stored."""
-    wanted = ids.select("id").distinct()
+    rows = only(vendor.where(F.col("field").isin(*fields)), ids, ["id"], ["ord"])
     return (
-        vendor.where(F.col("field").isin(*fields))
-        .join(wanted, "id", "left_semi")
-        .groupBy("id", "field")
+        rows.groupBy("id", "field")
         .agg(first_by(F.col("value"), ["ord"]).alias("value"))
     )
 

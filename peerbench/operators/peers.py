@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from peerbench.functions.text import is_blank, null_token, strip
 from peerbench.operators.joins import ORDER, first_per_key, lookup
 from peerbench.operators.requests import FOCUS, SELF, SUB_INDUSTRY
+from peerbench.session import durable
 
 GROUP = ("group_type", "group_value")
 
@@ -79,7 +80,8 @@ def expand(groups: DataFrame, entities: DataFrame) -> DataFrame:
 def peers_or_self(groups: DataFrame, members: DataFrame) -> DataFrame:
     """Members of each opened group, or the opening entity where there are none."""
     facts = ["id", "name", "sub_industry", "focus", *ORDER]
-    inside = members.join(groups.select(*GROUP, "row_number"), list(GROUP))
+    members = durable(members)
+    inside = lookup(members, groups.select(*GROUP, "row_number"), GROUP, spread=["id"])
     alone = groups.join(members.select(*GROUP).distinct(), list(GROUP), "left_anti").select(
         *GROUP,
         F.col("entity_id").alias("id"),

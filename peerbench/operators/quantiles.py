@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerbench.functions.numbers import finite
@@ -26,43 +26,45 @@ SLOTS = 4096
 EXACT_ROWS = 100_000
 
 
-def _log_slot(v: Column) -> Column:
-    """A slot number that never decreases as v grows; slots are about 1.6 % wide."""
-    size = (F.log2(F.abs(v)) + 1100) * SLOTS_PER_DOUBLING
-    return F.when(v == 0, F.lit(0)).otherwise(F.floor(F.signum(v) * size)).cast("long")
+# A slot number that never decreases as the value grows; slots are about 1.6 % wide.
+_LOG_SLOT = (
+    "CASE WHEN _v = 0 THEN 0L "
+    f"ELSE CAST(floor(signum(_v) * (log2(abs(_v)) + 1100) * {SLOTS_PER_DOUBLING}) AS BIGINT) END"
+)
+_LINEAR_SLOT = f"CAST(floor((_v - _from) / (_to - _from) * {SLOTS}) AS BIGINT)"
 
 
-def _linear_slot(v: Column, lo: Column, hi: Column) -> Column:
-    return F.floor((v - lo) / (hi - lo) * SLOTS).cast("long")
-
-
-def _totals() -> list[Column]:
-    return [
-        F.count("*").alias("_n"),
+def _count_slots(rows: DataFrame, keys: Sequence[str], slot: str) -> DataFrame:
+    totals = [
+        F.sum("_w").alias("_n"),
         F.min("_v").alias("_lo"),
         F.max("_v").alias("_hi"),
-        F.sum("_v").alias("_sum"),
+        F.sum(F.col("_v") * F.col("_w")).alias("_sum"),
     ]
+    counted = rows.groupBy(*keys, F.expr(slot).alias("_slot")).agg(*totals)
+    return counted.select(*[k for k in keys if k != "_from"], "_n", "_lo", "_hi", "_sum")
+
+
+def _quoted(keys: Sequence[str]) -> str:
+    return ", ".join(f"`{k}`" for k in keys)
 
 
 def _with_ranks(hist: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Per slot: group size, values before it, and which wanted ranks it holds.
+    """Per slot: group size, values up to it, and which wanted ranks it holds.
 
     The windows run over slots, whose number per group is bounded, not over rows.
     """
-    group = Window.partitionBy(*keys)
-    upto = F.sum("_n").over(group.orderBy("_lo").rowsBetween(Window.unboundedPreceding, 0))
-    at = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
-    ranks = F.array(*[f(a).cast("long") for a in at for f in (F.floor, F.ceil)])
-
-    def mine(r: Column) -> Column:
-        return (r >= F.col("_upto") - F.col("_n")) & (r < F.col("_upto"))
-
-    return (
-        hist.withColumn("_upto", upto)
-        .withColumn("_total", F.sum("_n").over(group))
-        .withColumn("_ranks", F.filter(ranks, mine))
+    group = f"PARTITION BY {_quoted(keys)}"
+    ranks = ", ".join(
+        f"CAST({side}({float(p)!r}D * (_total - 1)) AS BIGINT)"
+        for p in probs
+        for side in ("floor", "ceil")
     )
+    return hist.selectExpr(
+        "*",
+        f"sum(_n) OVER ({group} ORDER BY _lo ROWS UNBOUNDED PRECEDING) AS _upto",
+        f"sum(_n) OVER ({group}) AS _total",
+    ).selectExpr("*", f"filter(array({ranks}), r -> r >= _upto - _n AND r < _upto) AS _ranks")
 
 
 def histogram(
@@ -73,9 +75,9 @@ def histogram(
     exact_rows: int = EXACT_ROWS,
 ) -> DataFrame:
     """Slots per group in which every wanted rank sits in a slot of one value."""
-    data = df.select(*keys, finite(F.col(value)).alias("_v")).where(F.col("_v").isNotNull())
-    slot = _log_slot(F.col("_v")).alias("_slot")
-    hist = durable(data.groupBy(*keys, slot).agg(*_totals()).drop("_slot"))
+    data = df.select(*keys, finite(F.col(value)).alias("_v"), F.lit(1).alias("_w"))
+    data = data.where(F.col("_v").isNotNull())
+    hist = durable(_count_slots(data, keys, _LOG_SLOT))
     while True:
         ranked = _with_ranks(hist, keys, probs)
         split = (F.size("_ranks") > 0) & (F.col("_lo") < F.col("_hi"))
@@ -89,31 +91,27 @@ def histogram(
         if n_wide <= SMALL_ROWS:
             rows = data.join(F.broadcast(wide), list(keys))
         else:
-            rows = salted_join(data, wide, keys, "inner", ["_v"])
+            values = data.groupBy(*keys, "_v").agg(F.sum("_w").alias("_w"))
+            rows = salted_join(values, wide, keys, "inner", ["_v"])
         rows = rows.where(F.col("_v").between(F.col("_from"), F.col("_to")))
         last = widest <= exact_rows
-        slot = F.col("_v") if last else _linear_slot(F.col("_v"), F.col("_from"), F.col("_to"))
-        fine = durable(
-            rows.groupBy(*keys, "_from", slot.alias("_slot")).agg(*_totals()).drop("_from", "_slot")
-        )
+        fine = durable(_count_slots(rows, [*keys, "_from"], "_v" if last else _LINEAR_SLOT))
         hist = ranked.where(~split).select(*fine.columns).unionByName(fine)
         if last:
             return hist
 
 
-def _quantile(p: float, over: Window | None = None) -> Column:
+def _quantile(p: float, over: str = "") -> str:
     """Linear interpolation between the two values around a probability."""
-    pos = F.lit(float(p)) * (F.col("_total") - 1)
+    total = f"max(_total){over}"
+    pos = f"({float(p)!r}D * ({total} - 1))"
 
-    def value(side) -> Column:
-        holds = F.array_contains("_ranks", side(pos).cast("long"))
-        v = F.max(F.when(holds, F.col("_lo")))
-        return v.over(over) if over is not None else v
+    def value(side: str) -> str:
+        rank = f"CAST({side}({float(p)!r}D * (_total - 1)) AS BIGINT)"
+        return f"max(CASE WHEN array_contains(_ranks, {rank}) THEN _lo END){over}"
 
-    part = pos - F.floor(pos)
-    if over is None:
-        part = F.max(part)
-    return value(F.floor) + (value(F.ceil) - value(F.floor)) * part
+    lo, hi = value("floor"), value("ceil")
+    return f"{lo} + ({hi} - {lo}) * ({pos} - floor({pos}))"
 
 
 def grouped_quantiles(
@@ -131,7 +129,8 @@ def grouped_quantiles(
     at = list(probs.values())
     ranked = _with_ranks(histogram(df, keys, value, at, exact_rows), keys, at)
     return ranked.groupBy(*keys).agg(
-        F.max("_total").alias("n_values"), *[_quantile(p).alias(n) for n, p in probs.items()]
+        F.max("_total").alias("n_values"),
+        *[F.expr(_quantile(p)).alias(n) for n, p in probs.items()],
     )
 
 
@@ -153,9 +152,9 @@ def trimmed_mean(
     """
     hist = histogram(df, keys, value, [lower, upper], exact_rows)
     ranked = _with_ranks(hist, keys, [lower, upper])
-    group = Window.partitionBy(*keys)
-    bounded = ranked.select(
-        "*", _quantile(lower, group).alias("_lower"), _quantile(upper, group).alias("_upper")
+    group = f" OVER (PARTITION BY {_quoted(keys)})"
+    bounded = ranked.selectExpr(
+        "*", f"{_quantile(lower, group)} AS _lower", f"{_quantile(upper, group)} AS _upper"
     )
     inside = (F.col("_lo") >= F.col("_lower")) & (F.col("_hi") <= F.col("_upper"))
     mean = F.sum("_sum") / F.sum("_n")

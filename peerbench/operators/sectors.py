@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerbench.constants import SECTOR_CODES, SECTOR_PROXIES
+from peerbench.constants import SECTOR_CODES, SECTOR_FILE_PATTERNS, SECTOR_PROXIES
 from peerbench.functions.labels import file_fits_sector, sector_of_file
 from peerbench.functions.text import norm_key
-from peerbench.operators.joins import first_by
+from peerbench.operators.joins import ORDER, first_by, only
 
 
 def sector_codes(spark: SparkSession) -> DataFrame:
@@ -39,14 +39,13 @@ def screen(universe: DataFrame, code: str | None = None, currency: str = "USD")
 def entity_sectors(ids: DataFrame, entities: DataFrame) -> DataFrame:
     """Sector per id: from the first file that lists it and whose name tells a sector."""
     wanted = ids.select("id").distinct().withColumn("key", norm_key(F.col("id")))
-    keys = wanted.select("key").distinct()
     rows = entities.select(
         norm_key(F.col("id")).alias("key"),
-        "file_ord",
+        *ORDER,
         sector_of_file(F.col("file")).alias("sector"),
     ).where(F.col("sector").isNotNull())
     found = (
-        rows.join(keys, "key", "left_semi")
+        only(rows, wanted, ["key"], ORDER)
         .groupBy("key")
         .agg(first_by(F.col("sector"), ["file_ord"]).alias("sector"))
     )
@@ -66,16 +65,33 @@ def files_for_sectors(files: DataFrame, sectors: Sequence[str]) -> DataFrame:
     return marked.where(F.col("_fits") | ~F.coalesce(any_fit, F.lit(False))).drop("_fits")
 
 
+def _parts(text: Column, sizes: Sequence[int]) -> Column:
+    """All substrings of the given sizes, each once."""
+    cuts = [
+        F.transform(
+            F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))),
+            lambda i, n=n: F.substring(text, i, n),
+        )
+        for n in sizes
+    ]
+    return F.array_distinct(F.concat(*cuts))
+
+
 def sector_files(files: DataFrame, sectors: DataFrame) -> DataFrame:
     """(sector, file) for every requested sector word and file that fits it.
 
-    ``sectors`` holds the few distinct words people ask for; they travel as one
-    array to the file rows.
+    Known words join by the words a file's name fits. Other words must occur in
+    the name, so they join by their first three letters and are then verified.
     """
-    words = sectors.agg(F.collect_set("sector")).scalar()
-    return (
-        files.select("file")
-        .distinct()
-        .withColumn("sector", F.explode(words))
-        .where(file_fits_sector(F.col("file"), F.col("sector")))
+    named = files.select("file").distinct()
+    words = sectors.select("sector", F.lower(F.trim("sector")).alias("word")).distinct()
+    known = [F.when(F.col("file").rlike(f"(?i){p}"), w) for w, p in SECTOR_FILE_PATTERNS.items()]
+    by_word = named.select("file", F.explode(F.array_compact(F.array(*known))).alias("word"))
+    by_part = named.select("file", F.explode(_parts(F.lower("file"), (1, 2, 3))).alias("part"))
+    others = words.where(~F.col("word").isin(*SECTOR_FILE_PATTERNS)).withColumn(
+        "part", F.substring("word", 1, 3)
+    )
+    contained = by_part.join(others, "part").where(F.contains(F.lower("file"), "word"))
+    return words.join(by_word, "word").select("sector", "file").union(
+        contained.select("sector", "file")
     )

@@ -28,6 +28,11 @@ SHEET = ("file", "file_ord", "sheet", "sheet_ord")
 HEADER_ROWS = 10
 
 
+def top_rows(cells: DataFrame) -> DataFrame:
+    """The rows in which headers are looked for, written once for all who look."""
+    return durable(cells.where(F.col("row_idx") < HEADER_ROWS))
+
+
 def prune_sheets(cells: DataFrame, words: Sequence[str]) -> DataFrame:
     """Cells of sheets whose name contains any of the words."""
     return cells.where(sheet_has(F.col("sheet"), words))
@@ -125,7 +130,8 @@ def _sheet_facts(headers: DataFrame) -> DataFrame:
 
 def promote_headers(cells: DataFrame) -> DataFrame:
     """Metric rows of all sheets that have a column named exactly like the id header."""
-    headers = sheet_headers(cells, durable(header_rows(cells)))
+    top = top_rows(cells)
+    headers = sheet_headers(top, durable(header_rows(top)))
     facts = _sheet_facts(headers).where(F.col("id_col").isNotNull())
     rows = _promote(cells, durable(facts.withColumn("name_col", F.lit(None).cast("int"))))
     return rows.drop("name").where(F.col("id").isNotNull())
@@ -133,8 +139,9 @@ def promote_headers(cells: DataFrame) -> DataFrame:
 
 def promote_headers_by_name(cells: DataFrame) -> DataFrame:
     """Metric rows keyed by the name column, with blank headers repaired from above."""
-    rows = durable(name_columns(cells))
-    headers = sheet_headers(cells, rows.drop("name_col"), repair=True)
+    top = top_rows(cells)
+    rows = durable(name_columns(top))
+    headers = sheet_headers(top, rows.drop("name_col"), repair=True)
     facts = _sheet_facts(headers).join(rows, [*SHEET, "header_row"])
     return _promote(cells, durable(facts)).where(F.col("name").isNotNull())
 

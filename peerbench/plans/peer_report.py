@@ -13,7 +13,7 @@ from peerbench.functions.numbers import to_number
 from peerbench.functions.text import is_blank, norm_key
 from peerbench.operators import benchmarks, metrics as m, peers as p, report as r
 from peerbench.operators.entities import resolve
-from peerbench.operators.joins import ORDER, first_by, lookup
+from peerbench.operators.joins import first_by, lookup, only
 from peerbench.operators.requests import (
     FOCUS,
     SUB_INDUSTRY,
@@ -96,9 +96,8 @@ def peer_report(
     values = []
     if sheet_fields:
         wanted = peers.select("id").unionByName(members.select("id"))
-        wanted = wanted.select(norm_key(F.col("id")).alias("key")).distinct()
-        cells = metrics.withColumn("id", norm_key(F.col("id")))
-        cells = cells.join(wanted.withColumnRenamed("key", "id"), "id", "left_semi")
+        wanted = wanted.select(norm_key(F.col("id")).alias("id"))
+        cells = only(metrics.withColumn("id", norm_key(F.col("id"))), wanted, ["id"], m.PLACE)
         picks = m.judge(m.sheet_picks(cells, sheet_fields, headers=metrics)).where("is_hit")
         picks = durable(picks)
         own = peers.select(*p.GROUP, "id", norm_key(F.col("id")).alias("key"))
@@ -124,7 +123,7 @@ def peer_report(
         listed = with_sector_name(screen(universe)).where(field_key(F.col("field")).isin(keys))
         listed = listed.withColumn("field", field_key(F.col("field")))
         used = sectors.where(~is_blank(F.col("sector"))).select("sector").distinct()
-        listed = listed.join(used, "sector", "left_semi")
+        listed = listed.join(F.broadcast(used), "sector", "left_semi")  # at most 11 sectors
         parts.append(r.sector_mean_rows(benchmarks.sector_trimmed_mean(listed)))
 
     long = heads
