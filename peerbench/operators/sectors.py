@@ -13,13 +13,18 @@ from peerbench.functions.text import norm_key
 from peerbench.operators.joins import ORDER, first_by, only
 
 
+def _values(spark: SparkSession, rows: Sequence[tuple], names: str) -> DataFrame:
+    """A small fixed table as part of the plan."""
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, rows))} AS t({names})")
+
+
 def sector_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(SECTOR_CODES), "sector string, code string")
+    return _values(spark, SECTOR_CODES, "sector, code")
 
 
 def sector_proxies(spark: SparkSession) -> DataFrame:
     rows = [(s, i, p) for s, ids in SECTOR_PROXIES.items() for i, p in enumerate(ids)]
-    return spark.createDataFrame(rows, "sector string, ord int, id string")
+    return _values(spark, rows, "sector, ord, id")
 
 
 def with_sector_name(universe: DataFrame) -> DataFrame:
@@ -67,14 +72,12 @@ def files_for_sectors(files: DataFrame, sectors: Sequence[str]) -> DataFrame:
 
 def _parts(text: Column, sizes: Sequence[int]) -> Column:
     """All substrings of the given sizes, each once."""
-    cuts = [
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))),
-            lambda i, n=n: F.substring(text, i, n),
-        )
-        for n in sizes
-    ]
-    return F.array_distinct(F.concat(*cuts))
+
+    def cuts(n: int) -> Column:
+        last = F.greatest(F.length(text) - n + 1, F.lit(1))
+        return F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, n))
+
+    return F.array_distinct(F.concat(*[cuts(n) for n in sizes]))
 
 
 def sector_files(files: DataFrame, sectors: DataFrame) -> DataFrame:
