@@ -23,9 +23,8 @@ from peerbench.operators.requests import distinct_fields
 FIELDS = ["Revenue", "Net Margin (Pct)", "Margin", "Currency", "Nothing here", "rev"]
 _FIELD_ROWS = ", ".join(f"('{f}')" for f in FIELDS)
 
-_SQL_HEADERS = f"""f(field) AS (VALUES {_FIELD_ROWS}),
-h AS (SELECT DISTINCT header, trim(replace(replace(header, chr(10), ' '), chr(13), ' ')) AS hc
-  FROM {{metrics}}),
+_SQL_TIERS = """h AS (SELECT DISTINCT header, trim(replace(replace(header, chr(10), ' '), chr(13), ' ')) AS hc
+  FROM {metrics}),
 tiers AS (SELECT * FROM (SELECT header, field, CASE WHEN header = field THEN 1
     WHEN hc = field THEN 2 WHEN lower(hc) = lower(field) THEN 3
     WHEN length(field) > 4 AND length(hc) > 3 AND (contains(lower(hc), lower(field))
@@ -38,7 +37,9 @@ _CODES = """upper(trim(v)) = upper(trim(id))
   OR regexp_full_match(upper(trim(v)), '[A-Z]{{1,6}}\\.[A-Z]{{1,3}}')
   OR regexp_full_match(upper(trim(v)), '[A-Z]{{1,6}}')"""
 
-_SQL_HITS = f"""{_SQL_HEADERS},
+_SQL_HEADERS = f"f(field) AS (VALUES {_FIELD_ROWS}),\n{_SQL_TIERS}"
+
+SQL_HITS = f"""{_SQL_TIERS},
 c AS (SELECT upper(trim(id)) AS id, t.field, file, file_ord, sheet_ord, value,
     row_number() OVER (PARTITION BY upper(trim(id)), t.field, file_ord, sheet_ord
       ORDER BY row_idx, CASE WHEN {sql_blank("value")} THEN 1 ELSE 0 END, tier, col_ord) AS rn
@@ -47,6 +48,7 @@ p AS (SELECT id, field, file, file_ord, sheet_ord,
     CASE WHEN NOT {sql_blank("value")} THEN value END AS v FROM c WHERE rn = 1),
 hits AS (SELECT id, field, file, file_ord, sheet_ord, CASE WHEN {_ERRORS} THEN NULL ELSE v END AS value
   FROM p WHERE v IS NOT NULL AND (({_ERRORS}) OR NOT ({_CODES})))"""
+_SQL_HITS = f"f(field) AS (VALUES {_FIELD_ROWS}),\n{SQL_HITS}"
 _SQL_FOUND = f"""{_SQL_HITS},
 found AS (SELECT id, field, value FROM (SELECT *,
   row_number() OVER (PARTITION BY id, field ORDER BY file_ord, sheet_ord) AS k FROM hits) x

@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from peerbench.catalogue.registry import SQL_MEMBERS, query, sql_number
+from peerbench.catalogue.lookups import SQL_HITS
+from peerbench.catalogue.registry import (
+    SQL_CODES,
+    SQL_MEMBERS,
+    SQL_RESOLVED,
+    SQL_SCREENED,
+    query,
+    sql_number,
+)
+from peerbench.functions.fieldnames import field_keys
 from peerbench.operators import benchmarks as b
 from peerbench.operators import metrics as m
 from peerbench.operators import peers as p
@@ -13,6 +22,7 @@ from peerbench.operators.joins import ORDER, first_per_key
 from peerbench.operators.quantiles import trimmed_mean
 from peerbench.operators.requests import FOCUS, SUB_INDUSTRY
 from peerbench.operators.sectors import entity_sectors
+from peerbench.plans.peer_report import HEADS
 from peerbench.plans.peer_report import peer_report as run_report
 from peerbench.session import durable
 
@@ -221,9 +231,87 @@ SHEET_FIELDS = ["Revenue", "Net Margin (Pct)", "Currency", "Nothing here"]
 VENDOR_FIELDS = ["TR.EBIT", "Price", "TR.Quantity", "TotalAssets"]
 
 
-@query("peer_report")
+_ASKED = ", ".join(f"('{f}')" for f in SHEET_FIELDS)
+_SHOWN = [*SHEET_FIELDS, *field_keys(VENDOR_FIELDS)]
+_SQL_REPORT = f"""{SQL_RESOLVED}, {SQL_MEMBERS}, {SQL_CODES},
+f(field) AS (VALUES {_ASKED}), {SQL_HITS},
+peers AS (SELECT g.group_type, g.group_value, g.row_number, coalesce(m.id, g.entity_id) AS id,
+    CASE WHEN m.id IS NULL THEN g.name ELSE m.name END AS name,
+    CASE WHEN m.id IS NULL THEN g.sub_industry ELSE m.sub_industry END AS sub_industry,
+    CASE WHEN m.id IS NULL THEN g.focus ELSE m.focus END AS focus,
+    m.file_ord, m.sheet_ord, m.row_idx
+  FROM groups g LEFT JOIN members m
+    ON m.group_type = g.group_type AND m.group_value = g.group_value),
+sec AS (SELECT upper(trim(id)) AS key,
+  arg_min({_SQL_SECTOR}, file_ord) FILTER ({_SQL_SECTOR} IS NOT NULL) AS sector
+  FROM {{ent_rows}} GROUP BY upper(trim(id))),
+heads AS (SELECT p.*, s.sector FROM peers p LEFT JOIN sec s ON s.key = upper(p.id)),
+asked AS (SELECT DISTINCT group_type, group_value, sector FROM assigned WHERE sector IS NOT NULL),
+allowed AS (SELECT DISTINCT group_type, group_value, file FROM asked
+  JOIN (SELECT DISTINCT file FROM {{ent_rows}}) x ON CASE lower(sector)
+    WHEN 'consumer' THEN contains(file, 'Consumer') WHEN 'health' THEN starts_with(file, 'Health')
+    WHEN 'it' THEN starts_with(file, 'IT') ELSE contains(lower(file), lower(sector)) END),
+bound AS (SELECT DISTINCT group_type, group_value FROM allowed),
+mine AS (SELECT p.group_type, p.group_value, p.id, h.field, h.value,
+    row_number() OVER (PARTITION BY p.group_type, p.group_value, p.id, h.field
+      ORDER BY h.file_ord, h.sheet_ord) AS rk
+  FROM peers p JOIN hits h ON h.id = upper(p.id)
+  LEFT JOIN bound b ON b.group_type = p.group_type AND b.group_value = p.group_value
+  LEFT JOIN allowed a ON a.group_type = p.group_type AND a.group_value = p.group_value
+    AND a.file = h.file
+  WHERE b.group_type IS NULL OR a.file IS NOT NULL),
+vk AS (SELECT id, replace(field, 'TR.', '') AS field, arg_max(value, ord) AS value
+  FROM {{vend}} WHERE field IN ('TR.EBIT', 'TotalAssets') GROUP BY id, replace(field, 'TR.', '')),
+entity_values AS (
+  SELECT group_type, group_value, id, field, {sql_number("value")} AS v FROM mine WHERE rk = 1
+  UNION ALL
+  SELECT p.group_type, p.group_value, p.id, field, {sql_number("value")} FROM peers p
+  JOIN vk ON vk.id = upper(p.id)),
+used AS (SELECT 'Sub-Industry' AS group_type, sub_industry AS group_value FROM peers
+  WHERE sub_industry IS NOT NULL
+  UNION SELECT 'Focus', focus FROM peers WHERE focus IS NOT NULL),
+um AS (SELECT m.* FROM members m JOIN used u
+  ON u.group_type = m.group_type AND u.group_value = m.group_value),
+sizes AS (SELECT group_type, group_value, count(*) AS n FROM um GROUP BY group_type, group_value
+  HAVING count(*) > 1),
+overall AS (SELECT id, field, {sql_number("value")} AS v FROM (SELECT *, row_number() OVER
+  (PARTITION BY id, field ORDER BY file_ord, sheet_ord) AS rk FROM hits) x WHERE rk = 1),
+gm AS (SELECT z.group_type, z.group_value, o.field, max(n) AS n, avg(v) AS v FROM sizes z
+  JOIN um ON um.group_type = z.group_type AND um.group_value = z.group_value
+  LEFT JOIN overall o ON o.id = upper(um.id) GROUP BY z.group_type, z.group_value, o.field),
+su AS (SELECT sector, field, value FROM {{universe}} JOIN codes ON sector_code = code
+  WHERE {SQL_SCREENED} AND sector IN (SELECT sector FROM heads)),
+sb AS (SELECT sector, field, quantile_cont(value, 0.05) AS lo, quantile_cont(value, 0.95) AS hi,
+  count(*) AS n FROM su GROUP BY sector, field),
+sm AS (SELECT su.sector, su.field, round(avg(value), 4) AS v FROM su JOIN sb
+  ON sb.sector = su.sector AND sb.field = su.field WHERE value BETWEEN lo AND hi AND n > 5
+  GROUP BY su.sector, su.field),
+long AS (
+  SELECT 0 AS section, row_number, file_ord, sheet_ord, row_idx, 'entity' AS row_kind, name, h.id,
+    sector, sub_industry, focus, h.group_type AS peer_group_type,
+    concat('Zeile ', row_number) AS input_row, field, v
+  FROM heads h LEFT JOIN entity_values e ON e.group_type = h.group_type
+    AND e.group_value = h.group_value AND e.id = h.id
+  UNION ALL SELECT 1, NULL, NULL, NULL, NULL, 'sub_industry_mean', concat('💼 Ø ', group_value), '',
+    NULL, group_value, NULL, NULL, NULL, field, v FROM gm WHERE group_type = 'Sub-Industry'
+  UNION ALL SELECT 2, NULL, NULL, NULL, NULL, 'focus_mean', concat('🎯 Ø ', group_value), '',
+    NULL, NULL, group_value, 'Focus-Durchschnitt', concat('Focus-Ø (', n, ' Unternehmen)'), field, v
+    FROM gm WHERE group_type = 'Focus'
+  UNION ALL SELECT 3, NULL, NULL, NULL, NULL, 'sector_mean', concat('🏭 Ø ', sector), '', sector,
+    NULL, NULL, 'GICS-Sektor-Durchschnitt', 'GICS-Sektor-Ø (Refinitiv-Branchendurchschnitt)',
+    field, v FROM sm)"""
+
+
+@query(
+    "peer_report",
+    f"""WITH {_SQL_REPORT}
+SELECT {", ".join(HEADS)}, {", ".join(
+    f"round(max(CASE WHEN field = '{f}' THEN v END), 6) AS " + chr(34) + f + chr(34) for f in _SHOWN
+)} FROM long GROUP BY {", ".join(HEADS)}""",
+)
 def peer_report(v):
     report = run_report(
         v.req, v.ent_rows, v.metrics.drop("name"), v.vend, v.universe, SHEET_FIELDS, VENDOR_FIELDS
     )
-    return report.wide()
+    wide = report.wide()
+    return wide.select(*HEADS, *[F.round(f"`{f}`", 6).alias(f) for f in report.fields])
