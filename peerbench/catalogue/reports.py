@@ -217,10 +217,12 @@ def sheet_hits(v):
     "column_profile",
     """WITH l AS (SELECT max(length(id)) AS a, max(length(universe)) AS b,
   max(length(sub_industry)) AS c, max(length(CAST(row_idx AS STRING))) AS d FROM {ent_rows})
-SELECT 'id' AS "column", greatest(2, a) AS max_length, least(greatest(greatest(2, a) + 2, 12), 15) AS width FROM l
-UNION ALL SELECT 'name', greatest(4, b), least(greatest(greatest(4, b) + 2, 25), 40) FROM l
-UNION ALL SELECT 'sub_industry', greatest(12, c), least(greatest(greatest(12, c) + 2, 15), 25) FROM l
-UNION ALL SELECT 'row_idx', greatest(7, d), least(greatest(greatest(7, d) + 2, 12), 18) FROM l""",
+SELECT "column", CAST(n AS INT) AS max_length,
+  CAST(least(greatest(n + 2, lo), hi) AS INT) AS width FROM (
+  SELECT 'id' AS "column", greatest(2, a) AS n, 12 AS lo, 15 AS hi FROM l
+  UNION ALL SELECT 'name', greatest(4, b), 25, 40 FROM l
+  UNION ALL SELECT 'sub_industry', greatest(12, c), 15, 25 FROM l
+  UNION ALL SELECT 'row_idx', greatest(7, d), 12, 18 FROM l) x""",
 )
 def column_profile(v):
     rows = v.ent_rows.select("id", F.col("universe").alias("name"), "sub_industry", "row_idx")

@@ -101,6 +101,8 @@ def to_wide(
     long: DataFrame, heads: Sequence[str], fields: Sequence[str], value: str = "value_num"
 ) -> DataFrame:
     """One column per field; the list of fields is given, so no extra job runs."""
+    if not fields:
+        return long.select(*heads).distinct()
     return long.groupBy(*heads).agg(
         *[
             F.max(F.when(F.col("field") == f, F.col(value))).alias(f)

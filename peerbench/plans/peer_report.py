@@ -58,10 +58,12 @@ def _in_sector_files(peer_picks: DataFrame, groups: DataFrame, metrics: DataFram
     asked = groups.select(*p.GROUP, F.explode("sectors").alias("sector"))
     fits = sector_files(metrics, asked.select("sector").distinct())
     allowed = durable(asked.join(fits, "sector").select(*p.GROUP, "file").distinct())
-    bound = durable(allowed.select(*p.GROUP).distinct().withColumn("_bound", F.lit(True)))
-    marked = allowed.withColumn("_fits", F.lit(True))
-    picks = lookup(peer_picks, bound, p.GROUP, "left", spread=["id", "field"])
-    picks = lookup(picks, durable(marked), [*p.GROUP, "file"], "left", spread=["id", "field"])
+    if not allowed.count():
+        return peer_picks
+    bound = allowed.select(*p.GROUP).distinct().withColumn("_bound", F.lit(True))
+    picks = lookup(peer_picks, durable(bound), p.GROUP, "left", spread=["id", "field"])
+    fits = allowed.withColumn("_fits", F.lit(True))
+    picks = lookup(picks, fits, [*p.GROUP, "file"], "left", spread=["id", "field"])
     return picks.where(F.col("_bound").isNull() | F.col("_fits").isNotNull())
 
 
@@ -88,7 +90,8 @@ def peer_report(
     status = request_status(raw, assigned, groups)
 
     peers = durable(p.peers_or_self(groups, p.expand(groups, entities)))
-    sectors = durable(entity_sectors(peers, entities))
+    ids = durable(peers.select("id").distinct())
+    sectors = durable(entity_sectors(ids, entities))
     heads = r.entity_rows(peers, sectors)
 
     members = durable(p.expand(durable(_groups_of(peers)), entities))
@@ -113,7 +116,7 @@ def peer_report(
         parts.append(r.group_mean_rows(means))
     keys = field_keys(vendor_fields)
     if keys:
-        quoted = m.vendor_lookup(vendor, peers, keys).select(
+        quoted = m.vendor_lookup(vendor, ids, keys).select(
             "id",
             "field",
             F.col("display").alias("value_text"),

@@ -23,7 +23,7 @@ FILES = {"Consumer_A.xlsx": 1, "Health_B.xlsx": 2}
 
 
 @pytest.fixture(scope="module")
-def report(spark):
+def inputs(spark):
     ent, met = [], []
     people = [
         ("Consumer_A.xlsx", "A", "Apparel", "Luxury", "10"),
@@ -51,12 +51,27 @@ def report(spark):
     ]
     universe.append(("V", "25", False, True, True, "USD", "TR.EBIT", "1000000"))
     make = spark.createDataFrame
-    return peer_report(
-        make(requests, REQ), make(ent, ENT), make(met, MET), make(vendor, VEN), make(universe, UNI),
-        ["Market Cap", "Unknown"], ["TR.EBIT", "EBIT"],
+    return (
+        make(requests, REQ), make(ent, ENT), make(met, MET), make(vendor, VEN), make(universe, UNI)
     )
 
 
+@pytest.fixture(scope="module")
+def report(inputs):
+    return peer_report(*inputs, ["Market Cap", "Unknown"], ["TR.EBIT", "EBIT"])
+
+
+def test_no_fields_asked_for(inputs):
+    wide = peer_report(*inputs, [], []).wide()
+    assert {(x["id"], x["row_kind"]) for x in wide.collect()} == {(i, "entity") for i in "ACDE"}
+
+
+def test_nothing_resolved(inputs):
+    out = peer_report(inputs[0].where("row_number = 4"), *inputs[1:], ["Market Cap"], ["EBIT"])
+    assert out.wide().count() == 0
+    assert [x["status"] for x in out.status.collect()] == ["not_found"]
+
+
 def test_status(report):
     assert {x["row_number"]: x["status"] for x in report.status.collect()} == {
         1: "by_id", 2: "by_name", 3: "duplicate_group", 4: "not_found"}
