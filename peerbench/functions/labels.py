@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from peerbench.constants import FILE_SECTORS, FLAG_MARK, SECTOR_FILE_PATTERNS
-from peerbench.functions.text import has_any, norm_key
+from peerbench.functions.text import has_any, norm_key, null_token
 
 
 def sheet_has(sheet: Column, words: Sequence[str]) -> Column:
@@ -44,8 +44,6 @@ def file_fits_sector(file: Column, sector: Column) -> Column:
 
 def entity_name(holding: Column, universe: Column, entity_id: Column) -> Column:
     """Holding, else universe, else a name made from the id."""
-    from peerbench.functions.text import null_token
-
     def usable(c: Column) -> Column:
         t = null_token(c)
         return F.when(F.length(t) > 2, t)

@@ -19,11 +19,13 @@ from peerbench.constants import (
     MEAN_MARK,
     METRIC_WIDTH,
     NO_SECTOR_TITLE,
+    OTHER_WIDTH,
     REQUEST_ROW,
     ROW_MARKS,
     SECTOR_MEAN_ROW,
     SECTOR_MEAN_TYPE,
 )
+from peerbench.functions.fieldnames import clean_name
 from peerbench.functions.numbers import to_number
 from peerbench.functions.text import is_blank
 from peerbench.operators.joins import ORDER
@@ -117,8 +119,6 @@ def to_long(wide: DataFrame, ids: Sequence[str], fields: Sequence[str]) -> DataF
 
 def project(wide: DataFrame, sheet_fields: Sequence[str], vendor_fields: Sequence[str]) -> DataFrame:
     """Base columns, then requested fields under either spelling, as far as they exist."""
-    from peerbench.functions.fieldnames import clean_name
-
     spelled = [s for f in vendor_fields for s in (f, clean_name(f))]
     wanted = dict.fromkeys([*BASE, *sheet_fields, *spelled])
     return wide.select(*[f"`{c}`" for c in wanted if c in wide.columns])
@@ -209,8 +209,6 @@ def column_profile(df: DataFrame, metric_columns: Sequence[str] = ()) -> DataFra
     )
 
     def row(i: int, c: str) -> Column:
-        from peerbench.constants import OTHER_WIDTH
-
         lo, hi = COLUMN_WIDTHS.get(c, METRIC_WIDTH if c in metric_columns else OTHER_WIDTH)
         n = F.col(f"_{i}")
         width = F.least(F.greatest(n + 2, F.lit(lo)), F.lit(hi))

@@ -16,6 +16,11 @@ from peerbench.constants import (
     CODE_MAP,
     ENTITY_SHEET_WORDS,
     ID_HEADER,
+    LABEL_FOCUS,
+    LABEL_SECTOR,
+    LABEL_SHEET_FIELDS,
+    LABEL_SUB_INDUSTRY,
+    LABEL_VENDOR_FIELDS,
     NAME_HEADERS,
     SUPERHEADER_WORDS,
 )
@@ -191,8 +196,6 @@ def changed_sheets(rewritten: DataFrame) -> DataFrame:
 
 def requests_from_cells(cells: DataFrame) -> DataFrame:
     """The request sheet: name and id by position, flags and sector by label."""
-    from peerbench.constants import LABEL_FOCUS, LABEL_SECTOR, LABEL_SUB_INDUSTRY
-
     return _labelled(
         cells,
         {
@@ -206,8 +209,6 @@ def requests_from_cells(cells: DataFrame) -> DataFrame:
 
 def wanted_fields_from_cells(cells: DataFrame) -> DataFrame:
     """The two field lists of the request sheet as (ord, origin, field)."""
-    from peerbench.constants import LABEL_SHEET_FIELDS, LABEL_VENDOR_FIELDS
-
     lists = _labelled(cells, {"sheet": LABEL_SHEET_FIELDS, "vendor": LABEL_VENDOR_FIELDS}, {})
     return lists.unpivot(
         [F.col("row_number").alias("ord")], ["sheet", "vendor"], "origin", "field"
