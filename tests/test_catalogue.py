@@ -9,6 +9,7 @@ from pyspark.sql import DataFrameWriter
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import compare_rows
+from peerbench.catalogue import ORACLES, QUERIES
 from peerbench.catalogue.views import TABLES
 
 
@@ -41,13 +42,13 @@ def written(monkeypatch):
     return plans
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows_as_sql_without_python_or_cross_joins(spark, con, sf, name, written):
-    df = queries()[name](spark, sf)
+    df = QUERIES[name](spark, sf)
     for text in [*written, plan(df)]:
         for word in ("Python", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert word not in text, word
-    if name in oracle_sql():
+    if name in ORACLES:
         out = compare_rows(df, con, name)
         assert out.startswith("ok"), out
 
