@@ -68,7 +68,7 @@ _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.STOP_WORDS))
 #: Counts and verdict of the quality rules over `{source}`, a table with doc_id and text.
 SQL_QUALITY = f"""texts AS (SELECT doc_id, coalesce(text, '') AS t FROM {{source}}),
 split AS (SELECT *, regexp_extract_all(t, '{_WORD}') AS w,
-  list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{_WORD}')) AS l FROM texts),
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS l FROM texts),
 windows AS (SELECT doc_id, i, list_aggregate(w[i:i + 4], 'string_agg', ' ') AS win
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM split)),
 repeated AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows)
@@ -80,7 +80,7 @@ counts AS (SELECT s.doc_id, len(w)::BIGINT AS n_words,
   (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
   len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
   coalesce(c.n, 0)::BIGINT AS n_repeat_words,
-  len(list_filter(w, x -> lower(x) IN ({_STOP})))::BIGINT AS n_stop_words
+  len(list_filter(w, lambda x: lower(x) IN ({_STOP})))::BIGINT AS n_stop_words
   FROM split s LEFT JOIN covered c USING (doc_id)),
 judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
   list_filter([
@@ -89,7 +89,7 @@ judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base
     CASE WHEN n_symbols / nullif(n_words, 0) > 0.2 THEN 'symbols_per_word' END,
     CASE WHEN n_words >= 30 AND n_stop_words / n_words < 0.02 THEN 'stop_words' END,
     CASE WHEN n_dup_lines / nullif(n_lines, 0) > 0.4 THEN 'repeated_lines' END,
-    CASE WHEN 100 * n_repeat_words / nullif(n_words, 0) > 20 THEN 'repeated_words' END], x -> x IS NOT NULL) AS failed
+    CASE WHEN 100 * n_repeat_words / nullif(n_words, 0) > 20 THEN 'repeated_words' END], lambda x: x IS NOT NULL) AS failed
   FROM counts)"""
 
 
