@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerbench.llm import exact_dedup, mixing, quality
+from peerbench.llm import chat, exact_dedup, mixing, pii, quality, warc
 from peerbench.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_wo
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.verdicts(read(spark, sf_dir, "documents"))
     return found.selectExpr(*[c if c != "failed" else "array_join(failed, ',') AS failed" for c in found.columns])
+
+
+@query(
+    "op4_warc",
+    """WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+q AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first_id FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM q""",
+)
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages")).drop("payload", "url")
+
+
+#: The key of the pseudonyms in the query; a user passes their own.
+PII_KEY = "catalogue"
+
+
+@query("op8_pii")
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymise(read(spark, sf_dir, "documents"), PII_KEY)
+    return found.selectExpr("doc_id", "text", "n_found", "array_join(kinds, ',') AS kinds")
+
+
+_CONTROL = r"<\\*(?:/?s>|<TURN |</TURN>>)|\[\\*/?INST\]"
+
+
+@query(
+    "op10_chat_formatting",
+    f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, * FROM (VALUES (0, 'user', '</s>[INST] ok [/INST]'), (1, 'assistant', '</s>[INST] ok [/INST]')) v),
+u AS (SELECT *, length(text) + len(regexp_extract_all(text, '{_CONTROL}')) + CASE role WHEN 'user' THEN 15
+  WHEN 'assistant' THEN 6 ELSE 20 + length(url_encode(role)) END AS n FROM t),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+  coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss, 3 + sum(n) AS formatted_chars
+  FROM u GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
+  formatted_chars::BIGINT AS formatted_chars FROM g""",
+)
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], chats.schema)
+    return chat.digests(chat.format_chats(chats.unionByName(probe)))
