@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from peerbench.llm import chat, exact_dedup, mixing, pii, quality, warc
+from peerbench.llm import chat, exact_dedup, html_extract, language_id, mixing, pii, quality, sentencepiece_codec, warc
 from peerbench.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,6 +105,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr(*[c if c != "failed" else "array_join(failed, ',') AS failed" for c in found.columns])
 
 
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    prototypes = language_id.learn(docs.filter(~language_id.held_out(F.col("doc_id"))))
+    found = language_id.predict(docs, prototypes)
+    return found.withColumn("held_out", language_id.held_out(F.col("doc_id")))
+
+
 @query(
     "op4_warc",
     """WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
@@ -120,6 +129,20 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 PII_KEY = "catalogue"
 
 
+#: The model that the query encodes with; a user names their own file.
+MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode(read(spark, sf_dir, "documents"), sentencepiece_codec.Model.load(MODEL_FILE))
+
+
+@query("op7_html_extraction")
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
 @query("op8_pii")
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pseudonymise(read(spark, sf_dir, "documents"), PII_KEY)
