@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peerbench.session import durable
+
 DIMENSIONS = 1024
 GRAM = 3
 SEED = 7
@@ -150,7 +152,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dimen
         yield pd.DataFrame({"lang": list(total), "vector": list(total.values())})
 
     given = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna()
-    summed = (
+    summed = durable(
         given.mapInPandas(sums, "lang string, vector array<long>")
         .select("lang", F.posexplode("vector"))
         .groupBy("lang", "pos")
@@ -159,7 +161,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dimen
     if summed.select("lang").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
         raise ValueError("the language column holds too many values")
     out: dict[str, np.ndarray] = {}
-    for lang, pos, value in summed.toLocalIterator():
+    for lang, pos, value in summed.collect():  # at most MOST_LANGUAGES * dimensions rows
         out.setdefault(lang, np.zeros(dimensions))[pos] = value
     return {k: unit(v[None])[0] for k, v in sorted(out.items()) if v.any()}
 
