@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerbench.llm import chat, exact_dedup, html_extract, language_id, mixing, pii, quality, sentencepiece_codec, warc
+from peerbench.llm import chat, exact_dedup, html_extract, language_id, mixing, ngram_join, pii, quality, sentencepiece_codec, warc
 from peerbench.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr(*[c if c != "failed" else "array_join(failed, ',') AS failed" for c in found.columns])
 
 
+@query("op2_ngram_jaccard_join")
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.NgramJoin(read(spark, sf_dir, "documents")).components()
+
+
 @query("op3_language_id")
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
