@@ -5,11 +5,13 @@
    share an n-gram among the first of either (a quarter of the set, for 75 %), so only those are
    posted; postings that no other class shares fall away.
 3. Candidates are pairs that share postings. How many they share bounds their overlap, which
-   drops nearly all that don't link. First each class meets two leaders of each posting's group, which
-   joins large groups of near copies with as many pairs as they have members. Then every pair within a
-   posting whose members are not yet joined is a candidate: none is left out.
-4. Overlaps are exact: the order is cut into fragments, each fragment of a pair's sets is intersected
-   apart, and the counts are summed per pair.
+   drops nearly all that don't link. First each class meets one leader of its postings, which
+   joins large groups of near copies with as many pairs as they have members; where a wide posting
+   is still split between groups, two more rounds let the smaller groups' members meet leaders of the
+   largest. Then every pair within a posting whose members are not yet joined is a candidate: none is
+   left out.
+4. Overlaps are exact: the order is cut into fragments (more for larger sets), each fragment of a
+   pair's sets is intersected apart, and the counts are summed per pair.
 5. Links are closed to groups by large-star and small-star rounds.
 
 Frequent n-grams are found by counts within tasks that are added up; only the order depends on them,
@@ -32,7 +34,10 @@ from peerbench.session import durable
 
 WORDS = 5
 PERCENT = 75
-FRAGMENT_BITS = 3
+FRAGMENT_GRAMS = 2048  # of a set in a fragment, about
+LEVELS = 8  # a level has 8 times the fragments of the one before
+WIDE = 32  # members from which a posting that is split between groups gets more leaders
+LATER_LEADERS = (4, 8)  # of a posting, and tried by a class, in a later round
 BASE = np.uint64(0x9E3779B97F4A7C15)
 CHARS = 1 << 22  # characters handled at a time
 KEPT_WORDS = 1 << 19
@@ -197,29 +202,39 @@ def _slot(doc_id: np.ndarray) -> np.ndarray:
     return doc_id & ((1 << SLOT_BITS) - 1)
 
 
-def _segments(words: int, bits: np.ndarray):
-    """Fragments of the sets of documents that the bit table lets through: (key, fragment, grams)."""
-    bounds = np.arange(1, 1 << FRAGMENT_BITS, dtype=np.int64) << (63 - FRAGMENT_BITS)
+def _level(n: int) -> int:
+    """How finely a set of this size is cut: into 8 ** level fragments."""
+    return sum(n > FRAGMENT_GRAMS << (3 * k) for k in range(LEVELS))
+
+
+def _segments(words: int, percent: int, sides: list[np.ndarray]):
+    """Fragments of the sets of documents that a bit table lets through, first and second side.
+
+    A set is cut at its own level and at that of the largest set it can link with; others don't occur.
+    """
 
     def work(parts):
         shingler = Shingler(words)
         for ids, texts in parts:
             slots = _slot(np.array([-1 if i is None else i for i in ids], np.int64))
-            through = bits[slots >> 3] >> (slots & 7) & 1
-            sets = shingler.sets([t for t, b in zip(texts, through.tolist(), strict=True) if b])
-            keys, fragments, cuts = [], [], [0]
-            for s in sets:
-                ends = [*np.searchsorted(s, bounds).tolist(), len(s)]
-                key, base, last = _key(s), cuts[-1], 0
-                for f, end in enumerate(ends):
-                    if end > last:
-                        keys.append(key)
-                        fragments.append(f)
-                        cuts.append(base + end)
-                        last = end
-            if keys:
-                grams = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(sets)))
-                yield {"key": keys, "fragment": fragments, "grams": grams}
+            first, second = ((bits[slots >> 3] >> (slots & 7) & 1).astype(bool) for bits in sides)
+            some = np.flatnonzero(first | second).tolist()
+            rows, pieces, cuts = [], [], [0]
+            for k, s in zip(some, shingler.sets([texts[k] for k in some]), strict=True):
+                key = _key(s)
+                for level in {_level(len(s)), _level(len(s) * 100 // percent)}:
+                    bounds = np.arange(1, 8**level, dtype=np.int64) << (63 - 3 * level)
+                    base, last = cuts[-1], 0
+                    for f, end in enumerate([*np.searchsorted(s, bounds).tolist(), len(s)]):
+                        if end > last:
+                            rows.append((bool(first[k]), bool(second[k]), key, level, f))
+                            cuts.append(base + end)
+                            last = end
+                    pieces.append(s)
+            if rows:
+                grams = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(pieces)))
+                names = ["first", "second", "key", "level", "fragment"]
+                yield {**dict(zip(names, zip(*rows, strict=True), strict=True)), "grams": grams}
 
     return work
 
@@ -277,41 +292,70 @@ class NgramJoin:
         behind = F.ceil(p * most / 100) - 1
         return (100 * least >= p * most) & ((100 + p) * (shared + behind) >= p * (n_a + n_b))
 
-    def _leader_pairs(self) -> DataFrame:
-        """(a, b): each class with the leaders, two per posting, of which it shares most."""
+    def _leader_pairs(self, met: DataFrame, tries: int) -> DataFrame:
+        """(a, b): of the leaders that classes meet (node, n, leader: a row per posting), the `tries` best."""
+        counted = met.filter("node <> leader").groupBy("node", "n", "leader").count()
+        sizes = self.classes.select(F.col("node").alias("leader"), F.col("n").alias("n_leader"))
+        able = counted.join(sizes, "leader").filter(self._may_link(F.col("count"), F.col("n"), F.col("n_leader")))
+        best = Window.partitionBy("node").orderBy(F.desc("count"), "leader")
+        placed = able.withColumn("_place", F.row_number().over(best)).filter(F.col("_place") <= tries)
+        return placed.select(F.col("node").alias("a"), F.col("leader").alias("b"))
+
+    def _first_leaders(self) -> DataFrame:
         leaders = self.shared.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
+        met = self.shared.join(leaders, "token").select("node", "n", F.explode(F.array("lo", "hi")).alias("leader"))
+        return self._leader_pairs(met, 1)
+
+    def _split(self, groups: DataFrame) -> DataFrame:
+        """The postings between classes of different groups: token, node, n, group, size (of the group)."""
+        sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
+        known = groups.join(sizes, "group").withColumnRenamed("group", "_group")
+        here = self.shared.join(known, "node", "left").select(
+            "token", "node", "n", F.coalesce("_group", "node").alias("group"), F.coalesce("size", F.lit(1)).alias("size")
+        )
+        split = here.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count(F.lit(1)).alias("width"))
+        return durable(here.join(split.filter("lo < hi").select("token", "width"), "token"))
+
+    def _later_leaders(self, split: DataFrame, seed: int) -> DataFrame:
+        """In wide postings, members of smaller groups with members of the largest, picked by hash."""
+        per_token, tries = LATER_LEADERS
+        wide = split.filter(F.col("width") >= WIDE)
+        picks = [
+            F.min_by(F.struct("node", "group", "size"), F.struct(-F.col("size"), "group", F.xxhash64("node", F.lit(seed * per_token + k))))
+            for k in range(per_token)
+        ]
+        leaders = wide.groupBy("token").agg(F.array_distinct(F.array(*picks)).alias("leaders"))
         met = (
-            self.shared.join(leaders, "token")
-            .select("node", "n", F.explode(F.array("lo", "hi")).alias("leader"))
-            .filter("node <> leader")
-            .groupBy("node", "n", "leader")
-            .count()
+            wide.join(leaders, "token")
+            .withColumn("leader", F.explode("leaders"))
+            .filter("group <> leader.group AND size <= leader.size")
+            .select("node", "n", F.col("leader.node").alias("leader"))
         )
-        sizes = self.classes.select(F.col("node").alias("leader"), F.col("n").alias("n_leader"))
-        able = met.join(sizes, "leader").filter(self._may_link(F.col("count"), F.col("n"), F.col("n_leader")))
-        best = Window.partitionBy("node").orderBy(F.desc("count"), "leader")
-        return able.withColumn("_place", F.row_number().over(best)).filter("_place <= 2").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-
-    def _cross_pairs(self, groups: DataFrame, done: DataFrame) -> DataFrame:
-        """(a, b) with a < b: all pairs that can link, share a posting and are not in one group yet."""
-        known = groups.withColumnRenamed("group", "_group")
-        in_group = self.shared.join(known, "node", "left").withColumn("group", F.coalesce("_group", "node")).drop("_group")
-        split = in_group.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token")
-        left = durable(in_group.join(split, "token", "left_semi"))
-        a = left.select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("group").alias("group_a"))
-        b = left.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("group_b"))
-        apart = (F.col("a") < F.col("b")) & (F.col("group_a") != F.col("group_b"))
-        near = 100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")
-        pairs = a.join(b, "token").filter(apart & near).groupBy("a", "b", "n_a", "n_b").count()
-        able = pairs.filter(self._may_link(F.col("count"), F.col("n_a"), F.col("n_b"))).select("a", "b")
+        return self._leader_pairs(met, tries)
+
+    def _cross_pairs(self, left: DataFrame, done: DataFrame) -> DataFrame:
+        """(a, b) with a < b: all pairs that can link, share a split posting and are not in one group yet."""
+        own = left.groupBy("node").agg(F.collect_list("token").alias("tokens"))  # no more than the first of a set
+        left = durable(left.select("token", "node", "n", "group").join(own, "node"))
+        a, b = (left.select("token", *[F.col(c).alias(f"{c}_{x}") for c in left.columns if c != "token"]) for x in "ab")
+        # A pair meets in each n-gram it shares; it counts at the first, and only if it can link.
+        both = F.array_intersect("tokens_a", "tokens_b")
+        able = (
+            (F.col("node_a") < F.col("node_b"))
+            & (F.col("group_a") != F.col("group_b"))
+            & self._may_link(F.least(F.size("tokens_a"), F.size("tokens_b")), F.col("n_a"), F.col("n_b"))
+            & (F.array_min(both) == a["token"])
+            & self._may_link(F.size(both), F.col("n_a"), F.col("n_b"))
+        )
+        able = a.join(b, (a["token"] == b["token"]) & able).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
         tried = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         return able.join(tried, ["a", "b"], "left_anti")
 
-    def _bits(self, needed: DataFrame) -> np.ndarray:
-        """A table of 2 ** SLOT_BITS bits, set for the first document of each class needed."""
-        slot = F.coalesce("first_id", F.lit(-1)).bitwiseAND((1 << SLOT_BITS) - 1)
+    def _bits(self, needed: Column, pairs: DataFrame) -> np.ndarray:
+        """A table of 2 ** SLOT_BITS bits, set for the documents named."""
+        slot = F.coalesce(needed, F.lit(-1)).bitwiseAND((1 << SLOT_BITS) - 1)
         words = (
-            needed.select(slot.alias("slot"))
+            pairs.select(slot.alias("slot"))
             .select(F.shiftright("slot", 5).cast("int").alias("word"), F.expr("shiftleft(1L, cast(slot & 31 AS int))").alias("bit"))
             .groupBy("word")
             .agg(F.bit_or("bit").alias("bits"))
@@ -325,11 +369,13 @@ class NgramJoin:
         """The pairs (a, b) that link, with their overlap."""
         facts = {c: self.classes.select(F.col("node").alias(c), F.col("key").alias(f"key_{c}"), F.col("n").alias(f"n_{c}"), F.col("first_id").alias(f"id_{c}")) for c in "ab"}
         pairs = durable(pairs.join(facts["a"], "a").join(facts["b"], "b"))
-        needed = pairs.select(F.explode(F.array("id_a", "id_b")).alias("first_id"))
-        segments = durable(_scan(self.scan, "key binary, fragment int, grams array<long>", _segments(self.words, self._bits(needed))))
-        a = segments.withColumnsRenamed({"key": "key_a", "grams": "grams_a"}).join(pairs, "key_a")
-        b = segments.withColumnsRenamed({"key": "key_b", "grams": "grams_b"})
-        counted = a.join(b, ["key_b", "fragment"]).select(
+        sides = [self._bits(F.col(c), pairs) for c in ("id_a", "id_b")]
+        schema = "first boolean, second boolean, key binary, level int, fragment int, grams array<long>"
+        segments = durable(_scan(self.scan, schema, _segments(self.words, self.percent, sides)))
+        level = sum((F.greatest("n_a", "n_b") > FRAGMENT_GRAMS << (3 * k)).cast("int") for k in range(LEVELS))
+        a = segments.filter("first").select(F.col("key").alias("key_a"), "level", "fragment", F.col("grams").alias("grams_a"))
+        b = segments.filter("second").select(F.col("key").alias("key_b"), "level", "fragment", F.col("grams").alias("grams_b"))
+        counted = a.join(pairs.withColumn("level", level), ["key_a", "level"]).join(b, ["key_b", "level", "fragment"]).select(
             "a", "b", "n_a", "n_b", "fragment", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("part")
         )
         # A fragment counts once, also where a document's row is repeated.
@@ -342,11 +388,16 @@ class NgramJoin:
 
     def groups(self) -> DataFrame:
         """(node, group) of the classes that link with another; a group is named by its smallest node."""
-        first = durable(self._leader_pairs())
-        links = durable(self._links(first).select("a", "b"))
-        cross = durable(self._cross_pairs(connected(links), first))
-        more = self._links(cross).select("a", "b")
-        return connected(durable(links.unionByName(more)))
+        tried = durable(self._first_leaders())
+        links = durable(self._links(tried).select("a", "b"))
+        for seed in range(2):
+            pairs = durable(self._later_leaders(self._split(connected(links)), seed))
+            if pairs.isEmpty():
+                break
+            tried = tried.unionByName(pairs)
+            links = durable(links.unionByName(self._links(pairs).select("a", "b")))
+        cross = self._cross_pairs(self._split(connected(links)), tried)
+        return connected(durable(links.unionByName(self._links(cross).select("a", "b"))))
 
     def components(self, id_col: str = "doc_id") -> DataFrame:
         """One row per document: id, n_shingles, component_id, class_id.
