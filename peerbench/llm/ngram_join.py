@@ -335,19 +335,13 @@ class NgramJoin:
 
     def _cross_pairs(self, left: DataFrame, done: DataFrame) -> DataFrame:
         """(a, b) with a < b: all pairs that can link, share a split posting and are not in one group yet."""
-        own = left.groupBy("node").agg(F.collect_list("token").alias("tokens"))  # no more than the first of a set
-        left = durable(left.select("token", "node", "n", "group").join(own, "node"))
-        a, b = (left.select("token", *[F.col(c).alias(f"{c}_{x}") for c in left.columns if c != "token"]) for x in "ab")
-        # A pair meets in each n-gram it shares; it counts at the first, and only if it can link.
-        both = F.array_intersect("tokens_a", "tokens_b")
-        able = (
-            (F.col("node_a") < F.col("node_b"))
-            & (F.col("group_a") != F.col("group_b"))
-            & self._may_link(F.least(F.size("tokens_a"), F.size("tokens_b")), F.col("n_a"), F.col("n_b"))
-            & (F.array_min(both) == a["token"])
-            & self._may_link(F.size(both), F.col("n_a"), F.col("n_b"))
+        a, b = (left.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "group")]) for x in "ab")
+        apart = (F.col("node_a") < F.col("node_b")) & (F.col("group_a") != F.col("group_b"))
+        near = 100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")
+        pairs = a.join(b, (a["token"] == b["token"]) & apart & near).groupBy("node_a", "node_b", "n_a", "n_b").count()
+        able = pairs.filter(self._may_link(F.col("count"), F.col("n_a"), F.col("n_b"))).select(
+            F.col("node_a").alias("a"), F.col("node_b").alias("b")
         )
-        able = a.join(b, (a["token"] == b["token"]) & able).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
         tried = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         return able.join(tried, ["a", "b"], "left_anti")
 
