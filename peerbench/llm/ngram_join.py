@@ -37,7 +37,7 @@ PERCENT = 75
 FRAGMENT_GRAMS = 2048  # of a set in a fragment, about
 LEVELS = 8  # a level has 8 times the fragments of the one before
 WIDE = 32  # members from which a posting that is split between groups gets more leaders
-LATER_LEADERS = (4, 8)  # of a posting, and tried by a class, in a later round
+LATER_LEADERS = (8, 24)  # of a posting, and tried by a class, in a later round
 BASE = np.uint64(0x9E3779B97F4A7C15)
 CHARS = 1 << 22  # characters handled at a time
 KEPT_WORDS = 1 << 19
@@ -166,7 +166,8 @@ def _prefix(n: int, percent: int) -> int:
 
 
 def _postings(words: int, percent: int, tokens: np.ndarray, ranks: np.ndarray):
-    """The first n-grams of each class: (spot, cls, rank), rank -1 where not frequent.
+    """The first n-grams of each class: (spot, cls, order); order has the place in the set in its low
+    32 bits, above them 0 or 1 + the rank of a frequent n-gram.
 
     A frequent n-gram's rows get spots apart from each other, so that no task has them all.
     """
@@ -189,11 +190,12 @@ def _postings(words: int, percent: int, tokens: np.ndarray, ranks: np.ndarray):
                     rank = np.sort(ranks[at[is_heavy]])[: p - len(light)]
                 else:
                     light, rank = s[:p], np.empty(0, np.int64)
+                size = len(light) + len(rank)
                 spots.append(np.concatenate([light, rank * 0x9E3779B1 ^ cls]))
-                orders.append(np.concatenate([np.full(len(light), -1), rank]))
-                classes.append(np.full(len(light) + len(rank), cls))
+                orders.append(np.concatenate([np.zeros(len(light), np.int64), rank + 1]) << 32 | np.arange(size))
+                classes.append(np.full(size, cls))
             if spots:
-                yield {"spot": np.concatenate(spots), "cls": np.concatenate(classes), "rank": np.concatenate(orders)}
+                yield {"spot": np.concatenate(spots), "cls": np.concatenate(classes), "order": np.concatenate(orders)}
 
     return work
 
@@ -274,13 +276,16 @@ class NgramJoin:
         self.shared = self._shared(tokens, ranks)
 
     def _shared(self, tokens: np.ndarray, ranks: np.ndarray) -> DataFrame:
-        """Postings (token, node, n) of n-grams that two classes or more may share. Frequent ones have negative tokens."""
-        posted = _scan(self.scan, "spot long, cls long, rank long", _postings(self.words, self.percent, tokens, ranks))
-        one = Window.partitionBy("spot")
-        some = posted.withColumns({"_lo": F.min("cls").over(one), "_hi": F.max("cls").over(one)}).filter("rank >= 0 OR _lo < _hi")
-        token = F.when(F.col("rank") >= 0, -1 - F.col("rank")).otherwise(F.col("spot"))
-        kept = some.select(token.alias("token"), "cls").distinct()
-        return durable(kept.join(self.classes.select("cls", "node", "n"), "cls").select("token", "node", "n"))
+        """Postings (token, node, n, place) of n-grams that two classes or more may share.
+
+        Frequent ones have negative tokens.
+        """
+        posted = _scan(self.scan, "spot long, cls long, order long", _postings(self.words, self.percent, tokens, ranks))
+        one, rank = Window.partitionBy("spot"), F.shiftright("order", 32)
+        some = posted.withColumns({"_lo": F.min("cls").over(one), "_hi": F.max("cls").over(one)}).filter((rank > 0) | (F.col("_lo") < F.col("_hi")))
+        token, place = F.when(rank > 0, -rank).otherwise(F.col("spot")), F.col("order").bitwiseAND(0xFFFFFFFF)
+        kept = some.select(token.alias("token"), "cls", place.alias("place")).distinct()
+        return durable(kept.join(self.classes.select("cls", "node", "n"), "cls").select("token", "node", "n", "place"))
 
     def _may_link(self, shared: Column, n_a: Column, n_b: Column) -> Column:
         """Whether sets of these sizes can link that share so many of their first n-grams.
@@ -311,7 +316,7 @@ class NgramJoin:
         sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
         known = groups.join(sizes, "group").withColumnRenamed("group", "_group")
         here = self.shared.join(known, "node", "left").select(
-            "token", "node", "n", F.coalesce("_group", "node").alias("group"), F.coalesce("size", F.lit(1)).alias("size")
+            "token", "node", "n", "place", F.coalesce("_group", "node").alias("group"), F.coalesce("size", F.lit(1)).alias("size")
         )
         split = here.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count(F.lit(1)).alias("width"))
         return durable(here.join(split.filter("lo < hi").select("token", "width"), "token"))
@@ -335,13 +340,14 @@ class NgramJoin:
 
     def _cross_pairs(self, left: DataFrame, done: DataFrame) -> DataFrame:
         """(a, b) with a < b: all pairs that can link, share a split posting and are not in one group yet."""
-        a, b = (left.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "group")]) for x in "ab")
+        a, b = (left.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "place", "group")]) for x in "ab")
+        p = self.percent
         apart = (F.col("node_a") < F.col("node_b")) & (F.col("group_a") != F.col("group_b"))
-        near = 100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")
-        pairs = a.join(b, (a["token"] == b["token"]) & apart & near).groupBy("node_a", "node_b", "n_a", "n_b").count()
-        able = pairs.filter(self._may_link(F.col("count"), F.col("n_a"), F.col("n_b"))).select(
-            F.col("node_a").alias("a"), F.col("node_b").alias("b")
-        )
+        near = 100 * F.least("n_a", "n_b") >= p * F.greatest("n_a", "n_b")
+        # The first n-gram that linked sets share has all of their overlap from its place on, in both.
+        ahead = (100 + p) * F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) >= p * (F.col("n_a") + F.col("n_b"))
+        met = a.join(b, (a["token"] == b["token"]) & apart & near & ahead)
+        able = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
         tried = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         return able.join(tried, ["a", "b"], "left_anti")
 
