@@ -347,7 +347,14 @@ class NgramJoin:
         # The first n-gram that linked sets share has all of their overlap from its place on, in both.
         ahead = (100 + p) * F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) >= p * (F.col("n_a") + F.col("n_b"))
         met = a.join(b, (a["token"] == b["token"]) & apart & near & ahead)
-        able = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+        pairs = met.select("node_a", "n_a", "node_b", "n_b").distinct()
+        own = durable(left.groupBy("node").agg(F.collect_list("token").alias("tokens")))  # no more than the first of a set
+        for x in "ab":
+            pairs = pairs.join(own.select(F.col("node").alias(f"node_{x}"), F.col("tokens").alias(f"tokens_{x}")), f"node_{x}")
+        shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
+        able = pairs.filter(self._may_link(shared, F.col("n_a"), F.col("n_b"))).select(
+            F.col("node_a").alias("a"), F.col("node_b").alias("b")
+        )
         tried = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         return able.join(tried, ["a", "b"], "left_anti")
 
