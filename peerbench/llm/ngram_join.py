@@ -332,8 +332,7 @@ class NgramJoin:
         leaders = wide.groupBy("token").agg(F.array_distinct(F.array(*picks)).alias("leaders"))
         met = (
             wide.join(leaders, "token")
-            .withColumn("leader", F.explode("leaders"))
-            .filter("group <> leader.group AND size <= leader.size")
+            .withColumn("leader", F.explode(F.expr("filter(leaders, x -> group <> x.group AND size <= x.size)")))
             .select("node", "n", F.col("leader.node").alias("leader"))
         )
         return self._leader_pairs(met, tries)
