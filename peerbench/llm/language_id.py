@@ -149,7 +149,8 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dimen
                 total[lang] = total.get(lang, 0) + scaled[rows].sum(axis=0)
             if len(total) > MOST_LANGUAGES:
                 raise ValueError("the language column holds too many values")
-        yield pd.DataFrame({"lang": list(total), "vector": list(total.values())})
+        if total:
+            yield pd.DataFrame({"lang": list(total), "vector": [v.tolist() for v in total.values()]})
 
     given = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna()
     summed = durable(
