@@ -92,7 +92,11 @@ def once(value: Column, use) -> Column:
 
 
 def figures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds _figures: a struct of all counts of a text. Null counts as empty."""
+    """Adds _figures: a struct of all counts of a text. Null counts as empty.
+
+    It is exploded from an array of one, so that a filter above reads the counts; pushed below, it
+    would work them out again for every rule.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
 
     def counts(ws: Column) -> Column:
@@ -107,7 +111,7 @@ def figures(docs: DataFrame, text_col: str = "text") -> DataFrame:
             F.size(F.filter(ws, lambda w: F.array_contains(lower, F.lower(w)))).cast("long").alias("n_stop_words"),
         )
 
-    return docs.withColumn("_figures", once(words(text), counts))
+    return docs.withColumn("_figures", F.explode(F.array(once(words(text), counts))))
 
 
 def verdicts(docs: DataFrame, rules: list[Rule] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
