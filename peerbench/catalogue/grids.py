@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from peerbench.catalogue.registry import query, sql_blank
-from peerbench.constants import ENTITY_SHEET_WORDS, METRIC_SHEET_WORDS
+from peerbench.constants import ENTITY_SHEET_WORDS, METRIC_SHEET_WORDS, SUPERHEADER_WORDS
 from peerbench.operators import sheets as s
 from peerbench.session import durable
 
@@ -17,7 +17,7 @@ def _any(words) -> str:
 
 
 _SQL_HEADER_ROWS = f"""header_rows AS (SELECT {_SHEET}, min(row_idx) AS header_row FROM {{cells}}
-  WHERE row_idx < 10 AND upper(trim(value)) = 'RIC' GROUP BY {_SHEET})"""
+  WHERE upper(trim(value)) = 'RIC' GROUP BY {_SHEET})"""
 
 
 @query(
@@ -41,6 +41,15 @@ def header_detect(v):
     return s.header_rows(v.cells)
 
 
+@query(
+    "sheets_without_header",
+    f"""SELECT {_SHEET}, count(*) AS n_cells FROM {{cells}} c GROUP BY {_SHEET}
+HAVING count(*) FILTER (upper(trim(value)) = 'RIC') = 0""",
+)
+def sheets_without_header(v):
+    return s.sheets_without_header(v.cells)
+
+
 @query(
     "header_promote",
     f"""WITH {_SQL_HEADER_ROWS},
@@ -62,7 +71,7 @@ def header_promote(v):
 
 _SQL_NAME_COLUMNS = f"""marks AS (SELECT {_SHEET}, row_idx, col_idx,
     CASE lower(trim(value)) WHEN 'ric' THEN 1 ELSE 0 END AS rank FROM {{cells}}
-  WHERE row_idx < 10 AND lower(trim(value)) IN ('holding', 'universe', 'ric')),
+  WHERE lower(trim(value)) IN ('holding', 'universe', 'ric')),
 name_columns AS (SELECT {_SHEET}, row_idx AS header_row, col_idx AS name_col FROM (SELECT *,
     row_number() OVER (PARTITION BY file, sheet ORDER BY row_idx, rank, col_idx) AS rn FROM marks) x
   WHERE rn = 1)"""
@@ -73,10 +82,7 @@ def name_column(v):
     return s.name_columns(v.cells)
 
 
-_ABOVE = " OR ".join(
-    f"contains(upper(c.value), '{w}')"
-    for w in ("ISIN", "FLOAT", "FREE", "MARKET", "CURRENCY", "P/E", "P/B", "ROE", "ROA", "EBIT")
-)
+_ABOVE = " OR ".join(f"contains(upper(c.value), '{w}')" for w in SUPERHEADER_WORDS)
 _SQL_SUPERHEADER = f"""{_SQL_NAME_COLUMNS},
 top AS (SELECT c.*, header_row FROM {{cells}} c JOIN name_columns n
   ON n.file = c.file AND n.sheet = c.sheet WHERE c.row_idx <= header_row),
@@ -119,8 +125,9 @@ def header_promote_by_name(v):
   max(CASE WHEN col_idx = 2 THEN value END) AS sub_industry,
   max(CASE WHEN col_idx = 3 THEN value END) AS focus,
   max(CASE WHEN col_idx = 4 THEN value END) AS id
-FROM {{cells}} WHERE row_idx > 2 AND {_any(ENTITY_SHEET_WORDS)}
-GROUP BY {_SHEET}, row_idx HAVING max(col_idx) >= 4""",
+FROM {{cells}} WHERE row_idx > 2 AND {_any(ENTITY_SHEET_WORDS)} AND (file_ord, sheet_ord) IN
+  (SELECT (file_ord, sheet_ord) FROM {{cells}} GROUP BY file_ord, sheet_ord HAVING max(col_idx) >= 4)
+GROUP BY {_SHEET}, row_idx""",
 )
 def positional_entities(v):
     return s.positional_entities(v.cells)
@@ -133,8 +140,17 @@ def bounded_scan(v):
 
 @query(
     "code_normalize",
-    """SELECT file, sheet, count(*) AS n_changed FROM {cells} WHERE upper(trim(value)) = 'RL'
-GROUP BY file, sheet""",
+    f"""SELECT {_SHEET}, row_idx, col_idx, upper(trim(value)) = 'RL' AS changed,
+  CASE WHEN upper(trim(value)) = 'RL' THEN 'RL.N' ELSE value END AS value FROM {{cells}}""",
 )
 def code_normalize(v):
+    return s.rewrite_codes(v.cells)
+
+
+@query(
+    "code_changes",
+    f"""SELECT {_SHEET}, count(*) AS n_changed FROM {{cells}} WHERE upper(trim(value)) = 'RL'
+GROUP BY {_SHEET}""",
+)
+def code_changes(v):
     return s.changed_sheets(s.rewrite_codes(v.cells))

@@ -11,6 +11,7 @@ from peerbench.catalogue.registry import (
     sql_blank,
     sql_number,
 )
+from peerbench.constants import ERROR_TOKENS
 from peerbench.functions import fieldnames as fn
 from peerbench.functions import numbers as num
 from peerbench.functions.labels import sector_of_file
@@ -30,9 +31,7 @@ tiers AS (SELECT * FROM (SELECT header, field, CASE WHEN header = field THEN 1
     WHEN length(field) > 4 AND length(hc) > 3 AND (contains(lower(hc), lower(field))
       OR contains(lower(field), lower(hc))) THEN 4 END AS tier FROM h, f) x WHERE tier IS NOT NULL)"""
 
-_ERRORS = """contains(upper(v), 'THE RECORD COULD NOT BE FOUND') OR contains(upper(v), 'ERROR CODE: 0')
-  OR contains(upper(v), 'NO DATA AVAILABLE') OR contains(upper(v), 'DATA NOT AVAILABLE')
-  OR contains(upper(v), 'N/A') OR contains(upper(v), '#ERROR') OR contains(upper(v), 'NULL')"""
+_ERRORS = " OR ".join(f"contains(upper(v), '{t}')" for t in ERROR_TOKENS)
 _CODES = """upper(trim(v)) = upper(trim(id))
   OR regexp_full_match(upper(trim(v)), '[A-Z]{{1,6}}\\.[A-Z]{{1,3}}')
   OR regexp_full_match(upper(trim(v)), '[A-Z]{{1,6}}')"""
@@ -260,9 +259,12 @@ def relative_period(v):
 
 @query(
     "vendor_lookup",
-    f"""WITH f(field) AS (VALUES ('EBIT'), ('Revenue'), ('Nothing')),
+    f"""WITH f(field) AS (VALUES ('EBIT'), ('Revenue'), ('Nothing'), ('EBIT(Period=FY-1)')),
 k AS (SELECT upper(trim(id)) AS id, replace(field, 'TR.', '') AS field,
-  arg_max(value, ord) AS value FROM {{vend}} GROUP BY upper(trim(id)), replace(field, 'TR.', '')),
+  arg_max(value, ord) AS value FROM {{vend}} GROUP BY upper(trim(id)), replace(field, 'TR.', '')
+  UNION ALL SELECT e.id, 'EBIT(Period=FY-1)', arg_max(value, ord) FROM {{vend}} e
+  JOIN (SELECT id, max(fy) AS latest FROM {{vend}} GROUP BY id) l ON l.id = e.id
+  WHERE e.field = 'TR.EBIT' AND e.fy = l.latest - 1 GROUP BY e.id),
 w AS (SELECT concat('c', c_custkey) AS id FROM {{customer}})
 SELECT w.id, f.field, k.value, CASE WHEN value IS NULL THEN ''
   WHEN {sql_number("value")} >= 1000 THEN format('{{{{:,.0f}}}}', {sql_number("value")})
@@ -272,7 +274,7 @@ FROM w JOIN f ON true LEFT JOIN k ON k.id = upper(w.id) AND k.field = f.field"""
 )
 def vendor_lookup(v):
     ids = v.customer.select(F.concat(F.lit("c"), "c_custkey").alias("id"))
-    return m.vendor_lookup(v.vend, ids, ["EBIT", "TR.Revenue", "TR.Nothing", "TR.EBIT", " "])
+    return m.vendor_lookup(v.vend, ids, ["EBIT", "TR.Revenue", "TR.Nothing", "TR.EBIT", " ", "TR.EBIT(Period=FY-1)"])
 
 
 @query(

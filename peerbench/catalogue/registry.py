@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from peerbench.catalogue.views import view, with_views
+from peerbench.constants import SECTOR_CODES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,10 +57,7 @@ def sql_name(holding: str = "holding", universe: str = "universe", entity_id: st
     )
 
 
-SQL_CODES = """codes(sector, code) AS (VALUES ('Energy', '10'), ('Materials', '15'),
-  ('Industrials', '20'), ('Consumer Discretionary', '25'), ('Consumer Staples', '30'),
-  ('Health Care', '35'), ('Financials', '40'), ('Information Technology', '45'),
-  ('Communication Services', '50'), ('Utilities', '55'), ('Real Estate', '60'))"""
+SQL_CODES = f"codes(sector, code) AS (VALUES {', '.join(map(str, SECTOR_CODES))})"
 SQL_SCREENED = "is_active AND is_public AND is_primary AND curn = 'USD'"
 
 _SQL_CHOICE = """CASE WHEN upper(trim(focus_flag)) = 'X' THEN 'Focus'
@@ -94,7 +92,7 @@ assigned AS (SELECT *,
   CASE WHEN group_choice = 'Focus' AND {sql_null_token("focus")} IS NOT NULL THEN 'Focus'
        WHEN {sql_null_token("sub_industry")} IS NOT NULL THEN 'Sub-Industry' ELSE 'Self' END AS group_type,
   CASE WHEN group_choice = 'Focus' AND {sql_null_token("focus")} IS NOT NULL THEN trim(focus)
-       ELSE coalesce({sql_null_token("sub_industry")}, entity_id) END AS group_value
+       ELSE coalesce({sql_null_token("sub_industry")}, entity_id, name) END AS group_value
   FROM resolved),
 groups AS (SELECT * FROM (SELECT *,
   row_number() OVER (PARTITION BY group_type, group_value ORDER BY row_number) AS rn

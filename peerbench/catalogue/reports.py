@@ -13,6 +13,7 @@ from peerbench.catalogue.registry import (
     query,
     sql_number,
 )
+from peerbench.constants import SECTOR_FILE_PATTERNS
 from peerbench.functions.fieldnames import field_keys
 from peerbench.operators import benchmarks as b
 from peerbench.operators import metrics as m
@@ -207,7 +208,8 @@ def value_coverage(v):
 
 @query(
     "sheet_hits",
-    "SELECT file, sheet, count(*) AS n_entities FROM {ent_rows} GROUP BY file, sheet",
+    """SELECT file, file_ord, sheet, sheet_ord, count(*) AS n_entities FROM {ent_rows}
+GROUP BY file, file_ord, sheet, sheet_ord""",
 )
 def sheet_hits(v):
     return r.sheet_hits(v.ent_rows)
@@ -230,11 +232,18 @@ def column_profile(v):
 
 
 SHEET_FIELDS = ["Revenue", "Net Margin (Pct)", "Currency", "Nothing here"]
-VENDOR_FIELDS = ["TR.EBIT", "Price", "TR.Quantity", "TotalAssets"]
+VENDOR_FIELDS = ["TR.EBIT", "Price", "TR.Quantity", "TotalAssets", "TR.EBIT(Period=FY-1)"]
 
 
 _ASKED = ", ".join(f"('{f}')" for f in SHEET_FIELDS)
-_SHOWN = [*SHEET_FIELDS, *field_keys(VENDOR_FIELDS)]
+_SHOWN = [f for f in [*SHEET_FIELDS, *field_keys(VENDOR_FIELDS)] if f not in ("Currency", "Nothing here")]
+# Left out as empty: currencies are codes, so no value.
+_SQL_FITS = " ".join(
+    f"WHEN '{w}' THEN {' OR '.join(f"regexp_matches(file, '(?i){p}')" for p in patterns)}"
+    for w, patterns in SECTOR_FILE_PATTERNS.items()
+)
+_SQL_TOP = """(SELECT sector FROM heads WHERE sector IS NOT NULL GROUP BY sector
+  ORDER BY count(*) DESC, min((row_number, file_ord, sheet_ord, row_idx)) LIMIT 1)"""
 _SQL_REPORT = f"""{SQL_RESOLVED}, {SQL_MEMBERS}, {SQL_CODES},
 f(field) AS (VALUES {_ASKED}), {SQL_HITS},
 peers AS (SELECT g.group_type, g.group_value, g.row_number, coalesce(m.id, g.entity_id) AS id,
@@ -248,11 +257,13 @@ sec AS (SELECT upper(trim(id)) AS key,
   arg_min({_SQL_SECTOR}, file_ord) FILTER ({_SQL_SECTOR} IS NOT NULL) AS sector
   FROM {{ent_rows}} GROUP BY upper(trim(id))),
 heads AS (SELECT p.*, s.sector FROM peers p LEFT JOIN sec s ON s.key = upper(p.id)),
-asked AS (SELECT DISTINCT group_type, group_value, sector FROM assigned WHERE sector IS NOT NULL),
-allowed AS (SELECT DISTINCT group_type, group_value, file FROM asked
-  JOIN (SELECT DISTINCT file FROM {{ent_rows}}) x ON CASE lower(sector)
-    WHEN 'consumer' THEN contains(file, 'Consumer') WHEN 'health' THEN starts_with(file, 'Health')
-    WHEN 'it' THEN starts_with(file, 'IT') ELSE contains(lower(file), lower(sector)) END),
+asked AS (SELECT DISTINCT group_type, group_value, sector FROM assigned),
+fits AS (SELECT group_type, group_value, file FROM asked
+  LEFT JOIN (SELECT DISTINCT file FROM {{ent_rows}}) x ON CASE lower(trim(sector))
+    {_SQL_FITS} ELSE contains(lower(file), lower(trim(sector))) END),
+free AS (SELECT DISTINCT group_type, group_value FROM fits WHERE file IS NULL),
+allowed AS (SELECT DISTINCT f.group_type, f.group_value, file FROM fits f LEFT JOIN free x
+  ON x.group_type = f.group_type AND x.group_value = f.group_value WHERE x.group_type IS NULL),
 bound AS (SELECT DISTINCT group_type, group_value FROM allowed),
 mine AS (SELECT p.group_type, p.group_value, p.id, h.field, h.value,
     row_number() OVER (PARTITION BY p.group_type, p.group_value, p.id, h.field
@@ -263,7 +274,10 @@ mine AS (SELECT p.group_type, p.group_value, p.id, h.field, h.value,
     AND a.file = h.file
   WHERE b.group_type IS NULL OR a.file IS NOT NULL),
 vk AS (SELECT id, replace(field, 'TR.', '') AS field, arg_max(value, ord) AS value
-  FROM {{vend}} WHERE field IN ('TR.EBIT', 'TotalAssets') GROUP BY id, replace(field, 'TR.', '')),
+  FROM {{vend}} WHERE field IN ('TR.EBIT', 'TotalAssets') GROUP BY id, replace(field, 'TR.', '')
+  UNION ALL SELECT e.id, 'EBIT(Period=FY-1)', arg_max(value, ord) FROM {{vend}} e
+  JOIN (SELECT id, max(fy) AS latest FROM {{vend}} GROUP BY id) l ON l.id = e.id
+  WHERE e.field = 'TR.EBIT' AND e.fy = l.latest - 1 GROUP BY e.id),
 entity_values AS (
   SELECT group_type, group_value, id, field, {sql_number("value")} AS v FROM mine WHERE rk = 1
   UNION ALL
@@ -295,9 +309,9 @@ long AS (
   FROM heads h LEFT JOIN entity_values e ON e.group_type = h.group_type
     AND e.group_value = h.group_value AND e.id = h.id
   UNION ALL SELECT 1, NULL, NULL, NULL, NULL, 'sub_industry_mean', concat('💼 Ø ', group_value), '',
-    NULL, group_value, NULL, NULL, NULL, field, v FROM gm WHERE group_type = 'Sub-Industry'
+    {_SQL_TOP}, group_value, NULL, NULL, NULL, field, v FROM gm WHERE group_type = 'Sub-Industry'
   UNION ALL SELECT 2, NULL, NULL, NULL, NULL, 'focus_mean', concat('🎯 Ø ', group_value), '',
-    NULL, NULL, group_value, 'Focus-Durchschnitt', concat('Focus-Ø (', n, ' Unternehmen)'), field, v
+    {_SQL_TOP}, NULL, group_value, 'Focus-Durchschnitt', concat('Focus-Ø (', n, ' Unternehmen)'), field, v
     FROM gm WHERE group_type = 'Focus'
   UNION ALL SELECT 3, NULL, NULL, NULL, NULL, 'sector_mean', concat('🏭 Ø ', sector), '', sector,
     NULL, NULL, 'GICS-Sektor-Durchschnitt', 'GICS-Sektor-Ø (Refinitiv-Branchendurchschnitt)',
@@ -307,7 +321,7 @@ long AS (
 @query(
     "peer_report",
     f"""WITH {_SQL_REPORT}
-SELECT {", ".join(HEADS)}, {", ".join(
+SELECT {", ".join(r.BASE)}, {", ".join(
     f"round(max(CASE WHEN field = '{f}' THEN v END), 6) AS " + chr(34) + f + chr(34) for f in _SHOWN
 )} FROM long GROUP BY {", ".join(HEADS)}""",
 )
@@ -315,5 +329,17 @@ def peer_report(v):
     report = run_report(
         v.req, v.ent_rows, v.metrics.drop("name"), v.vend, v.universe, SHEET_FIELDS, VENDOR_FIELDS
     )
-    wide = report.wide()
-    return wide.select(*HEADS, *[F.round(f"`{f}`", 6).alias(f) for f in report.fields])
+    table = report.table()
+    return table.select(*[c if c in r.BASE else F.round(f"`{c}`", 6).alias(c) for c in table.columns])
+
+
+@query(
+    "fill_sector",
+    f"""WITH {_SQL_UNION}, top AS (SELECT sector FROM heads WHERE sector IS NOT NULL GROUP BY sector
+  ORDER BY count(*) DESC, min((row_number, file_ord, sheet_ord, row_idx)) LIMIT 1)
+SELECT row_kind, name, id, field, CASE WHEN row_kind IN ('sub_industry_mean', 'focus_mean')
+  THEN (SELECT sector FROM top) ELSE sector END AS sector FROM report""",
+)
+def fill_sector(v):
+    rows = r.fill_sector(_report_rows(v), r.SORT, _heads(v))
+    return rows.select("row_kind", "name", "id", "field", "sector")

@@ -129,7 +129,19 @@ SELECT sector, field, count(v) AS n_values, median(v) AS median_value
 FROM n GROUP BY sector, field HAVING count(v) > 0""",
 )
 def sector_median_top500(v):
-    return b.sector_medians(v.listings)
+    return b.sector_medians(v.listings, top=500)
+
+
+@query(
+    "sector_median",
+    f"""WITH {SQL_CODES},
+n AS (SELECT sector, field, value AS v FROM {{universe}} JOIN codes ON sector_code = code
+  WHERE {SQL_SCREENED})
+SELECT sector, field, count(v) AS n_values, median(v) AS median_value
+FROM n GROUP BY sector, field HAVING count(v) > 0""",
+)
+def sector_median(v):
+    return b.sector_medians(with_sector_name(screen(v.universe)))
 
 
 @query(
@@ -157,11 +169,8 @@ q AS (SELECT sector, ord, field, {sql_number("value")} AS v
   FROM {{proxies}} p JOIN firsts f ON f.id = p.id),
 bp AS (SELECT sector, field, arg_min(v, ord) FILTER (v IS NOT NULL) AS p1,
   max(v) FILTER (ord = 1) AS p2 FROM q GROUP BY sector, field),
-ids AS (SELECT sector, id FROM (SELECT sector, id,
-    row_number() OVER (PARTITION BY sector ORDER BY id) AS rn
-    FROM (SELECT DISTINCT sector, id FROM {{listings}}) d) x WHERE rn <= 500),
-med AS (SELECT l.sector, field, median({sql_number("value")}) AS m FROM {{listings}} l
-  JOIN ids ON ids.sector = l.sector AND ids.id = l.id GROUP BY l.sector, field)
+med AS (SELECT sector, field, median({sql_number("value")}) AS m FROM {{listings}}
+  GROUP BY sector, field)
 SELECT coalesce(bp.sector, med.sector) AS sector, coalesce(bp.field, med.field) AS field,
   round(coalesce(p1, m, p2), 4) AS value
 FROM bp FULL JOIN med ON bp.sector = med.sector AND bp.field = med.field

@@ -43,32 +43,32 @@ MIN_NAME_LENGTH = 4
 
 # --- Fixed values: sector name -> sector code. ---
 SECTOR_CODES = (
-    ("Energy", "10"),
-    ("Materials", "15"),
-    ("Industrials", "20"),
     ("Consumer Discretionary", "25"),
     ("Consumer Staples", "30"),
-    ("Health Care", "35"),
+    ("Energy", "10"),
     ("Financials", "40"),
+    ("Health Care", "35"),
+    ("Industrials", "20"),
     ("Information Technology", "45"),
+    ("Materials", "15"),
+    ("Real Estate", "60"),
     ("Communication Services", "50"),
     ("Utilities", "55"),
-    ("Real Estate", "60"),
 )
 
 # --- Fixed values: proxy instruments per sector, in the order they are tried. ---
 SECTOR_PROXIES = {
-    "Communication Services": (".SPCM", "XLC", ".DJU5010", "VOX"),
     "Consumer Discretionary": (".SPCD", "XLY", ".DJU5340", "IYC"),
     "Consumer Staples": (".SPCS", "XLP", ".DJU5350", "XLP"),
+    "Information Technology": (".SPIT", "XLK", ".DJU9530", "IGV"),
+    "Health Care": (".SPHC", "XLV", ".DJU4530", "IHI"),
+    "Materials": (".SPMT", "XLB", ".DJU1510", "VAW"),
     "Energy": (".SPEN", "XLE", ".DJU1010", "VDE"),
     "Financials": (".SPFN", "XLF", ".DJU4010", "VFH"),
-    "Health Care": (".SPHC", "XLV", ".DJU4530", "IHI"),
     "Industrials": (".SPIN", "XLI", ".DJU2010", "VIS"),
-    "Information Technology": (".SPIT", "XLK", ".DJU9530", "IGV"),
-    "Materials": (".SPMT", "XLB", ".DJU1510", "VAW"),
-    "Real Estate": (".SPRE", "XLRE", ".DJU6010", "VNQ"),
     "Utilities": (".SPUT", "XLU", ".DJU5510", "VPU"),
+    "Real Estate": (".SPRE", "XLRE", ".DJU6010", "VNQ"),
+    "Communication Services": (".SPCM", "XLC", ".DJU5010", "VOX"),
 }
 
 # --- Fixed values: words in a file name -> sector; the first line that fits wins. ---
@@ -90,13 +90,13 @@ FILE_SECTORS = (
 
 # --- Fixed values: requested sector word -> patterns for file names (any case). ---
 SECTOR_FILE_PATTERNS = {
-    "consumer": r"^(Consumer_|Basic.*Consumer).*\.xlsx$",
-    "materials": r"^Materials_.*\.xlsx$",
-    "health": r"^Health.*\.xlsx$",
-    "it": r"^(IT|.*Technology).*\.xlsx$",
-    "technology": r"^(IT|.*Technology).*\.xlsx$",
-    "utilities": r"^Utilities.*\.xlsx$",
-    "housing": r"^Housing.*\.xlsx$",
+    "consumer": (r"^Consumer_.*\.xlsx$", r"^Basic.*Consumer.*\.xlsx$"),
+    "materials": (r"^Materials_.*\.xlsx$",),
+    "health": (r"^Health.*\.xlsx$",),
+    "it": (r"^IT.*\.xlsx$", r"^.*Technology.*\.xlsx$"),
+    "technology": (r"^IT.*\.xlsx$", r"^.*Technology.*\.xlsx$"),
+    "utilities": (r"^Utilities.*\.xlsx$",),
+    "housing": (r"^Housing.*\.xlsx$",),
 }
 
 # --- Fixed values: code rewrite applied to every cell. ---

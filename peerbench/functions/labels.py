@@ -32,12 +32,18 @@ def sector_of_file(file: Column) -> Column:
     return out
 
 
+def fits_word(file: Column, word: str) -> Column:
+    """Does a file's name fit any pattern of a known sector word?"""
+    hits = [file.rlike(f"(?i){p}") for p in SECTOR_FILE_PATTERNS[word]]
+    return hits[0] if len(hits) == 1 else hits[0] | hits[1]
+
+
 def file_fits_sector(file: Column, sector: Column) -> Column:
     """Does a file belong to a requested sector word?"""
     word = F.lower(F.trim(sector))
     known = None
-    for key, pattern in SECTOR_FILE_PATTERNS.items():
-        hit = file.rlike(f"(?i){pattern}")
+    for key in SECTOR_FILE_PATTERNS:
+        hit = fits_word(file, key)
         known = F.when(word == key, hit) if known is None else known.when(word == key, hit)
     return known.otherwise(F.contains(F.lower(file), word))
 

@@ -39,7 +39,9 @@ def group_means(
         .where(F.col("n_entities") >= min_entities)
         .withColumn("field", each)
     )
-    numbers = metrics.select(norm_key(F.col("id")).alias("id"), "field", as_number(metrics, "value").alias("v"))
+    numbers = metrics.where(F.col("field").isin(*fields)).select(
+        norm_key(F.col("id")).alias("id"), "field", as_number(metrics, "value").alias("v")
+    )
     means = (
         members.select(*GROUP, norm_key(F.col("id")).alias("id"))
         .join(numbers, "id")
@@ -67,7 +69,7 @@ def mean_of_list(vendor: DataFrame, ids: DataFrame, fields: Sequence[str]) -> Da
     )
 
 
-def first_ids_per_sector(universe: DataFrame, top: int = 500) -> DataFrame:
+def first_ids_per_sector(universe: DataFrame, top: int) -> DataFrame:
     """The first ``top`` ids of each sector; the cap is applied before the shuffle."""
     rank = F.row_number().over(Window.partitionBy("sector").orderBy("id"))
     return (
@@ -79,12 +81,13 @@ def first_ids_per_sector(universe: DataFrame, top: int = 500) -> DataFrame:
     )
 
 
-def sector_medians(universe: DataFrame, top: int = 500) -> DataFrame:
-    """Median per (sector, field) over the first ``top`` ids of the sector."""
-    chosen = first_ids_per_sector(universe, top)
-    rows = only(universe, chosen, ["sector", "id"], ["field", "value"]).select(
-        "sector", "field", as_number(universe, "value").alias("v")
-    )
+def sector_medians(universe: DataFrame, top: int | None = None) -> DataFrame:
+    """Median per (sector, field), of all ids or of the first ``top`` of each sector."""
+    chosen = universe
+    if top is not None:
+        firsts = first_ids_per_sector(universe, top)
+        chosen = only(universe, firsts, ["sector", "id"], ["field", "value"])
+    rows = chosen.select("sector", "field", as_number(universe, "value").alias("v"))
     return grouped_quantiles(rows, ["sector", "field"], "v", {"median_value": 0.5})
 
 
@@ -93,12 +96,15 @@ def sector_fallback(
 ) -> DataFrame:
     """Sector figure per field: first proxy with a value, else median, else second proxy.
 
-    ``proxies`` is (sector, ord, id); ``vendor`` (id, field, value, ord).
+    ``proxies`` is (sector, ord, id); ``vendor`` (id, field, value, ord). Only
+    rows of proxies are grouped; ids compare trimmed, in any case.
     """
-    first = vendor.groupBy("id", field_key(F.col("field")).alias("field")).agg(
+    tried = proxies.select("sector", F.col("ord").alias("rank"), norm_key(F.col("id")).alias("id"))
+    rows = only(vendor.withColumn("id", norm_key(F.col("id"))), tried, ["id"], ["ord"])
+    first = rows.groupBy("id", field_key(F.col("field")).alias("field")).agg(
         to_number(first_by(F.col("value"), ["ord"])).alias("v")
     )
-    quoted = proxies.withColumnRenamed("ord", "rank").join(first, "id")
+    quoted = tried.join(first, "id")
     by_proxy = quoted.groupBy("sector", "field").agg(
         F.min_by("v", F.when(F.col("v").isNotNull(), F.col("rank"))).alias("proxy_value"),
         F.max(F.when(F.col("rank") == 1, F.col("v"))).alias("second_proxy"),

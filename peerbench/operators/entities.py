@@ -117,9 +117,12 @@ def id_to_name(ids: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def resolve(requests: DataFrame, entities: DataFrame) -> DataFrame:
-    """Cleaned requests joined to the entity found by id or by name; others drop out."""
+    """Cleaned requests joined to the entity found by id or by name; others drop out.
+
+    A row found by name opens its group even if it has no id.
+    """
     by_name = requests.where(
         F.col("id").isNull() & (F.length("name") >= MIN_NAME_LENGTH)
     )
     found = resolve_by_id(requests, entities).unionByName(resolve_by_name(by_name, entities))
-    return found.where(F.col("entity_id").isNotNull())
+    return found.where(F.col("entity_id").isNotNull() | F.col("name").isNotNull())

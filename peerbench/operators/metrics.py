@@ -20,6 +20,7 @@ from peerbench.session import durable
 
 SHEET = ("file_ord", "sheet_ord")
 PLACE = (*SHEET, "row_idx", "col_ord")
+PERIOD_MARK = "(Period="
 
 
 def _upper_ids(ids: DataFrame) -> DataFrame:
@@ -191,14 +192,20 @@ def last_wins(vendor: DataFrame) -> DataFrame:
 def vendor_lookup(vendor: DataFrame, ids: DataFrame, fields: Sequence[str]) -> DataFrame:
     """(id, field, value, display) for every id and requested field.
 
-    All fields in one job; only rows of wanted ids and fields are shuffled.
+    All fields in one job; only rows of wanted ids and fields are shuffled. A field with
+    a period takes the row stored under that name, else the value of that year.
     """
     keys = field_keys(fields)
     rows = vendor.where(field_key(F.col("field")).isin(*keys)).withColumn(
         "id", norm_key(F.col("id"))
     )
-    rows = only(rows, _upper_ids(ids), ["id"], ["ord"])
-    batch = every_field(ids, last_wins(rows), keys)
+    found = last_wins(only(rows, _upper_ids(ids), ["id"], ["ord"]))
+    periods = [k for k in keys if PERIOD_MARK in k]
+    if periods:
+        by_year = relative_period(vendor, periods, ids).select("id", "field", "value")
+        both = found.withColumn("_rank", F.lit(0)).unionByName(by_year.withColumn("_rank", F.lit(1)))
+        found = both.groupBy("id", "field").agg(F.min_by("value", "_rank").alias("value"))
+    batch = every_field(ids, found, keys)
     return batch.select("id", "field", "value", display_value(F.col("value")).alias("display"))
 
 
@@ -211,12 +218,25 @@ def point_lookup(vendor: DataFrame, ids: DataFrame, fields: Sequence[str]) -> Da
     )
 
 
-def relative_period(vendor: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Values for fields such as EBIT(Period=FY-1): n years before the id's latest year."""
-    yearly = vendor.groupBy("id", field_base(F.col("field")).alias("base"), "fy").agg(
-        F.max_by("value", "ord").alias("value")
+def relative_period(
+    vendor: DataFrame, fields: Sequence[str], ids: DataFrame | None = None
+) -> DataFrame:
+    """Values for fields such as EBIT(Period=FY-1): n years before the id's latest year.
+
+    Only rows of wanted ids (all without ``ids``) are shuffled; an id's latest year is that
+    of any of its fields. Ids come back in upper case.
+    """
+    rows = vendor.withColumn("id", norm_key(F.col("id")))
+    if ids is not None:
+        rows = only(rows, _upper_ids(ids), ["id"], ["ord"])
+    base = field_base(F.col("field"))
+    bases = F.transform(F.array(*[F.lit(f) for f in fields]), field_base)
+    yearly = (
+        rows.where(F.array_contains(bases, base))
+        .groupBy("id", base.alias("base"), "fy")
+        .agg(F.max_by("value", "ord").alias("value"))
     )
-    latest = vendor.groupBy("id").agg(F.max("fy").alias("latest"))
+    latest = rows.groupBy("id").agg(F.max("fy").alias("latest"))
     asked = (
         latest.withColumn("field", _each_field(fields))
         .withColumn("base", field_base(F.col("field")))

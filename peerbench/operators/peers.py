@@ -17,23 +17,29 @@ def assign_group(resolved: DataFrame) -> DataFrame:
     """Adds group_type and group_value to resolved requests with a group_choice.
 
     Focus needs a focus value, else the sub-industry serves; an entity with
-    neither is its own group.
+    neither is its own group, under its id or else its name.
     """
     focus, sub = null_token(F.col("focus")), null_token(F.col("sub_industry"))
     by_focus = (F.col("group_choice") == FOCUS) & focus.isNotNull()
     kind = F.when(by_focus, FOCUS).when(sub.isNotNull(), SUB_INDUSTRY).otherwise(SELF)
-    value = F.when(by_focus, focus).otherwise(F.coalesce(sub, F.col("entity_id")))
+    value = F.when(by_focus, focus).otherwise(F.coalesce(sub, F.col("entity_id"), F.col("name")))
     return resolved.withColumn("group_type", kind).withColumn("group_value", value)
 
 
 def open_groups(assigned: DataFrame) -> DataFrame:
-    """Each group once, opened by its first request; sectors of all its requests."""
+    """Each group once, opened by its first request; sectors of all its requests.
+
+    A request without a sector asks for all files, and so does its group: no sectors.
+    """
     facts = ["row_number", "entity_id", "name", "sub_industry", "focus"]
+    sector = null_token(F.col("sector"))
+    named = F.sort_array(F.collect_set(sector))
+    every = F.bool_or(sector.isNull())
     return (
         assigned.groupBy(*GROUP)
         .agg(
             F.min_by(F.struct(*facts), "row_number").alias("_r"),
-            F.sort_array(F.collect_set("sector")).alias("sectors"),
+            F.when(every, F.array().cast("array<string>")).otherwise(named).alias("sectors"),
         )
         .select(*GROUP, "_r.*", "sectors")
     )

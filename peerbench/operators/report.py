@@ -161,9 +161,15 @@ def title_sector(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     return counts.agg(F.when(top != "", top).otherwise(NO_SECTOR_TITLE).alias("sector"))
 
 
-def fill_sector(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Group-mean rows take the dominant sector of the entity rows."""
-    top = dominant_sector(rows.where(F.col("row_kind") == ENTITY), order).scalar()
+def fill_sector(
+    rows: DataFrame, order: Sequence[str], entities: DataFrame | None = None
+) -> DataFrame:
+    """Group-mean rows take the dominant sector of the entity rows.
+
+    Those are ``entities``, one row each, or the entity rows among ``rows``.
+    """
+    of = rows.where(F.col("row_kind") == ENTITY) if entities is None else entities
+    top = dominant_sector(of, order).scalar()
     mean = F.col("row_kind").isin("sub_industry_mean", "focus_mean")
     return rows.withColumn("sector", F.when(mean, top).otherwise(F.col("sector")))
 
@@ -190,7 +196,8 @@ def value_coverage(found: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def sheet_hits(entities: DataFrame) -> DataFrame:
-    return entities.groupBy("file", "sheet").agg(F.count("*").alias("n_entities"))
+    sheet = ["file", "file_ord", "sheet", "sheet_ord"]
+    return entities.groupBy(*sheet).agg(F.count("*").alias("n_entities"))
 
 
 def summary_counts(rows: DataFrame) -> DataFrame:

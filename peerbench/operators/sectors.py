@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerbench.constants import SECTOR_CODES, SECTOR_FILE_PATTERNS, SECTOR_PROXIES
-from peerbench.functions.labels import file_fits_sector, sector_of_file
+from peerbench.functions.labels import file_fits_sector, fits_word, sector_of_file
 from peerbench.functions.text import norm_key
 from peerbench.operators.joins import ORDER, first_by, only
 
@@ -88,7 +88,7 @@ def sector_files(files: DataFrame, sectors: DataFrame) -> DataFrame:
     """
     named = files.select("file").distinct()
     words = sectors.select("sector", F.lower(F.trim("sector")).alias("word")).distinct()
-    known = [F.when(F.col("file").rlike(f"(?i){p}"), w) for w, p in SECTOR_FILE_PATTERNS.items()]
+    known = [F.when(fits_word(F.col("file"), w), w) for w in SECTOR_FILE_PATTERNS]
     by_word = named.select("file", F.explode(F.array_compact(F.array(*known))).alias("word"))
     by_part = named.select("file", F.explode(_parts(F.lower("file"), (1, 2, 3))).alias("part"))
     others = words.where(~F.col("word").isin(*SECTOR_FILE_PATTERNS)).withColumn(

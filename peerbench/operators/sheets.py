@@ -30,12 +30,6 @@ from peerbench.operators.joins import lookup
 from peerbench.session import durable
 
 SHEET = ("file", "file_ord", "sheet", "sheet_ord")
-HEADER_ROWS = 10
-
-
-def top_rows(cells: DataFrame) -> DataFrame:
-    """The rows in which headers are looked for, written once for all who look."""
-    return durable(cells.where(F.col("row_idx") < HEADER_ROWS))
 
 
 def prune_sheets(cells: DataFrame, words: Sequence[str]) -> DataFrame:
@@ -44,18 +38,29 @@ def prune_sheets(cells: DataFrame, words: Sequence[str]) -> DataFrame:
 
 
 def header_rows(cells: DataFrame) -> DataFrame:
-    """Per sheet the first of its first ten rows with the id header in it."""
-    marks = (F.col("row_idx") < HEADER_ROWS) & (norm_key(F.col("value")) == ID_HEADER)
+    """Per sheet the first row with the id header in it, however far down."""
+    marks = norm_key(F.col("value")) == ID_HEADER
     return cells.where(marks).groupBy(*SHEET).agg(F.min("row_idx").alias("header_row"))
 
 
+def sheets_without_header(cells: DataFrame) -> DataFrame:
+    """Sheets in which no cell is the id header, with their number of cells."""
+    is_header = F.coalesce(norm_key(F.col("value")) == ID_HEADER, F.lit(False))
+    return (
+        cells.groupBy(*SHEET)
+        .agg(F.count("*").alias("n_cells"), F.bool_or(is_header).alias("_has"))
+        .where(~F.col("_has"))
+        .drop("_has")
+    )
+
+
 def name_columns(cells: DataFrame) -> DataFrame:
     """Per sheet the header row and name column: holding/universe before the id."""
     word = F.lower(strip(F.col("value")))
     rank = F.when(word.isin(*NAME_HEADERS), 0).when(word == ID_HEADER.lower(), 1)
     first = F.min(F.struct("row_idx", rank.alias("rank"), "col_idx"))
     return (
-        cells.where((F.col("row_idx") < HEADER_ROWS) & rank.isNotNull())
+        cells.where(rank.isNotNull())
         .groupBy(*SHEET)
         .agg(first.alias("_f"))
         .select(
@@ -72,9 +77,9 @@ def sheet_headers(cells: DataFrame, rows: DataFrame, repair: bool = False) -> Da
     Repeated names get ".1", ".2"; with ``repair`` a blank header takes the
     first cell above it that holds one of the known words.
     """
-    top = lookup(
-        cells.where(F.col("row_idx") < HEADER_ROWS), rows, SHEET, spread=["row_idx", "col_idx"]
-    ).where(F.col("row_idx") <= F.col("header_row"))
+    top = lookup(cells, rows, SHEET, spread=["row_idx", "col_idx"]).where(
+        F.col("row_idx") <= F.col("header_row")
+    )
     at_header = F.col("row_idx") == F.col("header_row")
     own = F.max(F.when(at_header, blank_to_null(F.col("value"))))
     usable = ~at_header & has_any(F.upper("value"), SUPERHEADER_WORDS)
@@ -135,8 +140,7 @@ def _sheet_facts(headers: DataFrame) -> DataFrame:
 
 def promote_headers(cells: DataFrame) -> DataFrame:
     """Metric rows of all sheets that have a column named exactly like the id header."""
-    top = top_rows(cells)
-    headers = sheet_headers(top, durable(header_rows(top)))
+    headers = sheet_headers(cells, durable(header_rows(cells)))
     facts = _sheet_facts(headers).where(F.col("id_col").isNotNull())
     rows = _promote(cells, durable(facts.withColumn("name_col", F.lit(None).cast("int"))))
     return rows.drop("name").where(F.col("id").isNotNull())
@@ -144,9 +148,8 @@ def promote_headers(cells: DataFrame) -> DataFrame:
 
 def promote_headers_by_name(cells: DataFrame) -> DataFrame:
     """Metric rows keyed by the name column, with blank headers repaired from above."""
-    top = top_rows(cells)
-    rows = durable(name_columns(top))
-    headers = sheet_headers(top, rows.drop("name_col"), repair=True)
+    rows = durable(name_columns(cells))
+    headers = sheet_headers(cells, rows.drop("name_col"), repair=True)
     facts = _sheet_facts(headers).join(rows, [*SHEET, "header_row"])
     return _promote(cells, durable(facts)).where(F.col("name").isNotNull())
 
@@ -154,21 +157,23 @@ def promote_headers_by_name(cells: DataFrame) -> DataFrame:
 def positional_entities(
     cells: DataFrame, header_row: int = 2, words: Sequence[str] | None = ENTITY_SHEET_WORDS
 ) -> DataFrame:
-    """Entity rows of sheets laid out as A holding .. E id below a fixed header row."""
+    """Entity rows of sheets laid out as A holding .. E id below a fixed header row.
+
+    A sheet needs five columns; a row of such a sheet may end before the fifth.
+    """
     rows = cells if words is None else prune_sheets(cells, words)
     names = ["holding", "universe", "sub_industry", "focus", "id"]
+    wide = rows.groupBy(*SHEET).agg(F.max("col_idx").alias("_last")).where(F.col("_last") >= 4)
+    below = rows.where(F.col("row_idx") > header_row)
     return (
-        rows.where(F.col("row_idx") > header_row)
+        lookup(below, durable(wide.drop("_last")), SHEET, "left_semi", ["row_idx", "col_idx"])
         .groupBy(*SHEET, "row_idx")
         .agg(
             *[
                 F.max(F.when(F.col("col_idx") == i, blank_to_null(F.col("value")))).alias(n)
                 for i, n in enumerate(names)
-            ],
-            F.max("col_idx").alias("_last"),
+            ]
         )
-        .where(F.col("_last") >= 4)
-        .drop("_last")
     )
 
 
@@ -188,14 +193,17 @@ def rewrite_codes(cells: DataFrame, code_map: dict[str, str] = dict(CODE_MAP)) -
 
 def changed_sheets(rewritten: DataFrame) -> DataFrame:
     return (
-        rewritten.groupBy("file", "sheet")
+        rewritten.groupBy(*SHEET)
         .agg(F.count_if("changed").alias("n_changed"))
         .where(F.col("n_changed") > 0)
     )
 
 
 def requests_from_cells(cells: DataFrame) -> DataFrame:
-    """The request sheet: name and id by position, flags and sector by label."""
+    """The request sheet: name and id by position, flags and sector by label.
+
+    Rows without a cell above the last filled one are rows too, with nulls.
+    """
     return _labelled(
         cells,
         {
@@ -222,8 +230,11 @@ def _labelled(cells: DataFrame, labels: dict[str, str], places: dict[str, int])
         for out, text in labels.items()
     }
     at.update({out: F.lit(i) for out, i in places.items()})
-    return (
+    filled = (
         cells.where(F.col("row_idx") > 0)
         .groupBy(F.col("row_idx").alias("row_number"))
         .agg(*[F.max(F.when(F.col("col_idx") == c, F.col("value"))).alias(o) for o, c in at.items()])
     )
+    last = cells.agg(F.max("row_idx").alias("last")).where(F.col("last") > 0)
+    every = last.select(F.explode(F.sequence(F.lit(1).cast(filled.schema["row_number"].dataType), "last")).alias("row_number"))
+    return every.join(filled, "row_number", "left")

@@ -39,6 +39,18 @@ class PeerReport:
         """One row per report row; value_num holds numbers, value_text display texts."""
         return r.to_wide(self.long, HEADS, self.fields, value)
 
+    def table(self, value: str = "value_num") -> DataFrame:
+        """The finished report in its order: base columns, then the requested fields.
+
+        Columns without a value in any row are left out; one scan of the long rows tells which.
+        """
+        has = lambda c: F.bool_or(~is_blank(F.col(c)))
+        named = F.collect_set(F.when(~is_blank(F.col(value).cast("string")), F.col("field")))
+        seen = self.long.agg(*[has(c).alias(c) for c in r.BASE], named.alias("_fields")).first()
+        fields = [f for f in self.fields if f in seen["_fields"]]
+        wide = r.to_wide(self.long, HEADS, fields, value).orderBy(*r.SORT, "name")
+        return wide.select(*[c for c in r.BASE if seen[c]], *[f"`{f}`" for f in fields])
+
 
 def _groups_of(rows: DataFrame) -> DataFrame:
     """Every group named by the sub-industry or focus of the given rows."""
@@ -53,10 +65,13 @@ def _groups_of(rows: DataFrame) -> DataFrame:
 def _in_sector_files(peer_picks: DataFrame, groups: DataFrame, metrics: DataFrame) -> DataFrame:
     """Picks from the files of the sectors asked for by a group's requests.
 
-    Groups without a sector, or whose sectors fit no file, keep all files.
+    A request without a sector, or with one that fits no file, asks for all files,
+    and so does its group.
     """
     asked = groups.select(*p.GROUP, F.explode("sectors").alias("sector"))
-    fits = sector_files(metrics, asked.select("sector").distinct())
+    fits = durable(sector_files(metrics, asked.select("sector").distinct()))
+    free = asked.join(fits, "sector", "left_anti").select(*p.GROUP)
+    asked = asked.join(free, list(p.GROUP), "left_anti")
     allowed = durable(asked.join(fits, "sector").select(*p.GROUP, "file").distinct())
     if not allowed.count():
         return peer_picks
@@ -92,7 +107,7 @@ def peer_report(
     peers = durable(p.peers_or_self(groups, p.expand(groups, entities)))
     ids = durable(peers.select("id").distinct())
     sectors = durable(entity_sectors(ids, entities))
-    heads = r.entity_rows(peers, sectors)
+    heads = durable(r.entity_rows(peers, sectors))
 
     members = durable(p.expand(durable(_groups_of(peers)), entities))
     parts = []
@@ -113,7 +128,8 @@ def peer_report(
         values.append(best.withColumn("value_num", to_number(F.col("value_text"))))
         over_all = picks.groupBy("id", "field").agg(first_by(F.col("value"), m.SHEET).alias("value"))
         means = benchmarks.group_means(members, over_all, sheet_fields)
-        parts.append(r.group_mean_rows(means))
+        means = r.group_mean_rows(means).withColumn("sector", F.lit(None).cast("string"))
+        parts.append(r.fill_sector(means, r.SORT, heads))
     keys = field_keys(vendor_fields)
     if keys:
         quoted = m.vendor_lookup(vendor, ids, keys).select(
@@ -138,6 +154,5 @@ def peer_report(
         )
         long = heads.join(joined, ["peer_group_type", "row_number", "id"], "left")
     shown = [part.withColumn("value_text", F.format_number("value_num", 4)) for part in parts]
-    return PeerReport(
-        r.union_rows(long, *shown), status, list(dict.fromkeys([*sheet_fields, *keys]))
-    )
+    rows = durable(r.union_rows(long, *shown))
+    return PeerReport(rows, status, list(dict.fromkeys([*sheet_fields, *keys])))

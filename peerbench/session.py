@@ -28,9 +28,15 @@ def get_session(master: str | None = None, app: str = "peerbench", **extra: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a fresh one where none is named."""
+    """The folder the cluster names for checkpoints; a fresh one where none is named.
+
+    A fresh one is on this machine, so on a cluster a folder must be named.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_DIR, None)
     if not d:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="peerbench-")
         spark.conf.set(OWN_DIR, d)
     return d

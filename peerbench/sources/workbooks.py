@@ -16,10 +16,11 @@ from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from peerbench.constants import EMPTY_CELL_TEXTS
+from peerbench.session import durable
 
 CELLS = (
     "file string, file_ord string, sheet string, sheet_ord int, row_idx bigint, col_idx int, "
@@ -95,7 +96,8 @@ def _value(cell, shared: list[str], dates: set[int]) -> str | None:
     return None if out in EMPTY_CELL_TEXTS else out
 
 
-def _sheet_cells(part, shared: list[str], dates: set[int]) -> Iterator[tuple[int, int, str]]:
+def _sheet_cells(part, shared: list[str], dates: set[int]) -> Iterator[tuple]:
+    """(row, column, value, error) of each filled cell; one that can't be read is an error of its own."""
     row = col = -1
     for event, node in ElementTree.iterparse(part, events=("start", "end")):
         if event == "start" and node.tag == f"{_MAIN}row":
@@ -104,9 +106,13 @@ def _sheet_cells(part, shared: list[str], dates: set[int]) -> Iterator[tuple[int
         elif event == "end" and node.tag == f"{_MAIN}c":
             ref = node.get("r")
             col = _column_number(ref) if ref else col + 1
-            value = _value(node, shared, dates)
+            try:
+                value = _value(node, shared, dates)
+            except (ValueError, IndexError, OverflowError) as e:
+                yield row, col, None, f"{type(e).__name__}: {e}"
+                continue
             if value is not None:
-                yield row, col, value
+                yield row, col, value, None
         elif event == "end" and node.tag == f"{_MAIN}row":
             node.clear()
 
@@ -124,10 +130,12 @@ def _workbook_rows(path: str, content: bytes, words: Sequence[str] | None) -> It
             continue
         try:
             with book.open(part) as f:
-                for row, col, value in _sheet_cells(f, shared, dates):
-                    yield file, path, name, i, row, col, value, None
-        except Exception as e:
+                cells = list(_sheet_cells(f, shared, dates))
+        except Exception as e:  # a sheet that can't be read as a whole gives no cells
             yield file, path, name, i, None, None, None, f"{type(e).__name__}: {e}"
+            continue
+        for cell in cells:
+            yield file, path, name, i, *cell
 
 
 def list_workbooks(spark: SparkSession, path: str) -> DataFrame:
@@ -141,7 +149,7 @@ def read_workbooks(
 ) -> DataFrame:
     """Cells of all workbooks below a path, with an error column.
 
-    Files are ordered by path, which is what file_ord holds.
+    Files are ordered by path; file_ord is a file's rank.
     """
 
     def parse(batches):
@@ -156,7 +164,11 @@ def read_workbooks(
         if rows:
             yield pd.DataFrame(rows, columns=_COLUMNS)
 
-    return list_workbooks(spark, path).select("path", "content").mapInPandas(parse, CELLS)
+    files = list_workbooks(spark, path)
+    ranks = files.select(F.col("path").alias("file_ord"), F.rank().over(Window.orderBy("path")).alias("_rank"))
+    cells = files.select("path", "content").mapInPandas(parse, CELLS)
+    ranked = cells.join(durable(ranks), "file_ord").withColumn("file_ord", F.col("_rank"))
+    return ranked.select(*_COLUMNS)
 
 
 def split_errors(read: DataFrame) -> tuple[DataFrame, DataFrame]:

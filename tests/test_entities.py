@@ -114,10 +114,23 @@ def test_statuses_and_groups(spark, entities, any_join):
     }
     opened = {r["row_number"]: r for r in groups.collect()}
     assert opened[1]["sectors"] == ["Consumer", "it"]
+    assert opened[6]["sectors"] == []
     assert opened[6]["group_type"] == "Sub-Industry"
     assert opened[8]["group_type"] == "Self"
 
 
+def test_name_hit_without_id_opens_its_group(spark, entities):
+    rows = [(1, 0, 3, "Acme Steel", "Acme", "Steel", None, None), (2, 0, 3, "Acme Steel", "Acme", "Steel", None, "ACM.N")]
+    status, by_row, _ = run_requests(spark, entities(rows), [("acme steel", None, None, None, None)])
+    assert status == {1: "by_name"} and by_row == {1: {"ACM.N"}}
+
+
+def test_a_request_without_sector_asks_for_all_files(spark, entities):
+    asked = [(None, "RL.N", None, "X", "Consumer"), (None, "OREP.PA", None, "X", None)]
+    groups = run_requests(spark, entities(ROWS), asked)[2].collect()
+    assert [r["sectors"] for r in groups] == [[]]
+
+
 def test_default_choice_comes_from_first_row(spark):
     rows = [(None, None, "X", None, None), ("a", None, None, "X", None), ("b", None, None, "Y", None)]
     got = requests.group_choice(requests_df(spark, rows)).orderBy("row_number").collect()

@@ -105,6 +105,13 @@ def test_vendor_lookup(spark):
     assert got == {("A", "EBIT"): "1,234", ("b", "EBIT"): "text", ("C", "EBIT"): ""}
 
 
+def test_vendor_lookup_with_periods(spark):
+    v = vendor(spark, ("a ", "TR.X", 2020, "1"), ("A", "TR.X", 2021, "2"), ("A", "Y", 2022, "3"), ("A", "Y(Period=FY-1)", 2022, "8"))
+    ids = spark.createDataFrame([("A",)], "id string")
+    got = {r["field"]: r["value"] for r in m.vendor_lookup(v, ids, ["TR.X(Period=FY-1)", "X(Period=FY-2)", "Y(Period=FY-1)", "X"]).collect()}
+    assert got == {"X(Period=FY-1)": "2", "X(Period=FY-2)": "1", "Y(Period=FY-1)": "8", "X": "2"}
+
+
 def test_last_row_wins_even_if_null(spark):
     v = vendor(spark, ("A", "TR.X", 1, "5"), ("A", "TR.X", 1, None))
     assert [r["value"] for r in m.last_wins(v).collect()] == [None]
@@ -152,3 +159,4 @@ def test_median_cap(spark):
     u = spark.createDataFrame(rows, "sector string, id string, field string, value string")
     got = b.sector_medians(u, top=5).collect()
     assert [(r["n_values"], r["median_value"]) for r in got] == [(5, 2.0)]
+    assert [(r["n_values"], r["median_value"]) for r in b.sector_medians(u).collect()] == [(20, 9.5)]

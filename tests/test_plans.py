@@ -2,10 +2,14 @@
 
 import contextlib
 import io
+import itertools
 import re
 
+import pytest
+
 from __spark_entry__ import queries
 from peerbench.operators import joins
+from peerbench.session import shared_dir
 
 
 def plan(df):
@@ -27,10 +31,31 @@ def test_cap_is_applied_before_the_shuffle(spark, sf):
     from peerbench.catalogue.registry import Views
     from peerbench.operators.benchmarks import first_ids_per_sector
 
-    text = plan(first_ids_per_sector(Views(spark, sf).listings))
+    text = plan(first_ids_per_sector(Views(spark, sf).listings, 500))
     assert text.count("WindowGroupLimit") >= 2
 
 
+def test_proxies_narrow_the_vendor_table_before_it_is_grouped(spark, sf):
+    text = plan(queries()["sector_fallback"](spark, sf))
+    tree = text[: text.index("\n\n")].splitlines()
+    semi = next(i for i, line in enumerate(tree) if "LeftSemi" in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    below = itertools.takewhile(lambda line: depth(line) > depth(tree[semi]), tree[semi + 1 :])
+    assert "Aggregate" in "".join(tree[:semi]) and "Aggregate" not in "".join(below)
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())
+
+
 def test_first_per_key_aggregates_before_the_shuffle(spark, sf):
     text = plan(queries()["dedupe_first"](spark, sf))
     assert "partial_min_by" in text

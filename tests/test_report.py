@@ -111,6 +111,15 @@ def test_projection_and_empty_columns(report):
     assert r.base_first(wide.select("EBIT", "id", "name")).columns == ["name", "id", "EBIT"]
 
 
+def test_finished_table(report):
+    table = report.table()
+    assert table.columns == [*r.BASE, "Market Cap", "EBIT"]
+    rows = table.collect()
+    assert [x["id"] for x in rows[:4]] == ["A", "C", "D", "E"]
+    means = {x["name"]: x["sector"] for x in rows if x["id"] == ""}
+    assert means["🎯 Ø Luxury"] == "Consumer Discretionary"
+
+
 def test_written_in_order(report, spark, tmp_path):
     write_report(report.wide(), str(tmp_path / "out"))
     sections = [x["section"] for x in spark.read.parquet(str(tmp_path / "out")).orderBy(*r.SORT).collect()]

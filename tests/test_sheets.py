@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from peerbench.constants import ENTITY_SHEET_WORDS, METRIC_SHEET_WORDS
 from peerbench.operators import sheets as s
+from peerbench.operators.requests import group_choice
 from peerbench.session import durable
 from peerbench.sources.sinks import write_table
 from peerbench.sources.tables import read_table
@@ -29,15 +30,20 @@ def frame(spark, *grids):
     return spark.createDataFrame([c for g in grids for c in g], CELLS).repartition(3)
 
 
-@pytest.mark.parametrize(("at", "found"), [(0, True), (4, True), (9, True), (10, False)])
-def test_header_is_found_in_first_ten_rows(spark, at, found):
+@pytest.mark.parametrize("at", [0, 4, 9, 15, 300])
+def test_header_is_found_wherever_it_is(spark, at):
     rows = [["t"]] * at + [["Name", " ric "], ["A", "RIC"]]
     got = [r["header_row"] for r in s.header_rows(frame(spark, grid(rows))).collect()]
-    assert got == ([at] if found else [])
+    assert got == [at]
+    cells = frame(spark, grid([["t"]] * at + [["RIC", "Cap"], ["A", "1"]]))
+    promoted = s.promote_headers(cells).where("header = 'Cap'").collect()
+    assert [(r["id"], r["row_idx"], r["value"]) for r in promoted] == [("A", at + 1, "1")]
 
 
 def test_no_header(spark):
-    assert s.header_rows(frame(spark, grid([["a", "RICH"], ["b", "c"]]))).count() == 0
+    cells = frame(spark, grid([["a", "RICH"], ["b", "c"]]), grid([["RIC"]], sheet="Key", sheet_ord=1))
+    assert [r["sheet"] for r in s.header_rows(cells).collect()] == ["Key"]
+    assert [(r["sheet"], r["n_cells"]) for r in s.sheets_without_header(cells).collect()] == [("Key Figures", 4)]
 
 
 def test_promotion_keeps_blanks_and_renames_repeats(spark):
@@ -65,10 +71,11 @@ def test_superheader_and_name_column(spark):
 
 def test_positional_entities(spark):
     rows = [["x"], ["y"], ["h"] * 5, ["Hold", "Uni", "Sub", None, "A.B"], ["Hold", "Uni", "Sub"]]
-    cells = frame(spark, grid(rows), grid(rows, sheet="Notes", sheet_ord=1))
-    got = s.positional_entities(cells).collect()
+    narrow = [row[:4] for row in rows]
+    cells = frame(spark, grid(rows), grid(rows, sheet="Notes", sheet_ord=1), grid(narrow, sheet="Key", sheet_ord=2))
+    got = s.positional_entities(cells).orderBy("row_idx").collect()
     assert [(r["sheet"], r["row_idx"], r["holding"], r["focus"], r["id"]) for r in got] == [
-        ("Key Figures", 3, "Hold", None, "A.B")]
+        ("Key Figures", 3, "Hold", None, "A.B"), ("Key Figures", 4, "Hold", None, None)]
 
 
 def test_sheet_names(spark):
@@ -82,7 +89,7 @@ def test_code_rewrite(spark):
     out = s.rewrite_codes(frame(spark, grid([[" rl ", "RL.N", "RLX"]]))).orderBy("col_idx")
     assert [(r["value"], r["changed"]) for r in out.collect()] == [
         ("RL.N", True), ("RL.N", False), ("RLX", False)]
-    assert [tuple(r) for r in s.changed_sheets(out).collect()] == [("F1.xlsx", "Key Figures", 1)]
+    assert [tuple(r) for r in s.changed_sheets(out).collect()] == [("F1.xlsx", 1, "Key Figures", 0, 1)]
 
 
 def test_request_sheet(spark):
@@ -98,6 +105,15 @@ def test_request_sheet(spark):
     assert wanted == {(1, "sheet", "Market Cap"), (2, "sheet", "Market Cap"), (1, "vendor", "TR.EBIT")}
 
 
+def test_blank_first_request_is_a_row(spark):
+    rows = [["Name", "Code", "GICS Sector", "Focus", "Sub-Industry"], [], ["A", None, None, "X"], ["B"]]
+    got = s.requests_from_cells(frame(spark, grid(rows)))
+    assert [r["name"] for r in got.orderBy("row_number").collect()] == [None, "A", "B"]
+    chosen = group_choice(got).orderBy("row_number").collect()
+    assert [r["group_choice"] for r in chosen] == ["Sub-Industry", "Focus", "Sub-Industry"]
+    assert s.requests_from_cells(frame(spark, grid(rows[:1]))).count() == 0
+
+
 # --- workbook files ----------------------------------------------------------
 
 MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -156,6 +172,17 @@ def test_workbooks_become_cells(spark, tmp_path):
     assert {(r["file"], r["sheet"]) for r in errors.collect()} == {("broken.xlsx", None), ("half.xlsx", "Figures")}
 
 
+def test_unreadable_cells_and_ranks(spark, tmp_path):
+    write_workbook(tmp_path / "a.xlsx", {"Key": [["x"], [("d", 1e12), "y"], ["z"]]})
+    write_workbook(tmp_path / "b.xlsx", {"Key": [["w"]]})
+    cells, errors = split_errors(durable(read_workbooks(spark, str(tmp_path))))
+    write_table(cells, str(tmp_path / "cells"))
+    again = read_table(spark, "cells", str(tmp_path / "cells")).collect()
+    assert {(r["file"], r["file_ord"], r["row_idx"], r["value"]) for r in again} == {
+        ("a.xlsx", 1, 0, "x"), ("a.xlsx", 1, 1, "y"), ("a.xlsx", 1, 2, "z"), ("b.xlsx", 2, 0, "w")}
+    assert [r["file"] for r in errors.collect()] == ["a.xlsx"]
+
+
 def test_workbook_to_metrics(spark, tmp_path):
     rows = [["t"], [None, "RIC", "Market\nCap"], ["n", "A.B", 12]]
     write_workbook(tmp_path / "a.xlsx", {"Key": rows})
