@@ -322,17 +322,21 @@ class NgramJoin:
         return durable(here.join(split.filter("lo < hi").select("token", "width"), "token"))
 
     def _later_leaders(self, split: DataFrame, seed: int) -> DataFrame:
-        """In wide postings, members of smaller groups with members of the largest, picked by hash."""
+        """In wide postings, members of smaller groups with members of the largest, picked by hash.
+
+        Leaders whose sets are too large or too small to link are not met at all.
+        """
         per_token, tries = LATER_LEADERS
+        near = f"100 * least(n, x.n) >= {self.percent} * greatest(n, x.n)"
         wide = split.filter(F.col("width") >= WIDE)
         picks = [
-            F.min_by(F.struct("node", "group", "size"), F.struct(-F.col("size"), "group", F.xxhash64("node", F.lit(seed * per_token + k))))
+            F.min_by(F.struct("node", "group", "size", "n"), F.struct(-F.col("size"), "group", F.xxhash64("node", F.lit(seed * per_token + k))))
             for k in range(per_token)
         ]
         leaders = wide.groupBy("token").agg(F.array_distinct(F.array(*picks)).alias("leaders"))
         met = (
             wide.join(leaders, "token")
-            .withColumn("leader", F.explode(F.expr("filter(leaders, x -> group <> x.group AND size <= x.size)")))
+            .withColumn("leader", F.explode(F.expr(f"filter(leaders, x -> group <> x.group AND size <= x.size AND {near})")))
             .select("node", "n", F.col("leader.node").alias("leader"))
         )
         return self._leader_pairs(met, tries)
