@@ -37,7 +37,7 @@ PATTERNS = {
     "phone": r"(?<![A-Za-z0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![A-Za-z0-9-])",
     "international": r"(?<![A-Za-z0-9])\+[1-9][0-9]{0,2}(?:[ .-]?[0-9]{2,5}){2,6}" + _END,
     "card": _EDGE + r"[0-9](?:[ -]?[0-9]){12,18}" + _END,
-    "key": _EDGE + r"(?:AKIA[A-Z0-9]{16}|[0-9a-f]{32,64})" + _END,
+    "key": _EDGE + r"(?:AKIA[A-Z0-9]{16}|[0-9a-fA-F]{32,64})" + _END,
 }
 ANY = "|".join(PATTERNS.values())
 
@@ -228,10 +228,10 @@ def _is_phone_digits(d: Column) -> Column:
 
 
 def phone(m: Column, key: str) -> Column:
-    """The last ten digits are permuted among valid ones; the country code stays."""
+    """The last ten digits are permuted, those of the plan among themselves and others likewise; the country code stays."""
     d = _digits(m)
     land, own = F.substr(d, F.lit(1), F.length(d) - 10), F.right(d, F.lit(10))
-    return refill(m, F.concat(land, walk(own, key, "phone", _is_phone_digits)))
+    return refill(m, F.concat(land, walk(own, key, "phone", lambda p: _is_phone_digits(p) == _is_phone_digits(own))))
 
 
 def international(m: Column, key: str) -> Column:
@@ -247,22 +247,31 @@ def email(m: Column, key: str) -> Column:
 
 
 def secret(m: Column, key: str) -> Column:
-    """Access keys keep their prefix; hexadecimal keys stay hexadecimal."""
+    """Access keys keep their prefix; hexadecimal keys stay hexadecimal, each letter in its case.
+
+    One key in upper and in lower case has one pseudonym, in upper and in lower case.
+    """
     access = F.concat(F.lit("AKIA"), permute(F.substr(m, F.lit(5), F.length(m)), key, "key"))
-    return F.when(m.startswith("AKIA"), access).otherwise(permute(m, key, "hex", 6))
+
+    def cased(p: Column) -> Column:
+        letters = F.transform(
+            F.split(m, ""), lambda c, i: once(F.substr(p, i + 1, F.lit(1)), lambda x: F.when(c.between("A", "F"), F.upper(x)).otherwise(x))
+        )
+        return F.when(m == F.lower(m), p).otherwise(F.array_join(letters, ""))
+
+    return F.when(m.startswith("AKIA"), access).otherwise(once(permute(F.lower(m), key, "hex", 6), cased))
 
 
 def rewritten(m: Column, key: str) -> Column:
     """(kind, value) of a match; kind is null and the value as it was where nothing validates."""
     whole = {k: m.rlike(f"^(?:{p})$") for k, p in PATTERNS.items()}
-    ten = F.right(_digits(m), F.lit(10))
     cases = {
         "email": (whole["email"], email(m, key)),
         "iban": (whole["iban"] & is_iban(m), iban(m, key)),
         "ipv4": (whole["ipv4"] & is_ipv4(m), ipv4(m, key)),
         "date": (whole["date"] & is_date(m), date(m, key)),
         "ssn": (whole["ssn"] & _is_ssn_digits(_digits(m)), refill(m, walk(_digits(m), key, "ssn", _is_ssn_digits))),
-        "phone": (whole["phone"] & _is_phone_digits(ten), phone(m, key)),
+        "phone": (whole["phone"], phone(m, key)),
         "international": (whole["international"] & F.length(_digits(m)).between(8, 15), international(m, key)),
         "card": (whole["card"] & is_card(m), card(m, key)),
         "key": (whole["key"], secret(m, key)),

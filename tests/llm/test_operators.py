@@ -1,6 +1,7 @@
 """Operators on small tables: nulls, empty and long texts, ties, repeated rows, clashing names."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -173,6 +174,22 @@ def test_pseudonyms_keep_format_and_links(spark, frame):
     assert sum(sum(divmod(d * 2, 10)) if i % 2 == 0 else d for i, d in enumerate(digits)) % 10 == 0
 
 
+def test_pseudonyms_of_any_phone_in_explicit_form_and_of_keys_in_capitals(spark, frame):
+    token = "9233A8EC0123456789ABCDEF9233A8EC01234567"
+    texts = ["+1 (017) 555-7713", "+1 (136) 555-7479", "(988) 155-2485", "017.555.7713", f'TOKEN = "{token}"', f'token = "{token.lower()}"', token[:20] + token[20:].lower()]
+    found = {r["doc_id"]: r for r in pii.pseudonymise(frame(list(enumerate(texts)), "doc_id long, text string"), "k").collect()}
+    got = [found[i]["text"] for i in range(len(texts))]
+    assert [found[i]["kinds"] for i in range(len(texts))] == [["phone"]] * 4 + [["key"]] * 3
+    assert all(a != b for a, b in zip(got, texts, strict=True))
+    form = lambda t: re.sub("[a-f]", "a", re.sub("[A-F]", "A", re.sub("[0-9]", "0", t)))
+    assert [form(t) for t in got[:4]] == [form(t) for t in texts[:4]]
+    hexes = [got[4][9:-1], got[5][9:-1], got[6]]
+    assert [form(h) for h in hexes] == [form(token), form(token.lower()), form(texts[6])]
+    assert len({h.lower() for h in hexes}) == 1 and hexes[0].isupper() and hexes[1].islower()
+    assert got[3].replace(".", "") == re.sub("[^0-9]", "", got[0])[1:]  # the number that stands in both
+    assert got[0][:4] == "+1 (" and (got[0][4] < "2" or got[0][9] < "2")  # outside the plan as before
+
+
 def test_permutation_is_one(spark):
     df = spark.range(1000).selectExpr("lpad(id, 3, '0') AS s")
     assert df.select(pii.permute(df["s"], "k", "t").alias("p")).distinct().count() == 1000
