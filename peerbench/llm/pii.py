@@ -39,7 +39,18 @@ PATTERNS = {
     "card": _EDGE + r"[0-9](?:[ -]?[0-9]){12,18}" + _END,
     "key": _EDGE + r"(?:AKIA[A-Z0-9]{16}|[0-9a-fA-F]{32,64})" + _END,
 }
-ANY = "|".join(PATTERNS.values())
+# Numbers in groups: a whole run is taken, up to where a value of another form starts, and searched for
+# the cards and IBANs that stand in it from one border of a group to another.
+_OTHER = "|".join(PATTERNS[k] for k in ("email", "ipv4", "date", "ssn", "phone"))
+RUNS = {
+    "iban": _EDGE + rf"(?=[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2}})[A-Z0-9]++(?![a-z])(?:[ -](?!{_OTHER})[A-Z0-9]++(?![a-z]))*+",
+    "card": _EDGE + rf"(?=[0-9](?:[ -]?[0-9]){{12}})[0-9]{{1,19}}+{_END}(?:[ -](?!{_OTHER})[0-9]{{1,19}}+{_END})*+",
+}
+SHAPES = {"iban": r"^[A-Z]{2}[0-9]{2}[A-Z0-9 -]*+$", "card": r"^(?=[0-9](?:[ -]?[0-9]){12})[0-9]{1,19}+(?:[ -][0-9]{1,19}+)*+$"}
+#: (start of a value, characters of the start, least and most characters of a value), without separators.
+SIZES = {"iban": ("[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9])", 4, 15, 34), "card": ("[0-9](?:[ -]?[0-9])", 1, 13, 19)}
+ANY = "|".join((PATTERNS | RUNS).values())
+IN_RUN = "|".join(p for k, p in (PATTERNS | RUNS).items() if k != "iban")
 
 
 def _shift(c: Column, by: Column, letters: int) -> Column:
@@ -262,6 +273,82 @@ def secret(m: Column, key: str) -> Column:
     return F.when(m.startswith("AKIA"), access).otherwise(once(permute(F.lower(m), key, "hex", 6), cased))
 
 
+def _piece(s: Column, hit: Column) -> Column:
+    return F.struct(s.alias("s"), hit.alias("hit"))
+
+
+def _cut(s: Column, pattern: str) -> Column:
+    """The pieces of a string, its matches as hits."""
+    return once(
+        F.regexp_extract_all(s, F.lit(pattern), F.lit(0)),
+        lambda found: F.flatten(
+            F.transform(
+                F.split(s, pattern, -1),
+                lambda g, i: F.array(
+                    _piece(g, F.lit(False)), _piece(F.coalesce(F.get(found, i), F.lit("")), i < F.size(found))
+                ),
+            )
+        ),
+    )
+
+
+def _picked(run: Column, kind: str) -> Column:
+    """The pieces of a run, its values of a kind as hits: the longest first, the left one of equals."""
+    start, held, least, most = SIZES[kind]
+    valid = {"card": is_card, "iban": lambda c: c.rlike(f"^(?:{PATTERNS['iban']})$") & is_iban(c)}[kind]
+    token = "[A-Z0-9]+|[ -]"
+
+    def of_size(s: Column, size: Column) -> Column:
+        # At each token: the string of that size that starts here and ends a group, or nothing.
+        here = F.concat(F.lit(f"(?:(?=({start}{{"), (size - held).cast("string"), F.lit("})(?![A-Z0-9]))|)(?:" + token + ")"))
+        places = F.filter(
+            F.transform(
+                F.regexp_extract_all(s, here, F.lit(1)),
+                lambda c, i: F.struct(
+                    i.alias("at"),
+                    (i + F.size(F.regexp_extract_all(c, F.lit(token), F.lit(0)))).alias("end"),
+                    c.alias("s"),
+                    F.when(c != "", valid(c)).otherwise(False).alias("valid"),
+                ),
+            ),
+            lambda x: x["valid"],
+        )
+        none = F.array().cast("array<struct<after:int,at:int,s:string>>")
+        apart = F.aggregate(
+            places,
+            F.struct(F.lit(0).alias("end"), none.alias("taken")),
+            lambda state, x: F.when(
+                x["at"] >= state["end"],
+                F.struct(
+                    x["end"].alias("end"),
+                    F.concat(state["taken"], F.array(F.struct(state["end"].alias("after"), x["at"].alias("at"), x["s"].alias("s")))).alias("taken"),
+                ),
+            ).otherwise(state),
+        )
+
+        def pieces(tokens: Column, found: Column) -> Column:
+            between = lambda a, b: _piece(F.array_join(F.slice(tokens, a + 1, b - a), ""), F.lit(False))
+            taken = F.transform(found["taken"], lambda x: F.array(between(x["after"], x["at"]), _piece(x["s"], F.lit(True))))
+            return F.concat(F.flatten(taken), F.array(between(found["end"], F.size(tokens))))
+
+        return once(F.regexp_extract_all(s, F.lit(token), F.lit(0)), lambda t: once(apart, lambda found: pieces(t, found)))
+
+    return F.aggregate(
+        F.sequence(F.lit(most), F.lit(least), F.lit(-1)),
+        F.array(_piece(run, F.lit(False))),
+        lambda state, size: F.flatten(F.transform(state, lambda x: F.when(x["hit"], F.array(x)).otherwise(of_size(x["s"], size)))),
+    )
+
+
+def narrowed(m: Column) -> Column:
+    """The pieces of a match. Of a run, only what validates is a hit; what stands beside an IBAN is searched again."""
+    beside = lambda x: F.when(x["hit"], F.array(x)).otherwise(_cut(x["s"], IN_RUN))
+    parts = F.when(m.rlike(SHAPES["iban"]), F.flatten(F.transform(_picked(m, "iban"), beside))).otherwise(F.array(_piece(m, F.lit(True))))
+    return F.flatten(
+        F.transform(parts, lambda x: F.when(x["hit"] & x["s"].rlike(SHAPES["card"]), _picked(x["s"], "card")).otherwise(F.array(x)))
+    )
+
+
 def rewritten(m: Column, key: str) -> Column:
     """(kind, value) of a match; kind is null and the value as it was where nothing validates."""
     whole = {k: m.rlike(f"^(?:{p})$") for k, p in PATTERNS.items()}
@@ -292,14 +379,19 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     """
     text = F.col("_text")
     base = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    same = lambda x: F.struct(F.lit(None).cast("string").alias("kind"), x["s"].alias("value"))
     found = base.withColumn(
-        "_new", F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: rewritten(m, key))
+        "_new",
+        F.transform(
+            F.regexp_extract_all(text, F.lit(ANY), F.lit(0)),
+            lambda m: F.transform(narrowed(m), lambda x: F.when(x["hit"], rewritten(x["s"], key)).otherwise(same(x))),
+        ),
     )
     gaps = F.split(text, ANY, -1)
     joined = F.array_join(
-        F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(F.col("_new"), i)["value"], F.lit("")))), ""
+        F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.array_join(F.get(F.col("_new"), i)["value"], ""), F.lit("")))), ""
     )
-    kinds = F.array_compact(F.transform(F.col("_new"), lambda x: x["kind"]))
+    kinds = F.array_compact(F.flatten("_new")["kind"])
     return found.select(
         F.col("_id").alias(id_col),
         F.when(F.size("_new") > 0, joined).otherwise(text).alias("text"),

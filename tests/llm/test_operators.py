@@ -190,6 +190,28 @@ def test_pseudonyms_of_any_phone_in_explicit_form_and_of_keys_in_capitals(spark,
     assert got[0][:4] == "+1 (" and (got[0][4] < "2" or got[0][9] < "2")  # outside the plan as before
 
 
+def test_pseudonyms_of_cards_and_ibans_beside_other_groups(spark, frame):
+    card, spaced, iban = "4465758382889437", "4465 7583 8288 9437", "ES91 2100 0418 4502 0005 1332"
+    other = "5500 0055 5555 5559"
+    beside = ["{} 12/27", "{} 123", "7 {}", "1999 {}", "12 {} 35 2024-02-30", "{}", "{} 12ab", "{}-x", "1999 2000 {} 2001 2002 2003"]
+    texts = [b.format(c) for c in (card, spaced) for b in beside]
+    texts += [b.format(iban) for b in ["{} PAID", "PAID {} PAID IN 2024 BY CARD", "AB12 CDEF GHIJ {} Q", "{}"]]
+    mixed = [f"{spaced} 10.0.0.1", f"1999 {spaced} {other} 12", f"XY12 {spaced} {iban} A@B.ORG", f"AB12 CDEF 1234 {'9233A8EC' * 5} {card}", f"{card} 2024-02-29 12345 988-555-2485"]
+    large = " ".join(["12"] * 50000)
+    df = frame(list(enumerate([*texts, *mixed, large])), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii.pseudonymise(df, "k").collect()}
+    got = [found[i]["text"] for i in range(len(texts))]
+    new_card, new_iban = got[5], got[-1]
+    new_spaced = " ".join(re.findall("....", new_card))
+    assert new_card != card and new_iban != iban
+    assert got[: 2 * len(beside)] == [b.format(c) for c in (new_card, new_spaced) for b in beside]
+    assert got[2 * len(beside) :] == [t.replace(iban, new_iban) for t in texts[2 * len(beside) :]]
+    assert all(found[i]["n_found"] == 1 for i in range(len(texts)))
+    assert [found[len(texts) + i]["kinds"] for i in range(5)] == [["card", "ipv4"], ["card"], ["card", "email", "iban"], ["card", "key"], ["card", "date", "phone"]]
+    assert found[len(texts) + 1]["n_found"] == 2 and new_spaced in found[len(texts) + 2]["text"] and new_iban in found[len(texts) + 2]["text"]
+    assert len(found[len(texts) + 5]["text"]) == len(large)
+
+
 def test_permutation_is_one(spark):
     df = spark.range(1000).selectExpr("lpad(id, 3, '0') AS s")
     assert df.select(pii.permute(df["s"], "k", "t").alias("p")).distinct().count() == 1000
