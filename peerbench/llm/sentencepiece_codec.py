@@ -281,25 +281,14 @@ class Encoder:
 class Decoder:
     def __init__(self, model: Model):
         self.model = model
-        self.values = {i: b for b, i in model.bytes.items()}
         shown = {"normal": lambda p: p, "unknown": lambda p: " ⁇ ", "byte": lambda p: "", "other": lambda p: ""}
-        self.texts = [shown[k](p) for p, k in zip(model.pieces, model.kinds, strict=True)]
-        self.is_byte = np.array([k == "byte" for k in model.kinds])
+        self.texts = [shown[k](p).encode("utf-8", "replace") for p, k in zip(model.pieces, model.kinds, strict=True)]
+        for value, i in model.bytes.items():
+            self.texts[i] = bytes([value])
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids. Runs of byte pieces are read as UTF-8, what is none as U+FFFD."""
-        if self.is_byte[ids].any():
-            parts, run = [], bytearray()
-            for i in ids.tolist():
-                if i in self.values:
-                    run.append(self.values[i])
-                    continue
-                parts.append(run.decode("utf-8", "replace"))
-                run.clear()
-                parts.append(self.texts[i])
-            text = "".join(parts) + run.decode("utf-8", "replace")
-        else:
-            text = "".join(map(self.texts.__getitem__, ids.tolist()))
+        text = b"".join(map(self.texts.__getitem__, ids.tolist())).decode("utf-8", "replace")
         text = text.replace(SPACE, " ")
         return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
 
@@ -328,8 +317,10 @@ def _parts(texts: list[str | None]) -> Iterator[list[str]]:
 
 
 def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, ids, n_tokens, exact (decoding the ids gives the text
-    back, which fails only for texts that hold the model's mark for a space).
+    """One row per document: id, ids, n_tokens, exact (decoding the ids gives the text back).
+
+    Every document's ids are decoded in the task that encodes it. What decodes otherwise is a text that
+    holds the model's mark for a space, or characters that the model has neither a piece nor bytes for.
 
     Null counts as empty; an empty text has no ids and is exact. Texts are encoded whole, with no
     marks of their own; marks that stand in a text are ordinary characters. Characters outside the
@@ -341,12 +332,12 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     schema = pa.schema([("id", pa.string()), ("ids", pa.list_(pa.int32())), ("exact", pa.bool_())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value, key)
+        encoder, decoder = _encoder(shared.value, key), Decoder(shared.value)
         for batch in batches:
             done = 0
             for part in _parts(batch.column("text").to_pylist()):
                 offsets, ids = encoder.encode(part)
-                exact = [SPACE not in t for t in part]  # pieces spell their words, or encoding fails
+                exact = [decoder.decode(ids[a:b]) == t for t, a, b in zip(part, offsets[:-1], offsets[1:], strict=True)]
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
                 own = batch.column("id").slice(done, len(part))
                 done += len(part)

@@ -149,6 +149,36 @@ def test_encode_and_decode_tables(spark, frame):
     assert sorted(r["text"] for r in back.collect()) == sorted(r[1] or "" for r in ROWS)
 
 
+def test_exact_is_what_decoding_gives(spark, frame):
+    model = sentencepiece_codec.Model(["<unk>", "a", "b", "ab", "▁"], [0.0, -2.0, -2.5, -3.0, -1.0], ["unknown"] + ["normal"] * 4, sentencepiece_codec.UNIGRAM)
+    texts = ["ab ba", "abcab", "é", "", None, " a", "a▁b"]
+    found = sentencepiece_codec.encode(frame(list(enumerate(texts)), "doc_id long, text string"), model)
+    back = {r["doc_id"]: r["text"] for r in sentencepiece_codec.decode(found, model).collect()}
+    exact = {r["doc_id"]: r["exact"] for r in found.collect()}
+    assert exact == {i: back[i] == (t or "") for i, t in enumerate(texts)}
+    assert [exact[i] for i in range(len(texts))] == [True, False, False, True, True, True, False]
+
+
+def test_exact_shows_a_fault_of_the_decoder(spark, frame):
+    model = sentencepiece_codec.Model.load(MODEL_FILE)
+    wrong = model.pieces.index("▁the")
+    offsets, ids = sentencepiece_codec.Encoder(model).encode(["the cat"])
+    assert wrong in ids.tolist()
+    model.kinds[wrong] = "other"  # decoded as nothing
+    found = sentencepiece_codec.encode(frame([(1, "the cat"), (2, "a cat")], "doc_id long, text string"), model)
+    assert rows(found, "doc_id", "exact") == [(1, False), (2, True)]
+
+
+def test_decoding_bytes_that_are_no_text():
+    model = sentencepiece_codec.Model.load(MODEL_FILE)
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL_FILE)
+    r, decoder = random.Random(4), sentencepiece_codec.Decoder(model)
+    codes = list(model.bytes.values())
+    for _ in range(300):
+        ids = [r.choice(codes) if r.random() < 0.7 else r.randrange(len(model.pieces)) for _ in range(12)]
+        assert decoder.decode(np.array(ids, np.int64)).replace("\ufffd", "") == sp.decode(ids).replace("\ufffd", "")
+
+
 def test_main_text(spark, frame):
     page = (
         "<html><body><nav><ul><li><a href=/>Home</a></li></ul></nav><div class='ad'>Buy this now, it is good.</div><article><h1>A title</h1>"
