@@ -190,6 +190,17 @@ def test_main_text(spark, frame):
     assert found[1] == (text, len(text)) and found[2] == ("", 0) and found[None] == ("", 0) and found[3] == ("deep", 4)
 
 
+@pytest.mark.parametrize("name", ["title-bar", "template-card", "style-guide", "script-loader", "noscript.x", "TITLE-BAR"])
+def test_main_text_after_an_element_named_like_a_raw_one(name):
+    model = html_extract.train(html_extract.labelled_pages())
+    page = "<html><head><title>x</title><style\n>p {{}}</style></head><body><nav><a href=/>Home</a></nav>{}<article><h1>A title</h1><p>Body text, that is a sentence.</p></article></body></html>"
+    text = html_extract.main_text(page.format(""), model)
+    assert text == "A title Body text, that is a sentence."
+    assert html_extract.main_text(page.format(f"<{name} class='menu nav'>Head</{name}>"), model) == text
+    assert html_extract.main_text(page.format(f"<{name}/>"), model) == text
+    assert "Body text." in "".join(r[2] for r in html_extract.parse(f"<{name} class='x'>Head</{name}><article><p>Body text.</p></article>").runs)
+
+
 def test_pseudonyms_keep_format_and_links(spark, frame):
     texts = ["card 4465758382889437, 4465-7583-8288-9437", "+1 (988) 555-2485", "10.0.0.1 a.b@c.org 2024-02-29", "GB82 WEST 1234 5698 7654 32", "4465758382889438 300.1.1.1 2023-02-30", None, ""]
     df = frame([(i, t, "x") for i, t in enumerate(texts * 2)], "doc_id long, text string, kinds string")
