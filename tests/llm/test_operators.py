@@ -69,6 +69,32 @@ def test_ngram_join_is_brute_force(spark, frame):
     assert rows(found, "doc_id", "n_shingles", "component_id") == sorted(brute_components(texts), key=repr)
 
 
+def test_ngram_join_of_sets_in_several_fragments_is_brute_force(spark, frame):
+    r = random.Random(3)
+
+    def changed(words, n):
+        """Every n-th part of the text has one word of its own."""
+        out = list(words)
+        for k in range(n):
+            out[k * len(words) // n + 2] = f"new{n}x{k}"
+        return out
+
+    cases = {2052: [30, 62], 2053: [30, 62], 3000: [85, 87], 16389: [400, 480], 20000: [571, 572]}  # by words: changes that link, and that don't
+    texts = []
+    for size, changes in cases.items():
+        base = [f"w{r.randrange(5000)}" for _ in range(size)]
+        texts += [base, *(changed(base, n) for n in changes)]
+    for size, less in ((2100, 2000), (17000, 16000)):  # a pair across the border of a level
+        base = [f"w{r.randrange(5000)}" for _ in range(size)]
+        texts += [base, base[:less]]
+    assert {ngram_join._level(len(t) - 4) for t in texts} == {0, 1, 2}
+    texts = [" ".join(t) for t in texts]
+    expected = brute_components(texts)
+    assert sum(c != i for i, _, c in expected) == len(cases) + 2
+    found = ngram_join.NgramJoin(frame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).components()
+    assert rows(found, "doc_id", "n_shingles", "component_id") == sorted(expected, key=repr)
+
+
 def test_ngram_join_odd_rows(spark, frame):
     found = ngram_join.NgramJoin(frame(ROWS, DOCS)).components()
     assert rows(found, "doc_id", "component_id") == sorted([(3, 3), (3, 3), (4, 4), (5, 3), (6, 6), (7, 7), (None, 3)], key=repr)
