@@ -160,6 +160,18 @@ def _facts(words: int):
     return work
 
 
+def _set_keys(words: int):
+    """Per text, named by its digest, the key and the size of its set."""
+
+    def work(parts):
+        shingler = Shingler(words)
+        for digests, texts in parts:
+            sets = shingler.sets(texts)
+            yield {"digest": digests, "set_key": [_key(s) for s in sets], "n": [len(s) for s in sets]}
+
+    return work
+
+
 def _prefix(n: int, percent: int) -> int:
     """How many of the first n-grams of a set hold one that any linked set has there, too."""
     return n - -(-percent * n // 100) + 1
@@ -452,10 +464,33 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without those that link, directly or by others, with one of a smaller id.
+    """One document of each group of documents that link, directly or by others.
 
-    All columns stay as they were. Rows without an id all stay.
+    It is the row with the smallest id, of rows with one id the one with the smallest set key; a row without
+    an id stays only where none of its group has one. Rows that share an id and differ in their sets are
+    documents of their own. Documents without n-grams link with nothing and all stay. All columns
+    stay as they were.
     """
-    found = NgramJoin(docs, id_col, text_col).components("_id")
-    gone = durable(found.filter("_id <> component_id").select("_id").distinct())
-    return docs.join(gone, F.col(id_col) == F.col("_id"), "left_anti")
+    join = NgramJoin(docs, id_col, text_col)
+    named = join.classes.join(join.groups(), "node", "left").withColumn("group", F.coalesce("group", "node"))
+    least = F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "key"))
+    stays = durable(named.groupBy("group").agg(least.alias("least")).select(F.col("least.first_id").alias("_id"), F.col("least.key").alias("_key")))
+    held = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+    gone = durable(join.rows.filter("n > 0 AND id IS NOT NULL").join(stays, held, "left_anti").select(F.col("id").alias("_id")).distinct())
+    shared = durable(join.rows.groupBy("id").count().filter("count > 1 OR id IS NULL").select(F.col("id").alias("_id")))
+    if shared.isEmpty():
+        return docs.join(gone, F.col(id_col).cast("long") == F.col("_id"), "left_anti")
+
+    # Ids don't tell these rows apart: each is decided by its id and set.
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    unclear = docs.join(shared, same, "left_semi").withColumn("_digest", F.unhex(F.sha2(text, 256)))
+    texts = unclear.select(F.col("_digest").alias("id"), text.alias("text"))
+    sets = durable(_scan(texts, "digest binary, set_key binary, n long", _set_keys(join.words)).distinct())
+    keyed = unclear.join(sets, F.col("_digest") == F.col("digest"))
+    linkable = keyed.filter("n > 0").join(stays, same & (F.col("set_key") == F.col("_key")), "left_semi")
+    first = durable(linkable.groupBy(F.col(id_col).cast("long").alias("_id"), F.col("set_key").alias("_key")).agg(F.min("_digest").alias("_first")))
+    one = same & (F.col("set_key") == F.col("_key")) & (F.col("_digest") == F.col("_first"))
+    kept = linkable.join(first, one, "left_semi").dropDuplicates([id_col, "_digest"]).unionByName(keyed.filter("n = 0"))
+    clear = docs.join(shared, same, "left_anti").join(gone, same, "left_anti")
+    return clear.unionByName(kept.select(*docs.columns))

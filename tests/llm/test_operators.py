@@ -102,6 +102,30 @@ def test_ngram_join_odd_rows(spark, frame):
     assert rows(ngram_join.drop_near_copies(frame(ROWS[:2] + ROWS[3:5], DOCS)), "doc_id") == [(3,), (4,), (6,)]
 
 
+def test_one_row_of_each_linked_group_stays_whatever_the_ids(spark, frame):
+    r = random.Random(5)
+
+    def pair():
+        words = [f"w{r.randrange(900)}" for _ in range(60)]
+        return " ".join(words), " ".join(words[:-1])
+
+    (a, near_a), (b, near_b), (c, near_c), (d, near_d), (clean, _) = (pair() for _ in range(5))
+    docs = [
+        (1, a, "x"), (2, near_a, "x"), (2, clean, "x"),
+        (3, b, "b"), (3, near_b, "b"),
+        (None, c, "c"), (None, near_c, "c"),
+        (None, d, "x"), (4, near_d, "x"),
+        (5, "A b c d e f", "e"), (5, "a B c d e f", "e"),
+        (None, None, "x"), (6, "", "x"), (6, "", "x"), (7, "alone in its group as it is", "x"),
+    ]
+    found = ngram_join.drop_near_copies(frame(docs, "doc_id long, text string, kind string").repartition(3))
+    assert found.columns == ["doc_id", "text", "kind"]
+    got = found.collect()
+    sure = [(1, a), (2, clean), (4, near_d), (None, None), (6, ""), (6, ""), (7, "alone in its group as it is")]
+    assert sorted([(x["doc_id"], x["text"]) for x in got if x["kind"] == "x"], key=repr) == sorted(sure, key=repr)
+    assert sorted(x["kind"] for x in got if x["kind"] != "x") == ["b", "c", "e"]
+
+
 def test_language_of_odd_texts(spark, frame):
     model = language_id.learn(frame(ROWS + [(8, "der die das", "de", "", "", 0)], DOCS))
     found = language_id.predict(frame(ROWS + [(9, "123 !", "en", "", "", 0)], DOCS), model)
