@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerbench.llm import chat, exact_dedup, html_extract, language_id, mixing, ngram_join, pii, quality, sentencepiece_codec, warc
+from peerbench.llm import (
+    chat,
+    exact_dedup,
+    html_extract,
+    language_id,
+    mixing,
+    ngram_join,
+    pii,
+    quality,
+    sentencepiece_codec,
+    source_audit,
+    warc,
+)
 from peerbench.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +186,31 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], chats.schema)
     return chat.digests(chat.format_chats(chats.unionByName(probe)))
+
+
+_UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+@query(
+    "op13_source_audit",
+    rf"""WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), {_UPPER}), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT i) AS docs
+  FROM (SELECT i, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS total FROM c GROUP BY ALL HAVING sum(docs) >= 3),
+grid AS (SELECT g.lang, g.source, k.term, k.total, coalesce(c.n, 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+shares AS (SELECT *, 1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER g + count(*) OVER g)::HUGEINT AS p,
+  1 + (1000000000::HUGEINT * (total + 1)) // (sum(total) OVER g + count(*) OVER g)::HUGEINT AS q
+  FROM grid WINDOW g AS (PARTITION BY lang, source)),
+pairs AS (SELECT lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+rows AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM (SELECT DISTINCT lang, source FROM d) a JOIN (SELECT DISTINCT lang, source FROM d) b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200""",
+)
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.SourceAudit(read(spark, sf_dir, "documents")).report()
