@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from peerbench.llm import (
     chat,
+    collocations,
     exact_dedup,
+    hidden_markov,
     html_extract,
     language_id,
     mixing,
@@ -191,6 +193,34 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 _UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
+@query(
+    "op11_collocations",
+    rf"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+  unnest(regexp_split_to_array(translate(coalesce(text, ''), {_UPPER}), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+spans AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+grams AS (SELECT lang, w[i:i + m - 1] AS words, m FROM spans, (SELECT unnest(range(1, 6)) AS m) ms WHERE i + m - 1 <= len(w)),
+f AS (SELECT lang, array_to_string(words, ' ') AS phrase, words, m, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+cuts AS (SELECT lang, phrase, m, f, unnest(range(1, m)) AS k, words FROM f WHERE m > 1),
+scored AS (SELECT c.lang, c.phrase, c.m, c.f AS a, k, l.f AS l, r.f AS r, n, ((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[k + 1:], ' ') JOIN n ON n.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.lang = b.lang AND f.m > b.m AND f.f >= b.a
+  AND contains(' ' || f.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000""",
+)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+@query("op12_hidden_markov")
+def op12_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.HiddenMarkov(read(spark, sf_dir, "documents")).score()
+
+
 @query(
     "op13_source_audit",
     rf"""WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
