@@ -30,8 +30,9 @@ from peerbench.session import durable
 LEAST_DOCS = 3
 MOST_TERMS = 200
 PARTS = 1_000_000_000
-SLICE_BYTES = 1 << 24  # of text sorted at a time; a longer document is a slice of its own
+SLICE_BYTES = 1 << 23  # of text sorted at a time; a longer document is a slice of its own
 PAIRS = 1 << 20  # of sources handled at a time
+ROWS = 1 << 16  # handed on at a time
 KEY = 8
 
 _lower = np.arange(256, dtype=np.uint8)
@@ -39,6 +40,9 @@ _lower[65:91] += 32
 #: The byte as it counts in a term, 0 where it stands in none.
 LETTER = np.where((_lower >= 97) & (_lower <= 122) | (_lower >= 128), _lower, 0).astype(np.uint8)
 
+#: Masks of the first 0, 1, ... 8 bytes of a key.
+KEPT = np.array([(0xFFFFFFFFFFFFFFFF << 8 * (KEY - n)) & 0xFFFFFFFFFFFFFFFF for n in range(KEY + 1)], np.uint64)
+
 _RUNS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("n", pa.int64())])
 
 
@@ -51,22 +55,20 @@ def pointers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     starts[1:] &= ~inside[:-1] | first[1:-1]
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | first[1:-1]
-    return np.flatnonzero(starts), np.flatnonzero(ends) + 1
+    return np.flatnonzero(starts).astype(np.int32), (np.flatnonzero(ends) + 1).astype(np.int32)
 
 
 def sort_pointers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order of the pointers by term, equal ones as they were, and where in it a run begins."""
     padded = np.concatenate([data, np.zeros(KEY, np.uint8)])
     eights = np.ndarray((len(data) + 1,), ">u8", padded.data, strides=(1,))
-    order, begins = np.arange(len(starts)), np.zeros(len(starts), bool)
+    order, begins = np.arange(len(starts), dtype=np.int32), np.zeros(len(starts), bool)
     at, run, depth = order.copy(), None, 0
     while len(at):
         some = order[at]
         here = np.minimum(starts[some] + depth, ends[some])
         left = np.minimum(ends[some] - here, KEY)
-        cut = ((KEY - left) * 8).astype(np.uint64)
-        key = eights[here].astype(np.uint64)
-        key = np.where(left > 0, key >> np.minimum(cut, np.uint64(63)) << np.minimum(cut, np.uint64(63)), np.uint64(0))
+        key = eights[here].astype(np.uint64) & KEPT[left]  # without what stands behind the term
         by = np.argsort(key, kind="stable") if run is None else np.lexsort((key, run))
         order[at], key = some[by], key[by]
         fresh = np.ones(len(at), bool)
@@ -74,7 +76,7 @@ def sort_pointers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tup
         if run is not None:
             fresh[1:] |= run[1:] != run[:-1]
         begins[at] = fresh
-        run = np.cumsum(fresh) - 1
+        run = np.cumsum(fresh, dtype=np.int32) - 1
         going = (key & np.uint64(255) != 0) & (np.bincount(run)[run] > 1)
         at, run, depth = at[going], run[going], depth + KEY
     return order, begins
@@ -86,12 +88,13 @@ def slice_runs(table: pa.Table) -> pa.RecordBatch:
     lang, source = (table.column(c).chunk(0).dictionary_encode() for c in ("lang", "source"))
     codes = [x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in (lang, source)]
     pairs, group = np.unique(codes[0] * len(source.dictionary) + codes[1], return_inverse=True)
+    group = group.astype(np.int32)
     text = table.column("text").chunk(0).cast(pa.large_string())
     bounds = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
     raw = np.frombuffer(text.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
     data, offsets = LETTER[raw], bounds - bounds[0]
     starts, ends = pointers(data, offsets)
-    doc = np.searchsorted(offsets, starts, "right") - 1
+    doc = (np.searchsorted(offsets, starts, "right") - 1).astype(np.int32)
     by_group = np.argsort(group[doc], kind="stable")
     starts, ends, doc = starts[by_group], ends[by_group], doc[by_group]
 
@@ -151,7 +154,8 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     own = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     rows = docs.select(own(lang_col).alias("lang"), own(source_col).alias("source"), own(text_col).alias("text"))
     runs = rows.withColumn("bytes", F.octet_length("text").cast("long")).mapInArrow(
-        lambda batches: map(slice_runs, _slices(batches)), "lang string, source string, term string, docs long, n long"
+        lambda batches: (runs.slice(k, ROWS) for s in _slices(batches) for runs in (slice_runs(s),) for k in range(0, runs.num_rows, ROWS)),
+        "lang string, source string, term string, docs long, n long",
     )
     return runs.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
 
