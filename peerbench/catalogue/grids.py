@@ -66,7 +66,7 @@ LEFT JOIN k c ON c.file = ids.file AND c.sheet = ids.sheet AND c.row_idx = ids.r
   AND c.col_idx = h.col_idx""",
 )
 def header_promote(v):
-    return s.promote_headers(s.prune_sheets(v.cells, METRIC_SHEET_WORDS))
+    return s.promote_headers(durable(s.prune_sheets(v.cells, METRIC_SHEET_WORDS)))
 
 
 _SQL_NAME_COLUMNS = f"""marks AS (SELECT {_SHEET}, row_idx, col_idx,
@@ -115,7 +115,7 @@ LEFT JOIN {{cells}} i ON i.file = n.file AND i.sheet = n.sheet AND i.row_idx = n
   AND i.col_idx = hi.col_idx""",
 )
 def header_promote_by_name(v):
-    return s.promote_headers_by_name(v.cells)
+    return s.promote_headers_by_name(durable(v.cells))
 
 
 @query(
@@ -154,3 +154,34 @@ GROUP BY {_SHEET}""",
 )
 def code_changes(v):
     return s.changed_sheets(s.rewrite_codes(v.cells))
+
+
+@query(
+    "header_index",
+    f"""WITH {_SQL_SUPERHEADER}, {_SQL_HEADER_ROWS},
+by_id AS (SELECT c.file, c.file_ord, c.sheet, c.sheet_ord, header_row, col_idx, value AS header FROM {{cells}} c
+  JOIN header_rows r ON r.file = c.file AND r.sheet = c.sheet AND r.header_row = c.row_idx WHERE NOT {sql_blank("value")}),
+every AS (SELECT 'id' AS kind, * FROM by_id UNION ALL SELECT 'name', * FROM headers),
+nth AS (SELECT *, row_number() OVER (PARTITION BY kind, file, sheet, header ORDER BY col_idx) - 1 AS n FROM every),
+named AS (SELECT * EXCLUDE (header, n), CASE n WHEN 0 THEN header ELSE concat(header, '.', n) END AS header FROM nth)
+SELECT k.kind, {", ".join("k." + c.strip() for c in _SHEET.split(","))}, k.header_row, k.col_idx, k.header,
+  min(CASE WHEN k.header = 'RIC' THEN k.col_idx END) OVER (PARTITION BY k.kind, k.file, k.sheet) AS id_col, c.name_col
+FROM named k JOIN name_columns c ON c.file = k.file AND c.sheet = k.sheet""",
+)
+def header_index(v):
+    return s.header_index(durable(v.cells)).drop("sheet_no")
+
+
+@query("sheet_requests", "SELECT row_number, name, id, sub_industry_flag, focus_flag, sector FROM {req}")
+def sheet_requests(v):
+    rows = s.requests_from_cells(v.request_cells)
+    return rows.select("row_number", "name", "id", "sub_industry_flag", "focus_flag", "sector")
+
+
+@query(
+    "sheet_fields",
+    """SELECT row_idx AS ord, CASE col_idx WHEN 5 THEN 'sheet' ELSE 'vendor' END AS origin, value AS field
+FROM {request_cells} WHERE row_idx > 0 AND col_idx >= 5""",
+)
+def sheet_fields(v):
+    return s.wanted_fields_from_cells(v.request_cells)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from peerbench.catalogue.registry import (
@@ -18,8 +20,12 @@ from peerbench.functions.labels import sector_of_file
 from peerbench.functions.text import blank_to_null
 from peerbench.operators import metrics as m
 from peerbench.operators import sectors as s
+from peerbench.operators.header_match import match_header_table, match_headers
 from peerbench.operators.report import to_long, used_sectors as sectors_in_use
 from peerbench.operators.requests import distinct_fields
+from peerbench.session import shared_dir
+from peerbench.sources.by_file import of_sectors, read_by_file, write_by_file
+from peerbench.sources.vendor_snapshot import VendorSnapshot
 
 FIELDS = ["Revenue", "Net Margin (Pct)", "Margin", "Currency", "Nothing here", "rev"]
 _FIELD_ROWS = ", ".join(f"('{f}')" for f in FIELDS)
@@ -60,7 +66,7 @@ def _customers(v):
 
 @query("header_match", f"WITH {_SQL_HEADERS} SELECT header, field, tier FROM tiers")
 def header_match(v):
-    return m.match_headers(v.metrics, FIELDS)
+    return match_headers(v.metrics, FIELDS)
 
 
 @query("metric_lookup", f"WITH {_SQL_FOUND} SELECT id, field, value FROM found")
@@ -254,7 +260,7 @@ SELECT l.id, a.field, y.fy, y.value FROM l, a, y
 WHERE y.id = l.id AND y.base = a.base AND y.fy = l.latest - a.back""",
 )
 def relative_period(v):
-    return m.relative_period(v.vend, PERIODS)
+    return m.relative_period(v.vend, PERIODS, _customers(v))
 
 
 @query(
@@ -400,3 +406,65 @@ JOIN {files} ON CASE lower(sector)
 )
 def sector_files(v):
     return s.sector_files(v.files, v.req.select(F.trim("sector").alias("sector")).distinct())
+
+
+_PAIRS = """h AS (SELECT DISTINCT concat(p_name, ' ', p_brand) AS header FROM {part}
+  UNION SELECT DISTINCT p_type FROM {part}),
+f AS (SELECT DISTINCT lower(p_name) AS field FROM {part} UNION SELECT DISTINCT p_brand FROM {part}
+  UNION SELECT DISTINCT concat('net ', p_type, ' margin') FROM {part})"""
+
+
+@query(
+    "header_match_many",
+    f"""WITH {_PAIRS}
+SELECT header, field, CASE WHEN lower(header) = lower(field) THEN CASE WHEN header = field THEN 1 ELSE 3 END ELSE 4 END AS tier
+FROM h JOIN f ON (contains(lower(header), lower(field)) OR contains(lower(field), lower(header)))
+  AND ((length(field) > 4 AND length(header) > 3) OR lower(header) = lower(field))""",
+)
+def header_match_many(v):
+    """Headers and fields from two columns each, in both directions."""
+    headers = v.part.select(F.explode(F.array(F.concat("p_name", F.lit(" "), "p_brand"), "p_type")).alias("header"))
+    wanted = v.part.select(F.explode(F.array(F.lower("p_name"), "p_brand", F.concat(F.lit("net "), "p_type", F.lit(" margin")))).alias("field"))
+    return match_header_table(headers, wanted)
+
+
+@query(
+    "vendor_snapshot",
+    f"""WITH f(field) AS (VALUES ('EBIT'), ('Revenue'), ('Nothing'), ('EBIT(Period=FY-1)')),
+r AS (SELECT id, replace(field, 'TR.', '') AS field, fy, value, CASE WHEN o_custkey % 3 = 0 THEN 1 ELSE 0 END AS reply, ord
+  FROM {{vend}} JOIN {{orders}} ON o_orderkey = ord),
+y AS (SELECT id, field, fy, arg_max(value, (reply, ord)) AS value, max((reply, ord)) AS seen FROM r GROUP BY id, field, fy),
+l AS (SELECT id, max(fy) AS latest FROM y GROUP BY id),
+k AS (SELECT id, field, arg_max(value, seen) AS value FROM y GROUP BY id, field
+  UNION ALL SELECT y.id, 'EBIT(Period=FY-1)', value FROM y JOIN l ON l.id = y.id WHERE field = 'EBIT' AND fy = latest - 1),
+w AS (SELECT concat('c', c_custkey) AS id FROM {{customer}})
+SELECT w.id, f.field, k.value, CASE WHEN value IS NULL THEN ''
+  WHEN {sql_number("value")} >= 1000 THEN format('{{{{:,.0f}}}}', {sql_number("value")})
+  WHEN {sql_number("value")} IS NOT NULL THEN format('{{{{:.2f}}}}', {sql_number("value")})
+  ELSE value END AS display
+FROM w JOIN f ON true LEFT JOIN k ON k.id = upper(w.id) AND k.field = f.field""",
+)
+def vendor_snapshot(v):
+    """Two replies merged one after the other, then looked up; the second names a third of the ids."""
+    second = F.substring("id", 2, 20).cast("long") % 3 == 0
+    snapshot = VendorSnapshot(v.spark, buckets=8)
+    # The first reply has the second's ids, too, with values that must not stay.
+    snapshot.merge(v.vend.withColumn("value", F.when(second, F.concat(F.lit("old "), "value")).otherwise(F.col("value"))))
+    snapshot.merge(v.vend.where(second))
+    ids = v.customer.select(F.concat(F.lit("c"), "c_custkey").alias("id"))
+    return snapshot.lookup(ids, ["EBIT", "TR.Revenue", "TR.Nothing", "TR.EBIT(Period=FY-1)"])
+
+
+@query(
+    "sector_metrics",
+    """WITH k AS (SELECT *, 'consumer' AS sector FROM {metrics} WHERE starts_with(lower(file), 'consumer_')
+    OR regexp_matches(file, '(?i)^Basic.*Consumer')
+  UNION ALL SELECT *, 'serv' FROM {metrics} WHERE contains(lower(file), 'serv'))
+SELECT sector, file, count(*) AS n, count(DISTINCT id) AS n_ids FROM k GROUP BY sector, file""",
+)
+def sector_metrics(v):
+    """Metrics of two sectors, read from a table with a folder per file."""
+    path = f"{shared_dir(v.spark)}/peerbench/by-file-{uuid.uuid4().hex}"
+    write_by_file(v.metrics.drop("name"), path)
+    rows = of_sectors(read_by_file(v.spark, "metrics", path), ["consumer", "serv", "Fantasy"])
+    return rows.groupBy("sector", "file").agg(F.count("*").alias("n"), F.countDistinct("id").alias("n_ids"))

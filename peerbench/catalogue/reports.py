@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from peerbench.catalogue.lookups import SQL_HITS
@@ -25,7 +27,9 @@ from peerbench.operators.requests import FOCUS, SUB_INDUSTRY
 from peerbench.operators.sectors import entity_sectors
 from peerbench.plans.peer_report import HEADS
 from peerbench.plans.peer_report import peer_report as run_report
-from peerbench.session import durable
+from peerbench.plans.peer_report import report_from_sheet as run_from_sheet
+from peerbench.session import durable, shared_dir
+from peerbench.sources.sinks import read_report, write_report
 
 FIELDS = ["AcctBal", "Revenue", "Unknown"]
 
@@ -318,19 +322,49 @@ long AS (
     field, v FROM sm)"""
 
 
-@query(
-    "peer_report",
-    f"""WITH {_SQL_REPORT}
-SELECT {", ".join(r.BASE)}, {", ".join(
+_SQL_TABLE = f"""WITH {_SQL_REPORT},
+wide AS (SELECT {", ".join(HEADS)}, {", ".join(
     f"round(max(CASE WHEN field = '{f}' THEN v END), 6) AS " + chr(34) + f + chr(34) for f in _SHOWN
-)} FROM long GROUP BY {", ".join(HEADS)}""",
-)
+)} FROM long GROUP BY {", ".join(HEADS)})
+SELECT row_kind, {", ".join(r.BASE)}, {", ".join(chr(34) + f + chr(34) for f in _SHOWN)} FROM wide"""
+
+
+def _inputs(v):
+    """The input tables as stored tables, as they are in a real run."""
+    tables = (v.ent_rows, v.metrics.drop("name"), v.vend, v.universe)
+    return [durable(t) for t in tables]
+
+
+def _shown(table):
+    texts = ["row_kind", *r.BASE]
+    return table.select(*[c if c in texts else F.round(f"`{c}`", 6).alias(c) for c in table.columns])
+
+
+@query("peer_report", _SQL_TABLE)
 def peer_report(v):
-    report = run_report(
-        v.req, v.ent_rows, v.metrics.drop("name"), v.vend, v.universe, SHEET_FIELDS, VENDOR_FIELDS
-    )
-    table = report.table()
-    return table.select(*[c if c in r.BASE else F.round(f"`{c}`", 6).alias(c) for c in table.columns])
+    return _shown(run_report(v.req, *_inputs(v), SHEET_FIELDS, VENDOR_FIELDS).table())
+
+
+@query("report_from_sheet", _SQL_TABLE)
+def report_from_sheet(v):
+    return _shown(run_from_sheet(v.request_cells, *_inputs(v)).table())
+
+
+_PLACED = ["section", "name", "id", "field"]
+
+
+@query(
+    "report_written",
+    f"""WITH {_SQL_UNION} SELECT section, row_kind, name, id, sector, sub_industry, focus,
+  peer_group_type, input_row, field, round(value_num, 6) AS value_num,
+  row_number() OVER (ORDER BY {", ".join(f"{c} NULLS FIRST" for c in _PLACED)}) - 1 AS position FROM report""",
+)
+def report_written(v):
+    """The report's rows as they are read back from a written report, each with its place in it."""
+    path = f"{shared_dir(v.spark)}/peerbench/report-{uuid.uuid4().hex}"
+    rows = _report_rows(v).select(*_ROW[:-1], F.round("value_num", 6).alias("value_num"))
+    write_report(rows, path, order=_PLACED)
+    return read_report(v.spark, path)
 
 
 @query(

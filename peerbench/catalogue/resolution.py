@@ -19,6 +19,7 @@ from peerbench.operators import entities as e
 from peerbench.operators import peers as p
 from peerbench.operators import requests as r
 from peerbench.operators.joins import ORDER, first_per_key
+from peerbench.operators.name_index import NameIndex
 from peerbench.session import durable
 
 
@@ -118,6 +119,22 @@ def resolve_by_name_blocked(v):
     return found.select("needle", "id", "name", "sub_industry", "focus")
 
 
+@query(
+    "name_index_probe",
+    f"""WITH {SQL_CHOSEN}, {SQL_CLEAN}, {SQL_FIRST_BY_NAME}
+SELECT c.row_number, trim(e.id) AS entity_id,
+  CASE WHEN e.id IS NOT NULL THEN {sql_name("e.holding", "e.universe", "trim(e.id)")} END AS name,
+  e.sub_industry, e.focus
+FROM clean c LEFT JOIN first_by_name e ON lower(c.name) = e.needle
+WHERE c.id IS NULL AND length(c.name) >= 4""",
+)
+def name_index_probe(v):
+    """The names of the requests, searched in an index that is written first."""
+    clean = r.clean_requests(v.req)
+    by_name = clean.where(F.col("id").isNull() & (F.length("name") >= 4))
+    return e.resolve_by_name(by_name, NameIndex.write(v.ent_rows, buckets=8))
+
+
 @query(
     "name_to_id",
     """WITH k AS (SELECT lower(holding) AS key, arg_min(id, (file_ord, sheet_ord, row_idx)) AS id

@@ -13,6 +13,7 @@ from peerbench.catalogue.registry import (
 )
 from peerbench.operators import benchmarks as b
 from peerbench.operators.peers import expand
+from peerbench.operators.quantile_state import QuantileState
 from peerbench.operators.quantiles import grouped_quantiles
 from peerbench.operators.requests import FOCUS, SUB_INDUSTRY
 from peerbench.operators.sectors import screen, with_sector_name
@@ -161,6 +162,64 @@ def group_quantiles(v):
     )
 
 
+def _in_halves(rows, keys, value):
+    """The state of a table that came in two parts; the second comes twice, as after a lost run."""
+    half = F.pmod(F.xxhash64("id"), F.lit(2))
+    state = QuantileState(rows.sparkSession, {k: "string" for k in keys})
+    for part in (0, 1, 1):
+        state.add(rows.where(half == part), value, f"half-{part}")
+    return state
+
+
+@query("sector_trimmed_mean_state", _sql_trimmed(6, 4))
+def sector_trimmed_mean_state(v):
+    listed = with_sector_name(screen(v.universe))
+    return _in_halves(listed, ["sector", "field"], "value").trimmed_mean()
+
+
+@query(
+    "sector_quantiles_state",
+    f"""WITH {SQL_CODES},
+s AS (SELECT sector, field, value FROM {{universe}} JOIN codes ON sector_code = code)
+SELECT sector, field, count(value) AS n_values, round(quantile_cont(value, 0.1), 6) AS p10,
+  round(median(value), 6) AS p50 FROM s GROUP BY sector, field""",
+)
+def sector_quantiles_state(v):
+    state = _in_halves(with_sector_name(v.universe), ["sector", "field"], "value")
+    found = state.quantiles({"p10": 0.1, "p50": 0.5})
+    return found.select("sector", "field", "n_values", *[F.round(p, 6).alias(p) for p in ("p10", "p50")])
+
+
+@query(
+    "quantiles_of_all",
+    """SELECT count(l_extendedprice) AS n_values, round(median(l_extendedprice), 6) AS p50 FROM {lineitem}""",
+)
+def quantiles_of_all(v):
+    return grouped_quantiles(v.lineitem, [], "l_extendedprice", {"p50": 0.5}).withColumn("p50", F.round("p50", 6))
+
+
+_SQL_FIRST_OF_PROXIES = f"""firsts AS (SELECT id, replace(field, 'TR.', '') AS field, arg_min(value, ord) AS value
+  FROM {{vend}} GROUP BY id, replace(field, 'TR.', '')),
+q AS (SELECT sector, ord, field, {sql_number("value")} AS v
+  FROM {{proxies}} p JOIN firsts f ON f.id = p.id),
+bp AS (SELECT sector, field, arg_min(v, ord) FILTER (v IS NOT NULL) AS p1,
+  max(v) FILTER (ord = 1) AS p2 FROM q GROUP BY sector, field)"""
+
+
+@query(
+    "sector_values",
+    f"""WITH {SQL_CODES}, {_SQL_FIRST_OF_PROXIES},
+med AS (SELECT sector, field, median(value) AS m FROM {{universe}} JOIN codes ON sector_code = code
+  WHERE {SQL_SCREENED} AND field = 'Price' GROUP BY sector, field)
+SELECT coalesce(bp.sector, med.sector) AS sector, coalesce(bp.field, med.field) AS field,
+  round(coalesce(p1, m, p2), 4) AS value
+FROM (SELECT * FROM bp WHERE field = 'EBIT') bp FULL JOIN med ON bp.sector = med.sector AND bp.field = med.field
+WHERE coalesce(p1, m, p2) IS NOT NULL""",
+)
+def sector_values(v):
+    return b.sector_values(v.universe, v.vend, ["TR.Price", "EBIT"], v.proxies)
+
+
 @query(
     "sector_fallback",
     f"""WITH firsts AS (SELECT id, replace(field, 'TR.', '') AS field, arg_min(value, ord) AS value

@@ -81,6 +81,17 @@ SELECT CAST(s_suppkey + 1 AS INT) AS row_number,
        WHEN 'ASIA' THEN 'it' WHEN 'EUROPE' THEN 'Fantasy' ELSE 'nan' END AS sector
 FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey
 JOIN {region} ON n_regionkey = r_regionkey""",
+    # the request sheet side by side: labels, a row per request, two lists of fields that end before it
+    "request_grid": """
+SELECT CAST(0 AS BIGINT) AS row_idx, 'Name' AS c0, 'Code' AS c1, 'GICS Sector' AS c2, 'Focus' AS c3,
+  'Sub-Industry' AS c4, 'Kennzahlen aus Excel' AS c5, 'Kennzahlen aus Refinitiv' AS c6
+UNION ALL
+SELECT CAST(row_number AS BIGINT), name, id, sector, focus_flag, sub_industry_flag,
+  CASE row_number WHEN 1 THEN 'Revenue' WHEN 2 THEN ' Net Margin (Pct)' WHEN 3 THEN 'Currency'
+       WHEN 4 THEN 'Nothing here' WHEN 6 THEN 'Revenue ' END,
+  CASE row_number WHEN 1 THEN 'TR.EBIT' WHEN 2 THEN 'Price' WHEN 4 THEN 'TR.Quantity'
+       WHEN 5 THEN 'TotalAssets' WHEN 7 THEN 'TR.EBIT(Period=FY-1)' END
+FROM {req}""",
     # one metric value per customer and field, as text
     "raw_best": f"""
 SELECT concat('C', c_custkey) AS id, 'AcctBal' AS field,
@@ -175,6 +186,7 @@ FROM {{ent_base}}""",
 }
 
 _GRID_COLS = range(9)
+_REQUEST_COLS = range(7)
 _METRIC_COLS = range(4, 9)
 _PLACE = "file, file_ord, sheet, sheet_ord, row_idx"
 
@@ -184,6 +196,9 @@ def _stack(rows: list[str], names: str) -> str:
 
 
 SPARK_VIEWS = {
+    "request_cells": "SELECT * FROM (SELECT 'Requests.xlsx' AS file, 1 AS file_ord, 'Requests' AS sheet, 0 AS sheet_ord, row_idx, "
+    + _stack([f"{i}, c{i}" for i in _REQUEST_COLS], "col_idx, value")
+    + " FROM {request_grid}) WHERE value IS NOT NULL",
     "universe": "SELECT id, sector_code, is_active, is_public, is_primary, curn, "
     + _stack(["'Price', price", "'Quantity', quantity"], "field, value")
     + " FROM {universe_wide}",
@@ -201,6 +216,9 @@ def _unnest(lists: dict[str, list[str]]) -> str:
 
 
 PLAIN_VIEWS = {
+    "request_cells": "SELECT * FROM (SELECT 'Requests.xlsx' AS file, 1 AS file_ord, 'Requests' AS sheet, 0 AS sheet_ord, row_idx, "
+    + _unnest({"col_idx": [f"{i}" for i in _REQUEST_COLS], "value": [f"c{i}" for i in _REQUEST_COLS]})
+    + " FROM {request_grid}) WHERE value IS NOT NULL",
     "universe": "SELECT id, sector_code, is_active, is_public, is_primary, curn, "
     + _unnest({"field": ["'Price'", "'Quantity'"], "value": ["price", "quantity"]})
     + " FROM {universe_wide}",

@@ -14,6 +14,9 @@ from peerbench.operators.joins import first_by, only
 from peerbench.operators.metrics import last_wins
 from peerbench.operators.peers import GROUP
 from peerbench.operators.quantiles import grouped_quantiles, trimmed_mean
+from peerbench.operators.sectors import screen, sector_proxies, with_sector_name
+
+MEDIAN_STEP = 1 << 40
 
 
 def sector_trimmed_mean(universe: DataFrame, min_n: int = 6, scale: int = 4) -> DataFrame:
@@ -91,26 +94,47 @@ def sector_medians(universe: DataFrame, top: int | None = None) -> DataFrame:
     return grouped_quantiles(rows, ["sector", "field"], "v", {"median_value": 0.5})
 
 
-def sector_fallback(
-    proxies: DataFrame, vendor: DataFrame, medians: DataFrame, scale: int = 4
-) -> DataFrame:
-    """Sector figure per field: first proxy with a value, else median, else second proxy.
+def proxy_values(proxies: DataFrame, vendor: DataFrame) -> DataFrame:
+    """(sector, field, rank, value): what each proxy of a sector has, its first row per field.
 
-    ``proxies`` is (sector, ord, id); ``vendor`` (id, field, value, ord). Only
-    rows of proxies are grouped; ids compare trimmed, in any case.
+    ``proxies`` is (sector, ord, id); ``vendor`` (id, field, value, ord). Only rows of proxies are
+    grouped; ids compare trimmed, in any case.
     """
     tried = proxies.select("sector", F.col("ord").alias("rank"), norm_key(F.col("id")).alias("id"))
     rows = only(vendor.withColumn("id", norm_key(F.col("id"))), tried, ["id"], ["ord"])
     first = rows.groupBy("id", field_key(F.col("field")).alias("field")).agg(
-        to_number(first_by(F.col("value"), ["ord"])).alias("v")
+        to_number(first_by(F.col("value"), ["ord"])).alias("value")
     )
-    quoted = tried.join(first, "id")
-    by_proxy = quoted.groupBy("sector", "field").agg(
-        F.min_by("v", F.when(F.col("v").isNotNull(), F.col("rank"))).alias("proxy_value"),
-        F.max(F.when(F.col("rank") == 1, F.col("v"))).alias("second_proxy"),
-    )
-    return by_proxy.join(medians, ["sector", "field"], "full").select(
-        "sector",
-        "field",
-        F.round(F.coalesce("proxy_value", "median_value", "second_proxy"), scale).alias("value"),
-    ).where(F.col("value").isNotNull())
+    return tried.join(first, "id").where("value IS NOT NULL").select("sector", "field", "rank", "value")
+
+
+def sector_fallback(
+    proxies: DataFrame, vendor: DataFrame, medians: DataFrame, scale: int = 4
+) -> DataFrame:
+    """Sector figure per field: first proxy with a value, else median, else second proxy.
+
+    All candidates are rows of one table (a proxy's step is its rank, the median comes after all proxies), and
+    one aggregate takes the first. The second proxy is one of the proxies, so it needs no row of its own.
+    """
+    steps = proxy_values(proxies, vendor).select("sector", "field", F.col("rank").cast("long").alias("step"), "value")
+    last = medians.select("sector", "field", F.lit(MEDIAN_STEP).alias("step"), F.col("median_value").alias("value"))
+    first = F.min_by("value", F.when(F.col("value").isNotNull(), F.col("step")))
+    found = steps.unionByName(last).groupBy("sector", "field").agg(F.round(first, scale).alias("value"))
+    return found.where(F.col("value").isNotNull())
+
+
+def sector_values(
+    universe: DataFrame, vendor: DataFrame, fields: Sequence[str] | None = None, proxies: DataFrame | None = None, scale: int = 4
+) -> DataFrame:
+    """(sector, field, value) from the listed universe and the vendor table in one plan.
+
+    The universe is screened, named by sector and reduced to its medians; proxies (the fixed ones by
+    default) go before them. ``fields`` narrows both sides before anything is shuffled.
+    """
+    listed = with_sector_name(screen(universe)).withColumn("field", field_key(F.col("field")))
+    if fields is not None:
+        keys = field_keys(fields)
+        listed = listed.where(F.col("field").isin(keys))
+        vendor = vendor.where(field_key(F.col("field")).isin(keys))
+    tried = sector_proxies(universe.sparkSession) if proxies is None else proxies
+    return sector_fallback(tried, vendor, sector_medians(listed), scale)

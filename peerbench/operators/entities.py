@@ -7,17 +7,16 @@ row_idx), whatever way the rows are spread over partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerbench.constants import MIN_NAME_LENGTH
 from peerbench.functions.labels import entity_name
-from peerbench.functions.text import norm_key, strip
+from peerbench.functions.text import norm_key, parts, strip
 from peerbench.operators.joins import ORDER, first_by, first_per_key, lookup, only
+from peerbench.operators.name_index import BEST, FACTS, GRAM, NameIndex, name_texts, needles, rarest_gram
 from peerbench.session import durable
 
-FACTS = ("holding", "universe", "sub_industry", "focus")
-
 
 def with_name(df: DataFrame) -> DataFrame:
     return df.withColumn("name", entity_name(F.col("holding"), F.col("universe"), F.col("id")))
@@ -45,53 +44,31 @@ def resolve_by_id(requests: DataFrame, entities: DataFrame) -> DataFrame:
     )
 
 
-def _trigrams(text: Column) -> Column:
-    n = F.greatest(F.length(text) - 2, F.lit(0))
-    grams = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(text, i, 3))
-    return F.array_distinct(F.when(n > 0, grams).otherwise(F.array().cast("array<string>")))
-
-
-def _name_texts(entities: DataFrame) -> DataFrame:
-    """Each distinct name once, with the first row that has it in holding or universe.
-
-    Whether a name contains a needle depends on the name alone, so rows that
-    repeat a name collapse before any name is compared.
-    """
-    texts = F.array(
-        F.struct(F.lit(0).alias("side"), F.lower("holding").alias("text")),
-        F.struct(F.lit(1).alias("side"), F.lower("universe").alias("text")),
-    )
-    named = (
-        entities.select("id", *FACTS, *ORDER, F.explode(texts).alias("_t"))
-        .select("*", "_t.side", "_t.text")
-        .where(F.length("text") >= MIN_NAME_LENGTH)
-    )
-    return first_per_key(named, ["text", "side"], ["id", *FACTS, *ORDER])
-
-
-def find_by_name(wanted: DataFrame, entities: DataFrame) -> DataFrame:
+def find_by_name(wanted: DataFrame, entities: DataFrame | NameIndex) -> DataFrame:
     """First entity whose name contains a wanted name (column needle, lower case).
 
-    A name contains a needle only if it contains each of the needle's trigrams,
-    so each needle is filed under its rarest trigram and names are matched to
-    needles by equal trigram, then verified. Within a sheet a hit in holding
-    beats a hit in universe; the first sheet with a hit wins.
+    A name contains a needle only if it contains each of the needle's trigrams, so each needle is
+    filed under its rarest trigram, names meet needles by that trigram, and are then verified.
+    An index that was written before is probed; an entity table is read twice (counts of the needles'
+    trigrams, then the search), and only hits are shuffled. Within a sheet a hit in holding beats
+    a hit in universe; the first sheet with a hit wins.
     """
-    needles = wanted.select("needle").where(F.length("needle") >= MIN_NAME_LENGTH).distinct()
-    grams = needles.select("needle", F.explode(_trigrams(F.col("needle"))).alias("gram"))
-    texts = durable(_name_texts(entities))
-    spread = ["text", "side"]
-    exploded = texts.withColumn("gram", F.explode(_trigrams(F.col("text"))))
-    seen = exploded.groupBy("gram").agg(F.count("*").alias("n"))
-    rarest = F.min_by("gram", F.struct("n", "gram")).alias("gram")
-    filed = durable(seen.join(grams, "gram").groupBy("needle").agg(rarest))
-    hits = lookup(exploded, filed, ["gram"], spread=spread).where(F.contains("text", "needle"))
-    order = ["file_ord", "sheet_ord", "side", "row_idx"]
-    found = first_per_key(hits, ["needle"], ["id", *FACTS], order)
+    if isinstance(entities, NameIndex):
+        return _named(entities.find(wanted))
+    sought = durable(needles(wanted))
+    asked = sought.select(F.explode(parts(F.col("needle"), GRAM)).alias("gram"))
+    cut = name_texts(entities).withColumn("gram", F.explode(parts(F.col("text"), GRAM)))
+    seen = only(cut.select("gram", "text"), asked, ["gram"], ["text"]).groupBy("gram").agg(F.count("*").alias("n"))
+    filed = durable(rarest_gram(sought, seen))
+    hits = lookup(cut, filed, ["gram"], spread=["text", "row_idx"]).where(F.contains("text", "needle"))
+    return _named(first_per_key(hits, ["needle"], ["id", *FACTS], list(BEST)))
+
+
+def _named(found: DataFrame) -> DataFrame:
     return with_name(found.withColumn("id", strip(F.col("id"))))
 
 
-def resolve_by_name(requests: DataFrame, entities: DataFrame) -> DataFrame:
+def resolve_by_name(requests: DataFrame, entities: DataFrame | NameIndex) -> DataFrame:
     """Requests looked up by name; unknown names keep null facts."""
     wanted = requests.select("row_number", F.lower("name").alias("needle"))
     found = find_by_name(wanted, entities).withColumnRenamed("id", "entity_id")
@@ -116,13 +93,15 @@ def id_to_name(ids: DataFrame, entities: DataFrame) -> DataFrame:
     return wanted.join(found, "key", "left").select("id", F.coalesce("name", F.lit("")).alias("name"))
 
 
-def resolve(requests: DataFrame, entities: DataFrame) -> DataFrame:
+def resolve(requests: DataFrame, entities: DataFrame, names: NameIndex | None = None) -> DataFrame:
     """Cleaned requests joined to the entity found by id or by name; others drop out.
 
+    Names are searched in the index ``names`` where there is one.
+
     A row found by name opens its group even if it has no id.
     """
     by_name = requests.where(
         F.col("id").isNull() & (F.length("name") >= MIN_NAME_LENGTH)
     )
-    found = resolve_by_id(requests, entities).unionByName(resolve_by_name(by_name, entities))
+    found = resolve_by_id(requests, entities).unionByName(resolve_by_name(by_name, names or entities))
     return found.where(F.col("entity_id").isNotNull() | F.col("name").isNotNull())

@@ -11,6 +11,7 @@ from peerbench.session import durable
 
 ORDER = ("file_ord", "sheet_ord", "row_idx")
 SMALL_ROWS = 200_000
+SMALL_BYTES = 8 << 20  # as stored
 SALTS = 32
 
 
@@ -31,6 +32,11 @@ def first_per_key(
     return row.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in cols])
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """What the optimizer takes a table's size to be; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def lookup(
     big: DataFrame,
     small: DataFrame,
@@ -41,11 +47,11 @@ def lookup(
 ) -> DataFrame:
     """Join big rows to a lookup table that was written by ``durable``.
 
-    The row count of such a table comes from the file footers. Up to
-    ``small_rows`` it is broadcast; beyond that the join is shuffled with the
-    big side salted by a hash of ``spread`` so that no key lands in one task.
+    The size of such a table comes from its files, the row count from their footers. Up to SMALL_BYTES
+    and ``small_rows`` it is broadcast; beyond that the join is shuffled with the big side
+    salted by a hash of ``spread`` so that no key lands in one task.
     """
-    if small.count() <= small_rows:
+    if stored_bytes(small) <= SMALL_BYTES and small.count() <= small_rows:
         return big.join(F.broadcast(small), list(on), how)
     return salted_join(big, small, on, how, spread or big.columns)
 

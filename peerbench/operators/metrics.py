@@ -11,10 +11,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from peerbench.functions.fieldnames import field_base, field_key, field_keys, years_back
 from peerbench.functions.numbers import display_value, is_code_like, is_error_text
-from peerbench.functions.text import blank_to_null, is_blank, norm_key, one_line
+from peerbench.functions.text import blank_to_null, is_blank, norm_key
+from peerbench.operators.header_match import LOOSE, STRICT, Matching, each_field, match_headers
 from peerbench.operators.joins import first_by, lookup, only
 from peerbench.session import durable
 
@@ -27,49 +29,11 @@ def _upper_ids(ids: DataFrame) -> DataFrame:
     return ids.select(norm_key(F.col("id")).alias("id"))
 
 
-def _each_field(fields: Sequence[str]) -> Column:
-    return F.explode(F.array(*[F.lit(f) for f in dict.fromkeys(fields)]))
-
-
-def _contains_either(a: Column, b: Column) -> Column:
-    return F.contains(a, b) | F.contains(b, a)
-
-
-def header_tier(header: Column, field: Column) -> Column:
-    """1 equal, 2 equal on one line, 3 equal in any case, 4 one inside the other."""
-    h, f = one_line(header), one_line(field)
-    part = _contains_either(F.lower(h), F.lower(f)) & (F.length(f) > 4) & (F.length(h) > 3)
-    return (
-        F.when(header == field, 1)
-        .when(h == f, 2)
-        .when(F.lower(h) == F.lower(f), 3)
-        .when(part, 4)
-    )
-
-
-def header_tier_loose(header: Column, field: Column) -> Column:
-    """Matching used for lookups by name: 1 equal, 2 any case or one inside the other."""
-    h, f = F.lower(F.trim(header)), F.lower(F.trim(field))
-    return F.when(F.trim(header) == field, 1).when(_contains_either(h, f), 2)
-
-
-def match_headers(headers: DataFrame, fields: Sequence[str], tier=header_tier) -> DataFrame:
-    """(header, field, tier) over the distinct headers, never over data rows."""
-    return (
-        headers.select("header")
-        .where(F.col("header").isNotNull())
-        .distinct()
-        .withColumn("field", _each_field(fields))
-        .withColumn("tier", tier(F.col("header"), F.col("field")))
-        .where(F.col("tier").isNotNull())
-    )
-
-
 def _candidates(
-    metrics: DataFrame, fields: Sequence[str], tier, headers: DataFrame | None
+    metrics: DataFrame, fields: Sequence[str], matching: Matching, headers: DataFrame | None
 ) -> DataFrame:
     """Metric cells under a header that fits a wanted field."""
-    fit = durable(match_headers(metrics if headers is None else headers, fields, tier))
+    fit = durable(match_headers(metrics if headers is None else headers, fields, matching))
     return lookup(metrics, fit, ["header"], spread=PLACE)
 
 
@@ -77,7 +41,7 @@ def sheet_picks(
     metrics: DataFrame,
     fields: Sequence[str],
     key: str = "id",
-    tier=header_tier,
+    matching: Matching = STRICT,
     headers: DataFrame | None = None,
 ) -> DataFrame:
     """One value per (key, field, sheet): first row of the key, best tier, first column.
@@ -88,7 +52,7 @@ def sheet_picks(
     blank = is_blank(F.col("value")).cast("int")
     order = ["row_idx", blank, "tier", "col_ord"]
     return (
-        _candidates(metrics, fields, tier, headers)
+        _candidates(metrics, fields, matching, headers)
         .groupBy(key, "field", *SHEET, "file")
         .agg(first_by(blank_to_null(F.col("value")), order).alias("value"))
     )
@@ -107,7 +71,7 @@ def judge(picks: DataFrame, strict_codes: bool = True) -> DataFrame:
     ).withColumn("value", F.when(~F.col("is_error"), F.col("value")))
 
 
-def _until_first_yield(metrics: DataFrame, hits: DataFrame) -> DataFrame:
+def until_first_yield(metrics: DataFrame, hits: DataFrame) -> DataFrame:
     """Hits a search that stops early would see.
 
     It reads sheets in order up to the first that yields anything for the id;
@@ -143,7 +107,7 @@ def metric_lookup(
         rows = only(rows, _upper_ids(ids), ["id"], PLACE)
     hits = judge(sheet_picks(rows, fields, headers=metrics), strict_codes).where("is_hit")
     if stop_after_first_hit:
-        hits = _until_first_yield(rows, hits)
+        hits = until_first_yield(rows, hits)
     return hits.groupBy("id", "field").agg(first_by(F.col("value"), SHEET).alias("value"))
 
 
@@ -157,14 +121,14 @@ def metric_lookup_by_name(
     keyed = metrics.withColumn("key", F.lower(F.trim("name")))
     wanted = names.select("name", F.lower(F.trim("name")).alias("key")).distinct()
     rows = only(keyed, wanted, ["key"], PLACE)
-    picks = sheet_picks(rows, fields, "key", header_tier_loose, metrics).where(F.col("value").isNotNull())
+    picks = sheet_picks(rows, fields, "key", LOOSE, metrics).where(F.col("value").isNotNull())
     found = picks.groupBy("key", "field").agg(first_by(F.col("value"), SHEET).alias("value"))
     return found.join(wanted, "key").select("name", "field", "value")
 
 
 def every_field(ids: DataFrame, found: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Every id with every field; null where nothing was found, with is_found."""
-    wanted = ids.select("id").distinct().withColumn("field", _each_field(fields))
+    wanted = ids.select("id").distinct().withColumn("field", each_field(fields))
     marked = found.select(
         norm_key(F.col("id")).alias("key"), "field", "value", F.lit(True).alias("_found")
     )
@@ -189,24 +153,60 @@ def last_wins(vendor: DataFrame) -> DataFrame:
     ).agg(F.max_by("value", "ord").alias("value"))
 
 
+def _entries(keys: Sequence[str], order: Column, value: Column) -> Column:
+    """What a row (id, field, base, fy, latest) may answer: an entry for each request that it fits.
+
+    A request for a field is answered by the row of that name (rank 0); one with a period also by the base
+    field's row of that year (rank 1).
+    """
+    entry = lambda key, rank: F.struct(F.lit(key).alias("key"), F.lit(rank).alias("rank"), order.alias("order"), value.alias("value"))
+    fits = [F.when(F.col("field") == k, entry(k, 0)) for k in keys]
+    for k in keys:
+        if PERIOD_MARK in k:
+            year = F.col("latest") - years_back(F.lit(k))
+            fits.append(F.when((F.col("base") == field_base(F.lit(k))) & (F.col("fy") == year), entry(k, 1)))
+    return F.array_compact(F.array(*fits))
+
+
+def vendor_answers(rows: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
+    """(id, field, value): the last row that answers each request, one under its own name before one by year."""
+    fitting = rows.select("id", F.explode(_entries(keys, order, F.col("value"))).alias("_e"))
+    best = F.max_by("_e.value", F.struct(-F.col("_e.rank"), "_e.order"))
+    return fitting.groupBy("id", F.col("_e.key").alias("field")).agg(best.alias("value"))
+
+
+def every_value(ids: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every id with every field: value and display text, null and '' where nothing was found."""
+    batch = every_field(ids, found, keys)
+    return batch.select("id", "field", "value", display_value(F.col("value")).alias("display"))
+
+
+def yearly(rows: DataFrame) -> DataFrame:
+    """The last row of each (id, field, year), with the field's base name and the id's latest year.
+
+    Rows meet once; the window is over what an id has left of them.
+    """
+    last = F.max_by(F.struct("value", "ord"), "ord").alias("_last")
+    kept = rows.groupBy("id", field_key(F.col("field")).alias("field"), "fy").agg(last).select("id", "field", "fy", "_last.*")
+    latest = F.max("fy").over(Window.partitionBy("id"))
+    return kept.withColumn("base", field_base(F.col("field"))).withColumn("latest", latest)
+
+
 def vendor_lookup(vendor: DataFrame, ids: DataFrame, fields: Sequence[str]) -> DataFrame:
     """(id, field, value, display) for every id and requested field.
 
-    All fields in one job; only rows of wanted ids and fields are shuffled. A field with
-    a period takes the row stored under that name, else the value of that year.
+    One scan and one semi-join for all fields; only rows of wanted ids are shuffled, and without a
+    period only those of wanted fields. A field with a period takes the row stored under that
+    name, else the value of that year.
     """
     keys = field_keys(fields)
-    rows = vendor.where(field_key(F.col("field")).isin(*keys)).withColumn(
-        "id", norm_key(F.col("id"))
-    )
-    found = last_wins(only(rows, _upper_ids(ids), ["id"], ["ord"]))
-    periods = [k for k in keys if PERIOD_MARK in k]
-    if periods:
-        by_year = relative_period(vendor, periods, ids).select("id", "field", "value")
-        both = found.withColumn("_rank", F.lit(0)).unionByName(by_year.withColumn("_rank", F.lit(1)))
-        found = both.groupBy("id", "field").agg(F.min_by("value", "_rank").alias("value"))
-    batch = every_field(ids, found, keys)
-    return batch.select("id", "field", "value", display_value(F.col("value")).alias("display"))
+    rows = vendor.withColumn("id", norm_key(F.col("id")))
+    if any(PERIOD_MARK in k for k in keys):
+        answers = vendor_answers(yearly(only(rows, _upper_ids(ids), ["id"], ["ord"])), keys, F.col("ord"))
+    else:
+        rows = rows.where(field_key(F.col("field")).isin(*keys))
+        answers = last_wins(only(rows, _upper_ids(ids), ["id"], ["ord"]))
+    return every_value(ids, answers, keys)
 
 
 def point_lookup(vendor: DataFrame, ids: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -230,19 +230,11 @@ def relative_period(
     if ids is not None:
         rows = only(rows, _upper_ids(ids), ["id"], ["ord"])
     base = field_base(F.col("field"))
-    bases = F.transform(F.array(*[F.lit(f) for f in fields]), field_base)
-    yearly = (
-        rows.where(F.array_contains(bases, base))
-        .groupBy("id", base.alias("base"), "fy")
-        .agg(F.max_by("value", "ord").alias("value"))
-    )
-    latest = rows.groupBy("id").agg(F.max("fy").alias("latest"))
-    asked = (
-        latest.withColumn("field", _each_field(fields))
-        .withColumn("base", field_base(F.col("field")))
-        .withColumn("fy", F.col("latest") - years_back(F.col("field")))
-    )
-    return asked.join(yearly, ["id", "base", "fy"]).select("id", "field", "fy", "value")
+    by_year = rows.groupBy("id", base.alias("base"), "fy").agg(F.max_by("value", "ord").alias("value"))
+    dated = by_year.withColumn("latest", F.max("fy").over(Window.partitionBy("id")))
+    asked = [F.struct(F.lit(f).alias("field"), field_base(F.lit(f)).alias("base"), years_back(F.lit(f)).alias("back")) for f in dict.fromkeys(fields)]
+    fits = F.filter(F.array(*asked), lambda a: (a["base"] == F.col("base")) & (F.col("fy") == F.col("latest") - a["back"]))
+    return dated.select("id", F.explode(fits).alias("_a"), "fy", "value").select("id", "_a.field", "fy", "value")
 
 
 def first_filled(raw: Column, cleaned: Column) -> Column:

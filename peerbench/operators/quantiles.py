@@ -27,7 +27,7 @@ EXACT_ROWS = 100_000
 
 
 # A slot number that never decreases as the value grows; slots are about 1.6 % wide.
-_LOG_SLOT = (
+LOG_SLOT = (
     "CASE WHEN _v = 0 THEN 0L "
     f"ELSE CAST(floor(signum(_v) * (log2(abs(_v)) + 1100) * {SLOTS_PER_DOUBLING}) AS BIGINT) END"
 )
@@ -49,7 +49,7 @@ def _quoted(keys: Sequence[str]) -> str:
     return ", ".join(f"`{k}`" for k in keys)
 
 
-def _with_ranks(hist: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def with_ranks(hist: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Per slot: group size, values up to it, and which wanted ranks it holds.
 
     The windows run over slots, whose number per group is bounded, not over rows.
@@ -77,9 +77,9 @@ def histogram(
     """Slots per group in which every wanted rank sits in a slot of one value."""
     data = df.select(*keys, finite(F.col(value)).alias("_v"), F.lit(1).alias("_w"))
     data = data.where(F.col("_v").isNotNull())
-    hist = durable(_count_slots(data, keys, _LOG_SLOT))
+    hist = durable(_count_slots(data, keys, LOG_SLOT))
     while True:
-        ranked = _with_ranks(hist, keys, probs)
+        ranked = with_ranks(hist, keys, probs)
         split = (F.size("_ranks") > 0) & (F.col("_lo") < F.col("_hi"))
         wide = ranked.where(split).select(
             *keys, F.col("_lo").alias("_from"), F.col("_hi").alias("_to"), "_n"
@@ -114,6 +114,40 @@ def _quantile(p: float, over: str = "") -> str:
     return f"{lo} + ({hi} - {lo}) * ({pos} - floor({pos}))"
 
 
+def quantiles_of(hist: DataFrame, keys: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """Quantiles of a histogram in which every wanted rank sits in a slot of one value."""
+    ranked = with_ranks(hist, keys, list(probs.values()))
+    return ranked.groupBy(*keys).agg(
+        F.max("_total").alias("n_values"),
+        *[F.expr(_quantile(p)).alias(n) for n, p in probs.items()],
+    )
+
+
+def trimmed_of(
+    hist: DataFrame, keys: Sequence[str], lower: float, upper: float, min_n: int, scale: int | None
+) -> DataFrame:
+    """Trimmed mean of a histogram whose slots lie wholly inside or outside the bounds."""
+    ranked = with_ranks(hist, keys, [lower, upper])
+    group = f" OVER (PARTITION BY {_quoted(keys)})"
+    bounded = ranked.selectExpr(
+        "*", f"{_quantile(lower, group)} AS _lower", f"{_quantile(upper, group)} AS _upper"
+    )
+    inside = (F.col("_lo") >= F.col("_lower")) & (F.col("_hi") <= F.col("_upper"))
+    mean = F.sum("_sum") / F.sum("_n")
+    return (
+        bounded.where(inside & (F.col("_total") >= min_n))
+        .groupBy(*keys)
+        .agg(
+            (mean if scale is None else F.round(mean, scale)).alias("avg_value"),
+            F.sum("_n").alias("n_used"),
+            F.max("_total").alias("n_total"),
+        )
+    )
+
+
+ONE_GROUP = "_all"
+
+
 def grouped_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -123,15 +157,12 @@ def grouped_quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one column per named probability.
 
-    Returns keys, n_values and the named columns. Nulls, NaN and infinities are
-    left out.
+    Returns keys, n_values and the named columns; without keys one row for the whole table, none where
+    it has no number. Nulls, NaN and infinities are left out.
     """
-    at = list(probs.values())
-    ranked = _with_ranks(histogram(df, keys, value, at, exact_rows), keys, at)
-    return ranked.groupBy(*keys).agg(
-        F.max("_total").alias("n_values"),
-        *[F.expr(_quantile(p)).alias(n) for n, p in probs.items()],
-    )
+    if not keys:
+        return grouped_quantiles(df.withColumn(ONE_GROUP, F.lit(True)), [ONE_GROUP], value, probs, exact_rows).drop(ONE_GROUP)
+    return quantiles_of(histogram(df, keys, value, list(probs.values()), exact_rows), keys, probs)
 
 
 def trimmed_mean(
@@ -148,22 +179,9 @@ def trimmed_mean(
 
     Groups with fewer than ``min_n`` numeric values give no row. Every slot of
     the histogram lies wholly inside or outside the bounds, so its totals are
-    enough. Returns keys, avg_value, n_used, n_total.
+    enough. Returns keys, avg_value, n_used, n_total; without keys one row.
     """
-    hist = histogram(df, keys, value, [lower, upper], exact_rows)
-    ranked = _with_ranks(hist, keys, [lower, upper])
-    group = f" OVER (PARTITION BY {_quoted(keys)})"
-    bounded = ranked.selectExpr(
-        "*", f"{_quantile(lower, group)} AS _lower", f"{_quantile(upper, group)} AS _upper"
-    )
-    inside = (F.col("_lo") >= F.col("_lower")) & (F.col("_hi") <= F.col("_upper"))
-    mean = F.sum("_sum") / F.sum("_n")
-    return (
-        bounded.where(inside & (F.col("_total") >= min_n))
-        .groupBy(*keys)
-        .agg(
-            (mean if scale is None else F.round(mean, scale)).alias("avg_value"),
-            F.sum("_n").alias("n_used"),
-            F.max("_total").alias("n_total"),
-        )
-    )
+    if not keys:
+        whole = df.withColumn(ONE_GROUP, F.lit(True))
+        return trimmed_mean(whole, [ONE_GROUP], value, lower, upper, min_n, scale, exact_rows).drop(ONE_GROUP)
+    return trimmed_of(histogram(df, keys, value, [lower, upper], exact_rows), keys, lower, upper, min_n, scale)

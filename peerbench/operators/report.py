@@ -117,16 +117,18 @@ def to_long(wide: DataFrame, ids: Sequence[str], fields: Sequence[str]) -> DataF
     return wide.unpivot(list(ids), list(fields), "field", "value")
 
 
-def project(wide: DataFrame, sheet_fields: Sequence[str], vendor_fields: Sequence[str]) -> DataFrame:
-    """Base columns, then requested fields under either spelling, as far as they exist."""
+def project(
+    wide: DataFrame, sheet_fields: Sequence[str], vendor_fields: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """Base columns, then requested fields under either spelling, as far as they exist; ``keep`` before them."""
     spelled = [s for f in vendor_fields for s in (f, clean_name(f))]
-    wanted = dict.fromkeys([*BASE, *sheet_fields, *spelled])
+    wanted = dict.fromkeys([*keep, *BASE, *sheet_fields, *spelled])
     return wide.select(*[f"`{c}`" for c in wanted if c in wide.columns])
 
 
-def base_first(wide: DataFrame) -> DataFrame:
-    rest = [c for c in wide.columns if c not in BASE]
-    return wide.select(*[f"`{c}`" for c in [*[b for b in BASE if b in wide.columns], *rest]])
+def base_first(wide: DataFrame, base: Sequence[str] = BASE) -> DataFrame:
+    rest = [c for c in wide.columns if c not in base]
+    return wide.select(*[f"`{c}`" for c in [*[b for b in base if b in wide.columns], *rest]])
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:

@@ -101,57 +101,92 @@ def sheet_headers(cells: DataFrame, rows: DataFrame, repair: bool = False) -> Da
     )
 
 
-def _promote(cells: DataFrame, sheets: DataFrame) -> DataFrame:
-    """Data rows below each header as one row per named column, blanks included."""
-    grid = cells.groupBy(*SHEET, "row_idx").agg(
-        F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("_cells")
-    )
-    rows = lookup(grid, sheets, SHEET, spread=["row_idx"]).where(
-        F.col("row_idx") > F.col("header_row")
-    )
+BY_ID, BY_NAME = "id", "name"
 
-    def cell(col: Column) -> Column:
-        return F.when(col.isNotNull(), F.try_element_at("_cells", col))
 
-    return rows.select(
-        *SHEET,
-        "row_idx",
-        cell(F.col("id_col")).alias("id"),
-        cell(F.col("name_col")).alias("name"),
-        "_cells",
-        F.explode("headers").alias("_h"),
-    ).select(
-        "id",
-        "name",
-        *SHEET,
-        "row_idx",
-        F.col("_h.col_idx").alias("col_ord"),
-        F.col("_h.header").alias("header"),
-        F.try_element_at("_cells", F.col("_h.col_idx")).alias("value"),
+def header_index(cells: DataFrame) -> DataFrame:
+    """The headers of all sheets, a written table that every promotion uses.
+
+    A row per named column: kind (``id``: below the first row with the id header; ``name``: below the first
+    row with any name header, blanks repaired from above), sheet_no, sheet, header_row, col_idx, header, and
+    the sheet's id_col and name_col. Two scans whose rows are filtered before they are grouped: one for the
+    marks, one for what stands at or above them.
+    """
+    word = F.lower(strip(F.col("value")))
+    rank = F.when(word.isin(*NAME_HEADERS), 0).when(word == ID_HEADER.lower(), 1)
+    marks = durable(
+        cells.select(*SHEET, "row_idx", "col_idx", rank.alias("rank"))
+        .where("rank IS NOT NULL")
+        .groupBy(*SHEET)
+        .agg(
+            F.min(F.when(F.col("rank") == 1, F.col("row_idx"))).alias("id_row"),
+            F.min(F.struct("row_idx", "rank", "col_idx")).alias("_f"),
+        )
+        .select(*SHEET, "id_row", F.col("_f.row_idx").alias("name_row"), F.col("_f.col_idx").alias("name_at"))
+        .withColumn("sheet_no", F.monotonically_increasing_id())
+    )
+    row = F.col("row_idx")
+    above = F.greatest("id_row", "name_row")
+    top = lookup(cells, marks, SHEET, spread=["row_idx", "col_idx"]).where(row <= above)
+    usable = (row < F.col("name_row")) & has_any(F.upper("value"), SUPERHEADER_WORDS)
+    at = lambda r: F.max(F.when(row == F.col(r), blank_to_null(F.col("value"))))
+    named = top.groupBy("sheet_no", *SHEET, "id_row", "name_row", "name_at", "col_idx").agg(
+        at("id_row").alias("by_id"),
+        F.coalesce(strip(at("name_row")), F.min_by(strip(F.col("value")), F.when(usable, row))).alias("by_name"),
+    )
+    kinds = F.array(
+        F.struct(F.lit(BY_ID).alias("kind"), F.col("id_row").alias("header_row"), F.col("by_id").alias("header")),
+        F.struct(F.lit(BY_NAME).alias("kind"), F.col("name_row").alias("header_row"), F.col("by_name").alias("header")),
+    )
+    each = named.select("sheet_no", *SHEET, "name_at", "col_idx", F.inline(kinds)).where("header IS NOT NULL")
+    same = Window.partitionBy("kind", "sheet_no", "header").orderBy("col_idx")
+    nth = F.row_number().over(same) - 1
+    sheet = Window.partitionBy("kind", "sheet_no")
+    spelled = F.when(F.col("_nth") == 0, F.col("header")).otherwise(F.concat_ws(".", "header", "_nth"))
+    id_col = F.min(F.when(F.col("header") == ID_HEADER, F.col("col_idx"))).over(sheet)
+    return durable(
+        each.withColumn("_nth", nth)
+        .withColumn("header", spelled)
+        .withColumn("id_col", id_col)
+        .select("kind", "sheet_no", *SHEET, "header_row", "col_idx", "header", "id_col", F.col("name_at").alias("name_col"))
     )
 
 
-def _sheet_facts(headers: DataFrame) -> DataFrame:
-    return headers.groupBy(*SHEET, "header_row").agg(
-        F.min(F.when(F.col("header") == ID_HEADER, F.col("col_idx"))).alias("id_col"),
-        F.collect_list(F.struct("col_idx", "header")).alias("headers"),
+def _promote(cells: DataFrame, index: DataFrame, kind: str) -> DataFrame:
+    """Data rows below each header as one row per named column, blanks included.
+
+    Cells meet the index by sheet, where it is small without being moved; only cells of named columns below the
+    header go on, under the sheet's number and their row.
+    """
+    columns = index.where(F.col("kind") == kind)
+    facts = columns.groupBy("sheet_no", *SHEET, "header_row", "id_col", "name_col").agg(
+        F.collect_list(F.struct("col_idx", "header")).alias("headers")
     )
+    facts = durable(facts.where("id_col IS NOT NULL") if kind == BY_ID else facts)
+    sheets = facts.select("sheet_no", *SHEET, "header_row", F.array_append(F.col("headers.col_idx"), F.col("name_col")).alias("_named"))
+    below = lookup(cells, sheets, SHEET, spread=["row_idx", "col_idx"])
+    below = below.where((F.col("row_idx") > F.col("header_row")) & F.array_contains("_named", F.col("col_idx")))
+    grid = below.groupBy("sheet_no", "row_idx").agg(
+        F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("_cells")
+    )
+    cell = lambda c: F.when(F.col(c).isNotNull(), F.try_element_at("_cells", F.col(c)))
+    rows = lookup(grid, facts, ["sheet_no"], spread=["row_idx"])
+    keyed = rows.select(*SHEET, "row_idx", cell("id_col").alias("id"), cell("name_col").alias("name"), "_cells", "headers")
+    return keyed.where(F.col(kind).isNotNull()).select(
+        "id", "name", *SHEET, "row_idx", "_cells", F.inline("headers")
+    ).select(
+        "id", "name", *SHEET, "row_idx", F.col("col_idx").alias("col_ord"), "header", F.try_element_at("_cells", F.col("col_idx")).alias("value")
+    )
 
 
-def promote_headers(cells: DataFrame) -> DataFrame:
+def promote_headers(cells: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """Metric rows of all sheets that have a column named exactly like the id header."""
-    headers = sheet_headers(cells, durable(header_rows(cells)))
-    facts = _sheet_facts(headers).where(F.col("id_col").isNotNull())
-    rows = _promote(cells, durable(facts.withColumn("name_col", F.lit(None).cast("int"))))
-    return rows.drop("name").where(F.col("id").isNotNull())
+    return _promote(cells, header_index(cells) if index is None else index, BY_ID).drop("name")
 
 
-def promote_headers_by_name(cells: DataFrame) -> DataFrame:
+def promote_headers_by_name(cells: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """Metric rows keyed by the name column, with blank headers repaired from above."""
-    rows = durable(name_columns(cells))
-    headers = sheet_headers(cells, rows.drop("name_col"), repair=True)
-    facts = _sheet_facts(headers).join(rows, [*SHEET, "header_row"])
-    return _promote(cells, durable(facts)).where(F.col("name").isNotNull())
+    return _promote(cells, header_index(cells) if index is None else index, BY_NAME)
 
 
 def positional_entities(
@@ -163,10 +198,10 @@ def positional_entities(
     """
     rows = cells if words is None else prune_sheets(cells, words)
     names = ["holding", "universe", "sub_industry", "focus", "id"]
-    wide = rows.groupBy(*SHEET).agg(F.max("col_idx").alias("_last")).where(F.col("_last") >= 4)
+    wide = durable(rows.where(F.col("col_idx") >= len(names) - 1).select(*SHEET).distinct())
     below = rows.where(F.col("row_idx") > header_row)
     return (
-        lookup(below, durable(wide.drop("_last")), SHEET, "left_semi", ["row_idx", "col_idx"])
+        lookup(below, wide, SHEET, "left_semi", ["row_idx", "col_idx"])
         .groupBy(*SHEET, "row_idx")
         .agg(
             *[

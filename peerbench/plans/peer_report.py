@@ -14,14 +14,17 @@ from peerbench.functions.text import is_blank, norm_key
 from peerbench.operators import benchmarks, metrics as m, peers as p, report as r
 from peerbench.operators.entities import resolve
 from peerbench.operators.joins import first_by, lookup, only
+from peerbench.operators.name_index import NameIndex
 from peerbench.operators.requests import (
     FOCUS,
     SUB_INDUSTRY,
     clean_requests,
+    distinct_fields,
     group_choice,
     request_status,
 )
 from peerbench.operators.sectors import entity_sectors, screen, sector_files, with_sector_name
+from peerbench.operators.sheets import requests_from_cells, wanted_fields_from_cells
 from peerbench.session import durable
 
 HEADS = [*r.SORT, "row_kind", *r.BASE]
@@ -40,7 +43,7 @@ class PeerReport:
         return r.to_wide(self.long, HEADS, self.fields, value)
 
     def table(self, value: str = "value_num") -> DataFrame:
-        """The finished report in its order: base columns, then the requested fields.
+        """The finished report in its order: row_kind, base columns, then the requested fields.
 
         Columns without a value in any row are left out; one scan of the long rows tells which.
         """
@@ -48,8 +51,10 @@ class PeerReport:
         named = F.collect_set(F.when(~is_blank(F.col(value).cast("string")), F.col("field")))
         seen = self.long.agg(*[has(c).alias(c) for c in r.BASE], named.alias("_fields")).first()
         fields = [f for f in self.fields if f in seen["_fields"]]
-        wide = r.to_wide(self.long, HEADS, fields, value).orderBy(*r.SORT, "name")
-        return wide.select(*[c for c in r.BASE if seen[c]], *[f"`{f}`" for f in fields])
+        wide = r.to_wide(self.long, HEADS, fields, value)
+        empty = [c for c in r.BASE if not seen[c]]
+        shown = r.project(wide.drop(*empty), fields, [], keep=["row_kind", *r.SORT])
+        return r.base_first(shown.orderBy(*r.SORT, "name").drop(*r.SORT), ["row_kind", *r.BASE])
 
 
 def _groups_of(rows: DataFrame) -> DataFrame:
@@ -90,14 +95,17 @@ def peer_report(
     universe: DataFrame,
     sheet_fields: Sequence[str],
     vendor_fields: Sequence[str],
+    names: NameIndex | None = None,
+    stop_after_first_hit: bool = False,
 ) -> PeerReport:
     """Resolve requests, expand them to peers, attach metrics, append benchmark rows.
 
-    The number of scans is fixed; it grows neither with requests nor with peers.
+    The number of scans is fixed; it grows neither with requests nor with peers. ``names`` is an
+    index to search names in; ``stop_after_first_hit`` ends an id's search as ``metrics.metric_lookup`` does.
     """
     raw = group_choice(requests)
     clean = clean_requests(raw)
-    found = resolve(clean, entities).join(
+    found = resolve(clean, entities, names).join(
         clean.select("row_number", "group_choice", "sector"), "row_number"
     )
     assigned = durable(p.assign_group(found))
@@ -117,7 +125,7 @@ def peer_report(
         wanted = wanted.select(norm_key(F.col("id")).alias("id"))
         cells = only(metrics.withColumn("id", norm_key(F.col("id"))), wanted, ["id"], m.PLACE)
         picks = m.judge(m.sheet_picks(cells, sheet_fields, headers=metrics)).where("is_hit")
-        picks = durable(picks)
+        picks = durable(m.until_first_yield(cells, picks) if stop_after_first_hit else picks)
         own = peers.select(*p.GROUP, "id", norm_key(F.col("id")).alias("key"))
         mine = own.join(picks.withColumnRenamed("id", "key"), "key")
         best = (
@@ -156,3 +164,22 @@ def peer_report(
     shown = [part.withColumn("value_text", F.format_number("value_num", 4)) for part in parts]
     rows = durable(r.union_rows(long, *shown))
     return PeerReport(rows, status, list(dict.fromkeys([*sheet_fields, *keys])))
+
+
+def report_from_sheet(
+    request_cells: DataFrame,
+    entities: DataFrame,
+    metrics: DataFrame,
+    vendor: DataFrame,
+    universe: DataFrame,
+    **options,
+) -> PeerReport:
+    """The run that a request sheet asks for: its rows are the requests, its two lists the fields.
+
+    The lists are what a user wrote into a sheet and name the report's columns, so they reach the driver.
+    """
+    cells = durable(request_cells)
+    wanted = distinct_fields(wanted_fields_from_cells(cells)).orderBy("ord").collect()
+    lists = [[x["field"] for x in wanted if x["origin"] == origin] for origin in ("sheet", "vendor")]
+    requests = durable(requests_from_cells(cells))
+    return peer_report(requests, entities, metrics, vendor, universe, *lists, **options)

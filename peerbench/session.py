@@ -52,4 +52,13 @@ def durable(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/peerbench/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Removes tables that ``durable`` wrote and that nothing reads any more."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

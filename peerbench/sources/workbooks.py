@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from peerbench.constants import EMPTY_CELL_TEXTS
-from peerbench.session import durable
+from peerbench.operators.ordering import numbered
 
 CELLS = (
     "file string, file_ord string, sheet string, sheet_ord int, row_idx bigint, col_idx int, "
@@ -165,9 +165,9 @@ def read_workbooks(
             yield pd.DataFrame(rows, columns=_COLUMNS)
 
     files = list_workbooks(spark, path)
-    ranks = files.select(F.col("path").alias("file_ord"), F.rank().over(Window.orderBy("path")).alias("_rank"))
+    ranks = numbered(files.select(F.col("path").alias("file_ord")), ["file_ord"], "_place")
     cells = files.select("path", "content").mapInPandas(parse, CELLS)
-    ranked = cells.join(durable(ranks), "file_ord").withColumn("file_ord", F.col("_rank"))
+    ranked = cells.join(ranks, "file_ord").withColumn("file_ord", (F.col("_place") + 1).cast("int"))
     return ranked.select(*_COLUMNS)
 
 

@@ -2,7 +2,8 @@ import pytest
 
 from peerbench.operators import report as r
 from peerbench.operators import sectors as sec
-from peerbench.plans.peer_report import peer_report
+from peerbench.operators.name_index import NameIndex
+from peerbench.plans.peer_report import peer_report, report_from_sheet
 from peerbench.sources.sinks import write_report
 
 REQ = "row_number int, name string, id string, sub_industry_flag string, focus_flag string, sector string"
@@ -113,9 +114,11 @@ def test_projection_and_empty_columns(report):
 
 def test_finished_table(report):
     table = report.table()
-    assert table.columns == [*r.BASE, "Market Cap", "EBIT"]
+    assert table.columns == ["row_kind", *r.BASE, "Market Cap", "EBIT"]
     rows = table.collect()
     assert [x["id"] for x in rows[:4]] == ["A", "C", "D", "E"]
+    kinds = ["entity"] * 4 + ["sub_industry_mean"] * 2 + ["focus_mean"] + ["sector_mean"] * 2
+    assert [x["row_kind"] for x in rows] == kinds
     means = {x["name"]: x["sector"] for x in rows if x["id"] == ""}
     assert means["🎯 Ø Luxury"] == "Consumer Discretionary"
 
@@ -128,6 +131,30 @@ def test_written_in_order(report, spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).where("row_kind = 'entity'").count() == 4
 
 
+def test_a_request_sheet_drives_the_report(inputs, report, spark):
+    sheet = [
+        ["Name", "Code", "GICS Sector", "Focus", "Sub-Industry", "Kennzahlen aus Excel", "Kennzahlen aus Refinitiv"],
+        [None, "a", "consumer", "X", None, "Market Cap", "TR.EBIT"],
+        ["holding d", None, None, None, "X", " Unknown", "EBIT"],
+        [None, "C", None, "X", None, "Market Cap ", None],
+        [None, "nope"],
+    ]
+    cells = [("R", 1, "S", 0, i, j, v) for i, row in enumerate(sheet) for j, v in enumerate(row) if v is not None]
+    schema = "file string, file_ord int, sheet string, sheet_ord int, row_idx int, col_idx int, value string"
+    found = report_from_sheet(spark.createDataFrame(cells, schema).repartition(3), *inputs[1:])
+    assert found.fields == report.fields
+    assert found.table().collect() == report.table().collect()
+    assert sorted(found.status.collect()) == sorted(report.status.collect())
+
+
+def test_search_that_stops_and_search_in_an_index(inputs, report):
+    index = NameIndex.write(inputs[1], buckets=4)
+    found = peer_report(*inputs, ["Market Cap", "Unknown"], ["TR.EBIT", "EBIT"], names=index)
+    assert found.table().collect() == report.table().collect()
+    stopped = peer_report(*inputs, ["Market Cap"], [], stop_after_first_hit=True)
+    assert {x["id"]: x["Market Cap"] for x in stopped.table().where("row_kind = 'entity'").collect()} == {"A": 10.0, "C": None, "D": 40.0, "E": None}
+
+
 def test_fill_sector_and_titles(spark):
     rows = spark.createDataFrame(
         [(0, "entity", "A"), (1, "entity", "B"), (2, "entity", "B"), (3, "entity", "A"),
