@@ -56,9 +56,12 @@ class DigestIndex:
             .saveAsTable(self.table)
         )
 
-    def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None) -> DataFrame:
         """Deduplicate a batch against itself and against all earlier batches.
 
+        A batch that is named can be added again, as after a run whose result was lost: what it appended
+        the first time is its own, so the rows come out as they did then. Without a name each call is a new batch.
+
         Returns one row per input row: id, keep_id, group_size (rows of this batch with the text),
         kept, text_sha256.
 
@@ -67,7 +70,7 @@ class DigestIndex:
         nothing and names the id kept then. An empty table gives no rows. Other columns are ignored,
         whatever their names.
         """
-        batch = uuid.uuid4().hex
+        batch = batch or uuid.uuid4().hex
         rows = durable(
             docs.select(
                 F.col(id_col).cast("long").alias("id"),
@@ -88,8 +91,9 @@ class DigestIndex:
                 "digest", F.col("id").alias("keep_id"), F.col("row").alias("keep_row"), F.lit(batch).alias("batch")
             )
         )
-        classes = groups.select("digest", "group_size").join(self.rows().hint("merge"), "digest")
-        kept = (F.col("batch") == batch) & (F.col("row") == F.col("keep_row"))
+        firsts = groups.select("digest", "group_size", F.col("id").alias("first_id"), F.col("row").alias("first_row"))
+        classes = firsts.join(self.rows().hint("merge"), "digest").drop("keep_row")
+        kept = (F.col("batch") == batch) & (F.col("row") == F.col("first_row")) & F.col("first_id").eqNullSafe(F.col("keep_id"))
         return rows.join(durable(classes), "digest").select(
             F.col("id").alias(id_col),
             "keep_id",
@@ -107,7 +111,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     one document; rows with one id and different texts are two.
     """
     found = DigestIndex(docs.sparkSession).add(docs, id_col, text_col).filter("kept")
-    stays = found.select(F.col(id_col).alias("_stay_id"), F.unhex("text_sha256").alias("_stay_digest"))
-    marked = docs.withColumn("_digest", F.unhex(text_digest(F.col(text_col))))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_stay_id")) & (F.col("_digest") == F.col("_stay_digest"))
-    return marked.join(stays, same, "left_semi").dropDuplicates([id_col, "_digest"]).select(*docs.columns)
+    stays = found.select(F.col(id_col).cast("long").alias("id"), F.unhex("text_sha256").alias("digest"))
+    digest = F.unhex(text_digest(F.col(text_col)))
+    marked = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("id"), digest.alias("digest"))
+    same = marked["id"].eqNullSafe(stays["id"]) & (marked["digest"] == stays["digest"])
+    return marked.join(stays, same, "left_semi").dropDuplicates(["id", "digest"]).select("row.*")
