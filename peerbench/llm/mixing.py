@@ -105,16 +105,15 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mixed corpus: each document's row as often as it is taken, all columns as they were."""
+    """The mixed corpus: each document's row as often as it is taken, all columns as they were.
+
+    A null or empty text has size 0 and is taken by its source's rate like any other; a null source is a source
+    of its own, one of size 0 gives nothing; rows with equal ids are taken equally often. An empty table gives
+    no rows. Columns may have any names.
+    """
+    own = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"))
     sized = docs.select(F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
-    rates = durable(targets(source_sizes(sized))).select(
-        F.col("source").alias("_source"), F.col("source_size").alias("_size"), F.col("target").alias("_target")
-    )
-    n = copies(F.col(id_col), F.col("_target"), F.col("_size"))
-    return (
-        docs.join(rates, F.col(source_col).eqNullSafe(F.col("_source")))
-        .withColumn("_copies", n.cast("int"))
-        .filter("_copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*docs.columns)
-    )
+    rates = durable(targets(source_sizes(sized))).withColumnRenamed("source", "of")
+    n = copies(F.col("id"), F.col("target"), F.col("source_size"))
+    taken = own.join(rates, F.col("source").eqNullSafe(F.col("of"))).withColumn("copies", n.cast("int")).filter("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
