@@ -45,12 +45,16 @@ ENDS_P = set(
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BARE = {"#page", "html", "body"}
 FENCES = {"ul", "ol", "dl", "table", "menu"}
+KEEP_P = HIDDEN | FENCES | {"td", "th", "li", "button"}
+BLOCKS = FENCES | ENDS_P
 
+#: Attributes up to the end of a tag. A quote opens a value only behind "=", and only if it is closed.
+_MARKS = r"(?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<(?P<raw>{RAW})(?=[\s/>]|\Z)(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
+    rf"|<(?P<raw>{RAW})(?=[\s/>]|\Z){_MARKS}(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
     r"|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"|<(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    rf"|<(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>{_MARKS})(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
@@ -78,23 +82,25 @@ def parse(html: str) -> Page:
     nodes = [Node(-1, "#page", frozenset(), None)]
     stack: list[tuple[str, int]] = [("#page", 0)]  # open elements with the node they stand in
     runs: list[tuple[int, int, str]] = []
+    places: dict[str, list[int]] = defaultdict(list)  # of the open elements of each tag
     block, hidden, links = 0, 0, 0
 
     def close(depth: int) -> None:
         nonlocal hidden, links, block
         while len(stack) > depth:
             tag, _ = stack.pop()
+            places[tag].pop()
             hidden -= tag in HIDDEN
             links -= tag == "a"
             block += tag not in INLINE
 
+    def top(tags: set[str]) -> int:
+        return max((places[t][-1] for t in tags & places.keys() if places[t]), default=0)
+
     def last(tags: set[str], fences: set[str]) -> int | None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in tags:
-                return k
-            if stack[k][0] in fences:
-                return None
-        return None
+        """The place of the innermost of some open elements, if none of the fences stands inside it."""
+        at = top(tags)
+        return at if at and at >= top(fences) else None
 
     for m in _TOKEN.finditer(html):
         kind = m.lastgroup
@@ -115,13 +121,13 @@ def parse(html: str) -> Page:
         elif kind == "end":
             tag = m["end"].lower()
             at = last({tag}, FENCES - {tag} if tag in SIBLINGS else set())
-            if at is not None and (tag not in INLINE or at > (last(FENCES | ENDS_P, set()) or 0)):
+            if at is not None and (tag not in INLINE or at > top(BLOCKS)):
                 close(at)
             elif tag == "p":
                 block += 1
         elif kind in ("attrs", "tag"):
             tag = m["tag"].lower()
-            if tag in ENDS_P and (at := last({"p"}, set(HIDDEN) | FENCES | {"td", "th", "li", "button"})) is not None:
+            if tag in ENDS_P and (at := last({"p"}, KEEP_P)) is not None:
                 close(at)
             if tag in SIBLINGS and (at := last(SIBLINGS[tag], FENCES)) is not None:
                 close(at)
@@ -138,11 +144,29 @@ def parse(html: str) -> Page:
                 words = frozenset(w.rstrip("s") or w for w in _WORDS.findall(_CAMEL.sub(" ", named).lower()))
                 nodes.append(Node(inside, tag, words, attrs.get(LABEL)))
                 inside = len(nodes) - 1
+            places[tag].append(len(stack))
             stack.append((tag, inside))
             hidden += tag in HIDDEN
             links += tag == "a"
             block += tag not in INLINE
-    return Page(nodes, runs)
+    return _without_shells(Page(nodes, runs))
+
+
+def _without_shells(page: Page) -> Page:
+    """Leaves out nodes that tell nothing: elements without a name or text of their own, around a single node."""
+    nodes = page.nodes
+    children = [0] * len(nodes)
+    for node in nodes[1:]:
+        children[node.parent] += 1
+    place, kept = [0] * len(nodes), [nodes[0]]
+    for k, node in enumerate(nodes[1:], 1):
+        node.parent = place[node.parent]
+        if node.tag == "div" and not node.words and not node.label and not node.n_chars and children[k] == 1:
+            place[k] = node.parent
+        else:
+            place[k] = len(kept)
+            kept.append(node)
+    return Page(kept, [(place[n], block, text) for n, block, text in page.runs])
 
 
 def features(node: Node) -> list[str]:
