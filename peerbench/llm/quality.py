@@ -5,6 +5,7 @@ No shuffle and no user function; every figure of a row comes from its own text.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -20,12 +21,14 @@ SYMBOLS = r"[#*$%&|<>]"
 JUDGED_WORDS = 30
 
 # Frequent function words of English, German, French and Spanish.
-STOP_WORDS = (
-    "the of and to a in that is was for on with by at from as it be this are or an not "
-    "der die und das in zu den von mit ist im für auf des sich dem ein eine nicht als auch "
-    "de la le et les des un une du en que est pour dans qui par sur pas avec au ce il "
-    "el los las y del se con una por para su al lo como más o es no"
-).split()
+STOP_WORDS_OF = {
+    "en": "the of and to a in that is was for on with by at from as it be this are or an not",
+    "de": "der die und das in zu den von mit ist im für auf des sich dem ein eine nicht als auch",
+    "fr": "de la le et les des un une du en que est pour dans qui par sur pas avec au ce il",
+    "es": "el los las y del se con una por para su al lo como más o es no",
+}
+STOP_WORDS = " ".join(STOP_WORDS_OF.values()).split()
+LISTED = tuple(STOP_WORDS_OF)
 
 
 class Rule(NamedTuple):
@@ -38,12 +41,15 @@ class Rule(NamedTuple):
 
 
 def default_rules() -> list[Rule]:
-    """Rules over the columns that `figures` adds. Ratios of an empty text are null and pass."""
+    """Rules over the columns that `figures` adds and is_listed. Ratios of an empty text are null and pass.
+
+    Stop words are judged only where the language's are listed: a clean text in another one has none.
+    """
     return [
         Rule("words", F.col("n_words"), MIN_WORDS, None),
         Rule("mean_word_length", F.col("word_chars") / F.nullif(F.col("n_words"), F.lit(0)), 2.0, 20.0),
         Rule("symbols_per_word", F.col("n_symbols") / F.nullif(F.col("n_words"), F.lit(0)), None, 0.2),
-        Rule("stop_words", F.when(F.col("n_words") >= JUDGED_WORDS, F.col("n_stop_words") / F.col("n_words")), 0.02, None),
+        Rule("stop_words", F.when(F.col("is_listed") & (F.col("n_words") >= JUDGED_WORDS), F.col("n_stop_words") / F.col("n_words")), 0.02, None),
         Rule("repeated_lines", F.col("n_dup_lines") / F.nullif(F.col("n_lines"), F.lit(0)), None, 0.4),
         Rule("repeated_words", 100 * F.col("n_repeat_words") / F.nullif(F.col("n_words"), F.lit(0)), None, MAX_REPEAT_PERCENT),
     ]
@@ -114,16 +120,29 @@ def figures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.withColumn("_figures", F.explode(F.array(once(words(text), counts))))
 
 
-def verdicts(docs: DataFrame, rules: list[Rule] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def verdicts(
+    docs: DataFrame,
+    rules: list[Rule] | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    listed: Sequence[str] = LISTED,
+) -> DataFrame:
     """One row per document: id, counts, base_failed, failed (names of rules), kept.
 
+    `listed` are the languages (values of `lang_col`) whose stop words are judged; a document of another
+    language, of none, or of a table without the column is not judged by them.
+
     A null text is an empty one and fails the least number of words. Rules over a ratio whose
     denominator is 0 pass. Equal rows get equal verdicts; an empty table gives no rows; other
     columns are ignored.
     """
     rules = default_rules() if rules is None else rules
-    flat = figures(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text").select(
+    known = F.coalesce(F.col(lang_col).isin(*listed), F.lit(False)) if lang_col in docs.columns else F.lit(False)
+    given = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), known.alias("is_listed"))
+    flat = figures(given, "_text").select(
         "_id",
+        "is_listed",
         *[f"_figures.{c}" for c in ("n_words", "word_chars", "n_symbols")],
         F.col("_figures.lines.n").alias("n_lines"),
         F.col("_figures.lines.dup").alias("n_dup_lines"),
@@ -133,7 +152,7 @@ def verdicts(docs: DataFrame, rules: list[Rule] | None = None, id_col: str = "do
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return flat.select(
         F.col("_id").alias(id_col),
-        *[c for c in flat.columns if c != "_id"],
+        *[c for c in flat.columns if c not in ("_id", "is_listed")],
         base.alias("base_failed"),
         failed.alias("failed"),
         (~base & (F.size(failed) == 0)).alias("kept"),
@@ -146,7 +165,11 @@ def _outside(rule: Rule) -> Column:
     return F.coalesce(low | high, F.lit(False))
 
 
-def keep_good(docs: DataFrame, rules: list[Rule] | None = None, text_col: str = "text") -> DataFrame:
+def keep_good(
+    docs: DataFrame, rules: list[Rule] | None = None, text_col: str = "text", lang_col: str = "lang", listed: Sequence[str] = LISTED
+) -> DataFrame:
     """The documents that pass, all columns as they were; one projection, no join."""
-    kept = verdicts(docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_text")), rules, "_row", "_text")
+    lang = [F.col(lang_col).alias("_lang")] if lang_col in docs.columns else []
+    own = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_text"), *lang)
+    kept = verdicts(own, rules, "_row", "_text", "_lang", listed)
     return kept.filter("kept").select("_row.*")

@@ -80,8 +80,9 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.STOP_WORDS))
+_LISTED = ", ".join(f"'{x}'" for x in quality.LISTED)
 #: Counts and verdict of the quality rules over `{source}`, a table with doc_id and text.
-SQL_QUALITY = f"""texts AS (SELECT doc_id, coalesce(text, '') AS t FROM {{source}}),
+SQL_QUALITY = f"""texts AS (SELECT doc_id, coalesce(lang IN ({_LISTED}), false) AS is_listed, coalesce(text, '') AS t FROM {{source}}),
 split AS (SELECT *, regexp_extract_all(t, '{_WORD}') AS w,
   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS l FROM texts),
 windows AS (SELECT doc_id, i, list_aggregate(w[i:i + 4], 'string_agg', ' ') AS win
@@ -90,7 +91,7 @@ repeated AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION B
   WHERE n > 1),
 covered AS (SELECT doc_id, sum(least(5, coalesce(nxt - i, 5))) AS n
   FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM repeated) GROUP BY doc_id),
-counts AS (SELECT s.doc_id, len(w)::BIGINT AS n_words,
+counts AS (SELECT s.doc_id, s.is_listed, len(w)::BIGINT AS n_words,
   length(array_to_string(w, ''))::BIGINT AS word_chars,
   (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
   len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
@@ -102,7 +103,7 @@ judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base
     CASE WHEN n_words < 10 THEN 'words' END,
     CASE WHEN word_chars / nullif(n_words, 0) < 2 OR word_chars / nullif(n_words, 0) > 20 THEN 'mean_word_length' END,
     CASE WHEN n_symbols / nullif(n_words, 0) > 0.2 THEN 'symbols_per_word' END,
-    CASE WHEN n_words >= 30 AND n_stop_words / n_words < 0.02 THEN 'stop_words' END,
+    CASE WHEN is_listed AND n_words >= 30 AND n_stop_words / n_words < 0.02 THEN 'stop_words' END,
     CASE WHEN n_dup_lines / nullif(n_lines, 0) > 0.4 THEN 'repeated_lines' END,
     CASE WHEN 100 * n_repeat_words / nullif(n_words, 0) > 20 THEN 'repeated_words' END], lambda x: x IS NOT NULL) AS failed
   FROM counts)"""
