@@ -329,3 +329,84 @@ def test_chat_round_trip(spark, frame):
         texts.append((turn.role, turn.text))
     assert sorted(texts) == sorted((r or "", t or "") for _, _, r, t, _ in chats)
     assert chat.digests(formatted).agg({"n_turns": "sum"}).first()[0] == len(chats)
+
+
+# --- names that clash, batches that come again, other scripts, odd pages ------
+
+INNER = (
+    "id row digest keep_id first_id first_row source size source_size target rate copies copy of _copies _copy _source _size _target "
+    "_id _key _first _digest set_key n key cls row_id row_digest _row _text _lang _figures _stay_id _stay_digest"
+).split()
+
+
+def test_stages_keep_columns_of_any_name(spark, frame):
+    schema = "doc_id long, text string, lang string, " + ", ".join(f"{c} string" for c in INNER if c != "source") + ", source string"
+    words = "the quick fox is in the wood and that was for on with by of".split()
+    text = lambda i: " ".join(f"{words[(i * 7 + k * k) % len(words)]} w{i % 5}x{k}" for k in range(20))
+    names = [c for c in INNER if c != "source"]
+    rows_in = [(i, text(i), "en", *[f"{c}-{i}" for c in names], "s") for i in range(6)]
+    rows_in += [(9, text(2), "en", *[f"{c}-9" for c in names], "s"), (1, text(3) + " more", "en", *[f"{c}-x" for c in names], "s")]
+    df = frame(rows_in, schema)
+    for stage in (exact_dedup.drop_copies, mixing.mix, ngram_join.drop_near_copies, quality.keep_good):
+        out = stage(df)
+        assert out.columns == df.columns
+        got = [tuple(r) for r in out.collect()]
+        assert got and set(got) <= set(rows_in), stage.__name__
+
+
+def test_a_batch_that_is_added_again_comes_out_alike(spark, frame):
+    index = exact_dedup.DigestIndex(spark)
+    index.add(frame([(1, "old")], "doc_id long, text string"), batch="a")
+    second = frame([(2, "old"), (3, "new"), (3, "new"), (4, "new"), (None, "x")], "doc_id long, text string").repartition(3)
+    runs = [rows(index.add(second, batch="b"), "doc_id", "keep_id", "group_size", "kept") for _ in range(2)]
+    assert runs[0] == runs[1] and sum(r[3] for r in runs[0]) == 2
+    assert index.rows().count() == 3
+    assert not any(r["kept"] for r in index.add(second, batch="c").collect())
+
+
+def test_stop_words_are_judged_where_they_are_known(spark, frame):
+    text = " ".join(f"слово{i}" for i in range(40))
+    df = frame([(1, text, "ru"), (2, text, "en"), (3, text, None)], "doc_id long, text string, lang string")
+    assert {r["doc_id"]: r["kept"] for r in quality.verdicts(df).collect()} == {1: True, 2: False, 3: True}
+    assert {r["doc_id"] for r in quality.keep_good(df, listed=["ru"]).collect()} == {2, 3}
+    assert quality.keep_good(df.drop("lang")).count() == 3
+
+
+def test_texts_without_spaces(spark, frame):
+    model = sentencepiece_codec.Model.load(MODEL_FILE)
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL_FILE)
+    r = random.Random(4)
+    cjk = "".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(3000))
+    mixed = "".join(r.choice(["世界", "の", "한국", "สวัสดี", "abc", "ing", "。"]) for _ in range(800))
+    for text in (cjk, mixed, cjk + " the end", "ab" * 200):
+        offsets, ids = sentencepiece_codec.Encoder(model).encode([text])
+        assert ids.tolist() == sp.encode(text)
+        assert sum((sentencepiece_codec.one_by_one(w, model) for w in model.words(text)), []) == sp.encode(text)
+    vectors = language_id.Encoder(64)
+    whole = vectors.bundle([cjk])
+    assert np.array_equal(whole, sum(language_id.Encoder(64).bundle([cjk]) for _ in range(1)))
+
+
+def test_many_3_grams_are_bundled_in_blocks(monkeypatch):
+    r = random.Random(5)
+    texts = ["".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(2000)), "plain text"]
+    want = language_id.Encoder(32).bundle(texts)
+    monkeypatch.setattr(language_id, "KEPT_GRAMS", 256)
+    assert np.array_equal(language_id.Encoder(32).bundle(texts), want)
+
+
+def test_badly_quoted_and_deep_pages():
+    model = html_extract.train(html_extract.labelled_pages())
+    text = "One sentence of the story, which is long enough to be read."
+    shown = lambda html: html_extract.main_text(html, model)
+    assert shown(f"<article><p title=it's>He's here today. {text}</p><p>{text}</p></article>") == f"He's here today. {text} {text}"
+    assert shown(f'<article><p>{text} <b title="x>bold</b> end.</p></article>') == f"{text} bold end."
+    assert shown(f'<article><p title="a > b">{text}</p></article>') == text
+    for depth in (1, 5, 20, 200):
+        assert shown(f"<html><body>{'<div>' * depth}<p>{text}</p>{'</div>' * depth}</body></html>") == text
+    import time
+
+    start = time.perf_counter()
+    shown("<span>" * 40000 + text + "</span>" * 40000)
+    shown("<div>" * 40000 + text)
+    assert time.perf_counter() - start < 20
