@@ -127,18 +127,18 @@ def slice_runs(table: pa.Table) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, _RUNS, strict=True)], schema=_RUNS)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Whole documents, about SLICE_BYTES at a time."""
+def _slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """Whole documents, about `most` bytes at a time."""
     held, size = [], 0
     for batch in batches:
         sizes = np.cumsum(np.array(batch.column("bytes"), np.int64))
         done = 0
         while done < batch.num_rows:
             before = sizes[done - 1] if done else 0
-            to = min(int(np.searchsorted(sizes, before + SLICE_BYTES - size)) + 1, batch.num_rows)
+            to = min(int(np.searchsorted(sizes, before + most - size)) + 1, batch.num_rows)
             held.append(batch.slice(done, to - done))
             size, done = size + int(sizes[to - 1] - before), to
-            if size >= SLICE_BYTES:
+            if size >= most:
                 yield pa.Table.from_batches(held)
                 held, size = [], 0
     if held:
@@ -152,9 +152,10 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     row is a document of its own. An empty table gives no rows.
     """
     own = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    most = SLICE_BYTES
     rows = docs.select(own(lang_col).alias("lang"), own(source_col).alias("source"), own(text_col).alias("text"))
     runs = rows.withColumn("bytes", F.octet_length("text").cast("long")).mapInArrow(
-        lambda batches: (runs.slice(k, ROWS) for s in _slices(batches) for runs in (slice_runs(s),) for k in range(0, runs.num_rows, ROWS)),
+        lambda batches: (runs.slice(k, ROWS) for s in _slices(batches, most) for runs in (slice_runs(s),) for k in range(0, runs.num_rows, ROWS)),
         "lang string, source string, term string, docs long, n long",
     )
     return runs.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
