@@ -56,9 +56,10 @@ def find_by_name(wanted: DataFrame, entities: DataFrame | NameIndex) -> DataFram
     if isinstance(entities, NameIndex):
         return _named(entities.find(wanted))
     sought = durable(needles(wanted))
-    asked = sought.select(F.explode(parts(F.col("needle"), GRAM)).alias("gram"))
+    asked = sought.select(F.explode(parts(F.col("needle"), GRAM)).alias("gram")).distinct()
     cut = name_texts(entities).withColumn("gram", F.explode(parts(F.col("text"), GRAM)))
-    seen = only(cut.select("gram", "text"), asked, ["gram"], ["text"]).groupBy("gram").agg(F.count("*").alias("n"))
+    held = lookup(cut.select("gram", "text"), asked, ["gram"], "left_semi", ["text"], within=sought)
+    seen = held.groupBy("gram").agg(F.count("*").alias("n"))
     filed = durable(rarest_gram(sought, seen))
     hits = lookup(cut, filed, ["gram"], spread=["text", "row_idx"]).where(F.contains("text", "needle"))
     return _named(first_per_key(hits, ["needle"], ["id", *FACTS], list(BEST)))

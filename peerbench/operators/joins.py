@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ ORDER = ("file_ord", "sheet_ord", "row_idx")
 SMALL_ROWS = 200_000
 SMALL_BYTES = 8 << 20  # as stored
 SALTS = 32
+_MOVES = re.compile(r"\b(Join|Aggregate|Window|Generate|Distinct|Union|Sort|Limit|Expand)\b")
 
 
 def first_by(value: Column, order: Sequence[Column | str]) -> Column:
@@ -44,21 +46,32 @@ def lookup(
     how: str = "inner",
     spread: Sequence[str] = (),
     small_rows: int = SMALL_ROWS,
+    within: DataFrame | None = None,
 ) -> DataFrame:
-    """Join big rows to a lookup table that was written by ``durable``.
+    """Join big rows to a lookup table that was written by ``durable``, or that is part of one (``within``).
 
     The size of such a table comes from its files, the row count from their footers. Up to SMALL_BYTES
     and ``small_rows`` it is broadcast; beyond that the join is shuffled with the big side
     salted by a hash of ``spread`` so that no key lands in one task.
     """
-    if stored_bytes(small) <= SMALL_BYTES and small.count() <= small_rows:
+    stored = small if within is None else within
+    if stored_bytes(stored) <= SMALL_BYTES and stored.count() <= small_rows:
         return big.join(F.broadcast(small), list(on), how)
     return salted_join(big, small, on, how, spread or big.columns)
 
 
+def _as_stored(df: DataFrame) -> bool:
+    """Whether a frame is columns of a table of files, row by row."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return "Relation [" in plan and not _MOVES.search(plan)
+
+
 def only(big: DataFrame, wanted: DataFrame, on: Sequence[str], spread: Sequence[str]) -> DataFrame:
-    """Rows of the big side whose key is wanted."""
-    return lookup(big, durable(wanted.select(*on).distinct()), on, "left_semi", spread)
+    """Rows of the big side whose key is wanted. Keys that aren't columns of a small stored table are written first."""
+    keys = wanted.select(*on)
+    if not (_as_stored(keys) and stored_bytes(keys) <= SMALL_BYTES):
+        keys = durable(keys.distinct())
+    return lookup(big, keys, on, "left_semi", spread)
 
 
 def salted_join(

@@ -22,9 +22,9 @@ def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "position
     """
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    dealt = durable(dealt.withColumn("_place", F.monotonically_increasing_id()))
-    part = F.shiftright("_place", _BITS).cast("int")
+    dealt = durable(dealt.withColumn("_numbered", F.monotonically_increasing_id()))
+    part = F.shiftright("_numbered", _BITS).cast("int")
     sizes = dict(dealt.groupBy(part.alias("part")).count().collect())
     before = list(accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0) + 1)), initial=0))
     shift = F.element_at(F.array(*[F.lit(n).cast("long") for n in before]), part + 1)
-    return dealt.withColumn(name, shift + F.col("_place").bitwiseAND((1 << _BITS) - 1)).drop("_place")
+    return dealt.withColumn(name, shift + F.col("_numbered").bitwiseAND((1 << _BITS) - 1)).drop("_numbered")

@@ -70,14 +70,14 @@ def memberships(entities: DataFrame) -> DataFrame:
     )
 
 
-def expand(groups: DataFrame, entities: DataFrame) -> DataFrame:
+def expand(groups: DataFrame, entities: DataFrame, within: DataFrame | None = None) -> DataFrame:
     """Members of the given groups, each id once per group, first row wins.
 
-    ``groups`` (written by ``durable``) is joined before anything is shuffled;
+    ``groups`` (written by ``durable``, or named by a table ``within`` that was) is joined before anything is shuffled;
     the shuffle key holds the id, so a group of any size spreads out.
     """
     wanted = groups.select(*GROUP)
-    members = lookup(memberships(entities), wanted, GROUP, spread=["id", *ORDER])
+    members = lookup(memberships(entities), wanted, GROUP, spread=["id", *ORDER], within=within)
     return first_per_key(
         members, [*GROUP, "id"], ["name", "sub_industry", "focus", *ORDER]
     )

@@ -50,7 +50,7 @@ def entity_sectors(ids: DataFrame, entities: DataFrame) -> DataFrame:
         sector_of_file(F.col("file")).alias("sector"),
     ).where(F.col("sector").isNotNull())
     found = (
-        only(rows, wanted, ["key"], ORDER)
+        only(rows, ids.select(norm_key(F.col("id")).alias("key")), ["key"], ORDER)
         .groupBy("key")
         .agg(first_by(F.col("sector"), ["file_ord"]).alias("sector"))
     )

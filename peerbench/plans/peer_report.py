@@ -25,7 +25,7 @@ from peerbench.operators.requests import (
 )
 from peerbench.operators.sectors import entity_sectors, screen, sector_files, with_sector_name
 from peerbench.operators.sheets import requests_from_cells, wanted_fields_from_cells
-from peerbench.session import durable
+from peerbench.session import durable, scratch
 
 HEADS = [*r.SORT, "row_kind", *r.BASE]
 
@@ -81,7 +81,7 @@ def _in_sector_files(peer_picks: DataFrame, groups: DataFrame, metrics: DataFram
     if not allowed.count():
         return peer_picks
     bound = allowed.select(*p.GROUP).distinct().withColumn("_bound", F.lit(True))
-    picks = lookup(peer_picks, durable(bound), p.GROUP, "left", spread=["id", "field"])
+    picks = lookup(peer_picks, bound, p.GROUP, "left", spread=["id", "field"], within=allowed)
     fits = allowed.withColumn("_fits", F.lit(True))
     picks = lookup(picks, fits, [*p.GROUP, "file"], "left", spread=["id", "field"])
     return picks.where(F.col("_bound").isNull() | F.col("_fits").isNotNull())
@@ -102,7 +102,16 @@ def peer_report(
 
     The number of scans is fixed; it grows neither with requests nor with peers. ``names`` is an
     index to search names in; ``stop_after_first_hit`` ends an id's search as ``metrics.metric_lookup`` does.
+    What is written on the way is removed at the end, but for the report's rows and the requests' status.
     """
+    with scratch() as made:
+        report = _run(requests, entities, metrics, vendor, universe, sheet_fields, vendor_fields, names, stop_after_first_hit)
+        made.remove(report.long)
+        made.remove(report.status)
+    return report
+
+
+def _run(requests, entities, metrics, vendor, universe, sheet_fields, vendor_fields, names, stop_after_first_hit) -> PeerReport:
     raw = group_choice(requests)
     clean = clean_requests(raw)
     found = resolve(clean, entities, names).join(
@@ -110,14 +119,14 @@ def peer_report(
     )
     assigned = durable(p.assign_group(found))
     groups = durable(p.open_groups(assigned))
-    status = request_status(raw, assigned, groups)
+    status = durable(request_status(raw, assigned, groups))
 
     peers = durable(p.peers_or_self(groups, p.expand(groups, entities)))
-    ids = durable(peers.select("id").distinct())
+    ids = peers.select("id")
     sectors = durable(entity_sectors(ids, entities))
     heads = durable(r.entity_rows(peers, sectors))
 
-    members = durable(p.expand(durable(_groups_of(peers)), entities))
+    members = durable(p.expand(_groups_of(peers), entities, within=peers))
     parts = []
     values = []
     if sheet_fields:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,9 +56,29 @@ def durable(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table.stored_at = path
+    if _SCRATCH:
+        _SCRATCH[-1].append(table)
     return table
 
 
+_SCRATCH: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """Collects the tables that are written inside; those still listed at the end are removed.
+
+    Whoever returns a table, or a frame that reads one, takes it off the list.
+    """
+    made: list[DataFrame] = []
+    _SCRATCH.append(made)
+    try:
+        yield made
+    finally:
+        _SCRATCH.remove(made)
+        release(*made)
+
+
 def release(*tables: DataFrame) -> None:
     """Removes tables that ``durable`` wrote and that nothing reads any more."""
     for table in tables:

@@ -25,7 +25,7 @@ ROWS = [
 
 @pytest.fixture(params=[200_000, 0], ids=["broadcast", "salted"])
 def any_join(request, monkeypatch):
-    monkeypatch.setattr(joins.lookup, "__defaults__", ("inner", (), request.param))
+    monkeypatch.setattr(joins.lookup, "__defaults__", ("inner", (), request.param, None))
 
 
 def test_find_by_id(spark, entities, any_join):

@@ -160,3 +160,16 @@ def test_median_cap(spark):
     got = b.sector_medians(u, top=5).collect()
     assert [(r["n_values"], r["median_value"]) for r in got] == [(5, 2.0)]
     assert [(r["n_values"], r["median_value"]) for r in b.sector_medians(u).collect()] == [(20, 9.5)]
+
+
+def test_sector_values_from_universe_and_vendor(spark):
+    universe = spark.createDataFrame(
+        [(f"U{i}", code, True, True, True, "USD", "TR.X", str(i)) for code in ("45", "10") for i in range(5)]
+        + [("V", "45", False, True, True, "USD", "TR.X", "1000")],
+        "id string, sector_code string, is_active boolean, is_public boolean, is_primary boolean, curn string, field string, value string",
+    )
+    v = vendor(spark, (".SPIT", "TR.X", 1, "n/a"), ("xlk ", "X", 1, "7.55555"), ("XLK", "TR.X", 1, "9"), ("XLE", "TR.Y", 1, "3"))
+    it, energy = "Information Technology", "Energy"
+    got = {tuple(r) for r in b.sector_values(universe, v).collect()}
+    assert got == {(it, "X", 7.5556), (energy, "X", 2.0), (energy, "Y", 3.0)}
+    assert {tuple(r) for r in b.sector_values(universe, v, ["TR.Y"]).collect()} == {(energy, "Y", 3.0)}
