@@ -148,6 +148,11 @@ def trimmed_of(
 ONE_GROUP = "_all"
 
 
+def _as_one_group(df: DataFrame) -> DataFrame:
+    """Adds a key that is the same in all rows; a literal would be folded, and a join on it be a nested loop."""
+    return df.withColumn(ONE_GROUP, F.spark_partition_id() >= 0)
+
+
 def grouped_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -161,7 +166,7 @@ def grouped_quantiles(
     it has no number. Nulls, NaN and infinities are left out.
     """
     if not keys:
-        return grouped_quantiles(df.withColumn(ONE_GROUP, F.lit(True)), [ONE_GROUP], value, probs, exact_rows).drop(ONE_GROUP)
+        return grouped_quantiles(_as_one_group(df), [ONE_GROUP], value, probs, exact_rows).drop(ONE_GROUP)
     return quantiles_of(histogram(df, keys, value, list(probs.values()), exact_rows), keys, probs)
 
 
@@ -182,6 +187,5 @@ def trimmed_mean(
     enough. Returns keys, avg_value, n_used, n_total; without keys one row.
     """
     if not keys:
-        whole = df.withColumn(ONE_GROUP, F.lit(True))
-        return trimmed_mean(whole, [ONE_GROUP], value, lower, upper, min_n, scale, exact_rows).drop(ONE_GROUP)
+        return trimmed_mean(_as_one_group(df), [ONE_GROUP], value, lower, upper, min_n, scale, exact_rows).drop(ONE_GROUP)
     return trimmed_of(histogram(df, keys, value, [lower, upper], exact_rows), keys, lower, upper, min_n, scale)
