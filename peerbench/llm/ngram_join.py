@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from peerbench.llm.common import give_back
 from peerbench.session import durable
 
 WORDS = 5
@@ -37,10 +38,10 @@ PERCENT = 75
 FRAGMENT_GRAMS = 2048  # of a set in a fragment, about
 LEVELS = 8  # a level has 8 times the fragments of the one before
 WIDE = 32  # members from which a posting that is split between groups gets more leaders
-LATER_LEADERS = (8, 24)  # of a posting, and tried by a class, in a later round
+LATER_LEADERS = (4, 24)  # of a posting, and tried by a class, in a later round
 BASE = np.uint64(0x9E3779B97F4A7C15)
 CHARS = 1 << 22  # characters handled at a time
-KEPT_WORDS = 1 << 19
+KEPT_WORDS = 1 << 18
 LOCAL_TOKENS = 1 << 17  # counts a task keeps
 LOCAL_LEAST, HEAVY_LEAST = 3, 24
 MOST_HEAVY = 1 << 17  # frequent n-grams that workers get
@@ -135,6 +136,7 @@ def _scan(docs: DataFrame, ddl: str, work: Callable[[Iterator[tuple[list, list[s
             n = len(next(iter(cols.values())))
             arrays = [pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(n, f.type) for f in schema]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+        give_back()
 
     return docs.mapInArrow(rows, ddl)
 
@@ -478,19 +480,20 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     held = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
     gone = durable(join.rows.filter("n > 0 AND id IS NOT NULL").join(stays, held, "left_anti").select(F.col("id").alias("_id")).distinct())
     shared = durable(join.rows.groupBy("id").count().filter("count > 1 OR id IS NULL").select(F.col("id").alias("_id")))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("row_id"), text.alias("text"))
     if shared.isEmpty():
-        return docs.join(gone, F.col(id_col).cast("long") == F.col("_id"), "left_anti")
+        return own.join(gone, F.col("row_id") == F.col("_id"), "left_anti").select("row.*")
 
     # Ids don't tell these rows apart: each is decided by its id and set.
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    unclear = docs.join(shared, same, "left_semi").withColumn("_digest", F.unhex(F.sha2(text, 256)))
-    texts = unclear.select(F.col("_digest").alias("id"), text.alias("text"))
+    same = F.col("row_id").eqNullSafe(F.col("_id"))
+    unclear = own.join(shared, same, "left_semi").select("row", "row_id", "text", F.unhex(F.sha2("text", 256)).alias("row_digest"))
+    texts = unclear.select(F.col("row_digest").alias("id"), "text")
     sets = durable(_scan(texts, "digest binary, set_key binary, n long", _set_keys(join.words)).distinct())
-    keyed = unclear.join(sets, F.col("_digest") == F.col("digest"))
+    keyed = unclear.drop("text").join(sets, F.col("row_digest") == F.col("digest"))
     linkable = keyed.filter("n > 0").join(stays, same & (F.col("set_key") == F.col("_key")), "left_semi")
-    first = durable(linkable.groupBy(F.col(id_col).cast("long").alias("_id"), F.col("set_key").alias("_key")).agg(F.min("_digest").alias("_first")))
-    one = same & (F.col("set_key") == F.col("_key")) & (F.col("_digest") == F.col("_first"))
-    kept = linkable.join(first, one, "left_semi").dropDuplicates([id_col, "_digest"]).unionByName(keyed.filter("n = 0"))
-    clear = docs.join(shared, same, "left_anti").join(gone, same, "left_anti")
-    return clear.unionByName(kept.select(*docs.columns))
+    first = durable(linkable.groupBy(F.col("row_id").alias("_id"), F.col("set_key").alias("_key")).agg(F.min("row_digest").alias("_first")))
+    one = same & (F.col("set_key") == F.col("_key")) & (F.col("row_digest") == F.col("_first"))
+    kept = linkable.join(first, one, "left_semi").dropDuplicates(["row_id", "row_digest"]).unionByName(keyed.filter("n = 0"))
+    clear = own.join(shared, same, "left_anti").join(gone, same, "left_anti")
+    return clear.select("row").unionByName(kept.select("row")).select("row.*")
