@@ -66,7 +66,7 @@ LEFT JOIN k c ON c.file = ids.file AND c.sheet = ids.sheet AND c.row_idx = ids.r
   AND c.col_idx = h.col_idx""",
 )
 def header_promote(v):
-    return s.promote_headers(durable(s.prune_sheets(v.cells, METRIC_SHEET_WORDS)))
+    return s.promote_headers(s.prune_sheets(v.stored("cells"), METRIC_SHEET_WORDS))
 
 
 _SQL_NAME_COLUMNS = f"""marks AS (SELECT {_SHEET}, row_idx, col_idx,
@@ -115,7 +115,7 @@ LEFT JOIN {{cells}} i ON i.file = n.file AND i.sheet = n.sheet AND i.row_idx = n
   AND i.col_idx = hi.col_idx""",
 )
 def header_promote_by_name(v):
-    return s.promote_headers_by_name(durable(v.cells))
+    return s.promote_headers_by_name(v.stored("cells"))
 
 
 @query(
@@ -169,7 +169,7 @@ SELECT k.kind, {", ".join("k." + c.strip() for c in _SHEET.split(","))}, k.heade
 FROM named k JOIN name_columns c ON c.file = k.file AND c.sheet = k.sheet""",
 )
 def header_index(v):
-    return s.header_index(durable(v.cells)).drop("sheet_no")
+    return s.header_index(v.stored("cells")).drop("sheet_no")
 
 
 @query("sheet_requests", "SELECT row_number, name, id, sub_industry_flag, focus_flag, sector FROM {req}")

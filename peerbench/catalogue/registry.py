@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from peerbench.catalogue.views import view, with_views
 from peerbench.constants import SECTOR_CODES
+from peerbench.session import durable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +23,11 @@ class Views:
     def __getattr__(self, name: str) -> DataFrame:
         return view(self.spark, self.sf_dir, name)
 
+    def stored(self, name: str, *dropped: str) -> DataFrame:
+        """A view as a stored table in several files, as an input that is scanned more than once is in a real run."""
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return durable(view(self.spark, self.sf_dir, name).drop(*dropped).repartition(parts))
+
 
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[Views], DataFrame]):

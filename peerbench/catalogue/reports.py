@@ -34,10 +34,11 @@ from peerbench.sources.sinks import read_report, write_report
 FIELDS = ["AcctBal", "Revenue", "Unknown"]
 
 
-def _heads(v):
+def _heads(v, entities=None):
     """Every entity once, as report rows of its sub-industry."""
+    entities = v.ent_rows if entities is None else entities
     first = first_per_key(
-        v.ent_rows.withColumn("key", F.trim("id")),
+        entities.withColumn("key", F.trim("id")),
         ["key"],
         ["universe", "sub_industry", "focus", *ORDER],
     )
@@ -50,7 +51,7 @@ def _heads(v):
         F.lit(SUB_INDUSTRY).alias("group_type"),
         F.lit(1).alias("row_number"),
     )
-    return r.entity_rows(rows, entity_sectors(rows, v.ent_rows))
+    return r.entity_rows(rows, entity_sectors(rows, entities))
 
 
 _SQL_SECTOR = """CASE file_ord WHEN 1 THEN 'Consumer Staples' WHEN 2 THEN 'Consumer Discretionary'
@@ -127,7 +128,8 @@ UNION ALL SELECT 3, 'sector_mean', concat('🏭 Ø ', sector), '', sector, NULL,
 
 
 def _report_rows(v):
-    heads = durable(_heads(v))
+    entities = v.stored("ent_rows")
+    heads = durable(_heads(v, entities))
     values = v.raw_best.select("id", "field", r.to_number(F.col("value")).alias("value_num"))
     rows = heads.join(values, "id", "left")
     named = heads.select(
@@ -139,7 +141,7 @@ def _report_rows(v):
         )
     )
     groups = durable(named.where(F.col("group_value").isNotNull()).distinct())
-    means = b.group_means(p.expand(groups, v.ent_rows), v.raw_best, ["AcctBal", "Revenue"])
+    means = b.group_means(p.expand(groups, entities), v.raw_best, ["AcctBal", "Revenue"])
     by_sector = rows.where(F.col("sector").isNotNull())
     sectors = trimmed_mean(by_sector, ["sector", "field"], "value_num")
     return r.union_rows(rows, r.group_mean_rows(means), r.sector_mean_rows(sectors))
@@ -331,8 +333,7 @@ SELECT row_kind, {", ".join(r.BASE)}, {", ".join(chr(34) + f + chr(34) for f in
 
 def _inputs(v):
     """The input tables as stored tables, as they are in a real run."""
-    tables = (v.ent_rows, v.metrics.drop("name"), v.vend, v.universe)
-    return [durable(t) for t in tables]
+    return [v.stored("ent_rows"), v.stored("metrics", "name"), v.stored("vend"), v.stored("universe")]
 
 
 def _shown(table):

@@ -41,9 +41,9 @@ def group_choice(v):
     return r.group_choice(v.req).select("row_number", "group_choice")
 
 
-def _assigned(v):
-    clean = r.clean_requests(r.group_choice(v.req))
-    found = e.resolve(clean, v.ent_rows)
+def _assigned(v, entities):
+    clean = durable(r.clean_requests(r.group_choice(v.req)))
+    found = e.resolve(clean, entities)
     return p.assign_group(
         found.join(clean.select("row_number", "group_choice", "sector"), "row_number")
     )
@@ -63,7 +63,7 @@ FROM s LEFT JOIN assigned a ON a.row_number = s.row_number
 LEFT JOIN groups g ON g.row_number = s.row_number""",
 )
 def req_status(v):
-    assigned = durable(_assigned(v))
+    assigned = durable(_assigned(v, v.stored("ent_rows")))
     return r.request_status(v.req, assigned, p.open_groups(assigned))
 
 
@@ -203,8 +203,9 @@ FROM groups g LEFT JOIN members m
   ON m.group_type = g.group_type AND m.group_value = g.group_value""",
 )
 def peer_fallback(v):
-    groups = durable(p.open_groups(_assigned(v)))
-    peers = p.peers_or_self(groups, p.expand(groups, v.ent_rows))
+    entities = v.stored("ent_rows")
+    groups = durable(p.open_groups(_assigned(v, entities)))
+    peers = p.peers_or_self(groups, p.expand(groups, entities))
     return peers.select(*p.GROUP, "row_number", "id", "name")
 
 
@@ -214,7 +215,7 @@ def peer_fallback(v):
 SELECT group_type, group_value, row_number, entity_id, name, sub_industry, focus FROM groups""",
 )
 def group_dedupe(v):
-    return p.open_groups(_assigned(v)).drop("sectors")
+    return p.open_groups(_assigned(v, v.stored("ent_rows"))).drop("sectors")
 
 
 @query(

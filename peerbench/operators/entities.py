@@ -49,18 +49,16 @@ def find_by_name(wanted: DataFrame, entities: DataFrame | NameIndex) -> DataFram
 
     A name contains a needle only if it contains each of the needle's trigrams, so each needle is
     filed under its rarest trigram, names meet needles by that trigram, and are then verified.
-    An index that was written before is probed; an entity table is read twice (counts of the needles'
-    trigrams, then the search), and only hits are shuffled. Within a sheet a hit in holding beats
-    a hit in universe; the first sheet with a hit wins.
+    An index that was written before knows how rare a trigram is among the names. An entity table is read
+    once, with each needle under the trigram that the fewest needles have; only hits are shuffled. Within
+    a sheet a hit in holding beats a hit in universe; the first sheet with a hit wins.
     """
     if isinstance(entities, NameIndex):
         return _named(entities.find(wanted))
-    sought = durable(needles(wanted))
-    asked = sought.select(F.explode(parts(F.col("needle"), GRAM)).alias("gram")).distinct()
-    cut = name_texts(entities).withColumn("gram", F.explode(parts(F.col("text"), GRAM)))
-    held = lookup(cut.select("gram", "text"), asked, ["gram"], "left_semi", ["text"], within=sought)
-    seen = held.groupBy("gram").agg(F.count("*").alias("n"))
+    sought = needles(wanted)
+    seen = sought.select(F.explode(parts(F.col("needle"), GRAM)).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
     filed = durable(rarest_gram(sought, seen))
+    cut = name_texts(entities).withColumn("gram", F.explode(parts(F.col("text"), GRAM)))
     hits = lookup(cut, filed, ["gram"], spread=["text", "row_idx"]).where(F.contains("text", "needle"))
     return _named(first_per_key(hits, ["needle"], ["id", *FACTS], list(BEST)))
 

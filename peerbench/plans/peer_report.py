@@ -113,7 +113,7 @@ def peer_report(
 
 def _run(requests, entities, metrics, vendor, universe, sheet_fields, vendor_fields, names, stop_after_first_hit) -> PeerReport:
     raw = group_choice(requests)
-    clean = clean_requests(raw)
+    clean = durable(clean_requests(raw))
     found = resolve(clean, entities, names).join(
         clean.select("row_number", "group_choice", "sector"), "row_number"
     )
