@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 PACKED = 256  # bytes from which a row is compressed
-SHARD = 1 << 20  # entries of a shard, about
+SHARD = 1 << 19  # entries of a shard, about
 DEALT = 1 << 22  # entries that a task deals at a time
 
 SHARDS = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("size", pa.int64()), ("data", pa.binary()), ("words", pa.binary()), ("words_size", pa.int64())])

@@ -26,11 +26,15 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peerbench.llm.common import give_back, small_batches
+
 SPACE = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
-KEPT_WORDS = 1 << 19  # words whose pieces a worker keeps
+KEPT_CHARS = 5 << 20  # of the words whose pieces a task keeps
+LONG_WORD = 64  # characters from which a word is cut where no piece can cross
 PAIR_BITS = 21  # of the number of pairs whose answer a worker keeps
-BATCH_CHARS = 1 << 22  # characters encoded at a time
+BATCH_CHARS = 1 << 21  # characters encoded at a time
+GROUP_CHARS = 1 << 18  # of the words that advance together
 UNIGRAM, BPE = 1, 2
 FILTER_BITS = 20
 FOREIGN = 1 << 20  # stands for a character that is no piece
@@ -87,6 +91,9 @@ class Model:
         inside = {c for p in long for c in p}
         alone = "".join(c for c in "\n\r\t" if c not in inside)
         lone = f"[{alone}]|" if alone else ""
+        #: Neighbours inside a piece; between others a long word may be cut. Without byte pieces a run of unknown
+        #: characters is one piece, so no word is cut there.
+        self.pairs = {p[i : i + 2] for p in long for i in range(len(p) - 1)} if self.bytes else None
         self.cut = re.compile(f"{lone}{SPACE}*[^{SPACE}{alone}]+|{SPACE}+") if self.by_word else re.compile(r".+", re.S)
 
     @classmethod
@@ -102,7 +109,19 @@ class Model:
 
     def words(self, text: str) -> list[str]:
         marked = text.replace(" ", SPACE)
-        return self.cut.findall(SPACE + marked if self.dummy_prefix and marked else marked)
+        words = self.cut.findall(SPACE + marked if self.dummy_prefix and marked else marked)
+        if self.pairs is None or max(map(len, words), default=0) < LONG_WORD:
+            return words
+        return [part for w in words for part in (self._cut_up(w) if len(w) >= LONG_WORD else (w,))]
+
+    def _cut_up(self, word: str) -> Iterator[str]:
+        """A word's parts; no piece crosses the borders between them."""
+        start, pairs = 0, self.pairs
+        for i in range(1, len(word)):
+            if word[i - 1 : i + 1] not in pairs:
+                yield word[start:i]
+                start = i
+        yield word[start:]
 
 
 def piece_key(s: str) -> int:
@@ -146,6 +165,32 @@ def apart(a: str, b: str, rank: dict[str, float]) -> bool:
     return True
 
 
+def one_by_one(word: str, m: Model) -> list[int]:
+    """The ids of a single word by the pieces' texts, without hashes."""
+    if m.model_type == BPE:
+        parts = merged(word, m.rank)
+    else:
+        best: list[tuple[float, int]] = [(0.0, 0)]
+        for j in range(1, len(word) + 1):
+            hits = [(best[i][0] + m.rank[word[i:j]], i) for i in range(max(0, j - m.longest), j) if word[i:j] in m.rank]
+            alone = [] if word[j - 1] in m.rank else [(best[j - 1][0] + m.foreign_score, j - 1)]
+            best.append(max(hits + alone))
+        parts, j = [], len(word)
+        while j:
+            parts.append(word[best[j][1] : j])
+            j = best[j][1]
+        parts.reverse()
+    out: list[int] = []
+    for part in parts:
+        if part in m.rank:
+            out.append(m.pieces.index(part))
+        elif m.bytes:
+            out.extend(m.bytes[b] for b in part.encode("utf-8", "replace"))
+        elif not (out and out[-1] == m.unknown):
+            out.append(m.unknown)
+    return out
+
+
 class Places(dict):
     """Numbers words as they are first asked for, and lists the new ones."""
 
@@ -161,19 +206,19 @@ class Places(dict):
 class Encoder:
     def __init__(self, model: Model):
         self.model = model
-        self._forget()
+        self.forget()
         # Pairs met, each at the place its hash gives; a later one takes an earlier one's place.
         self.pair_keys = np.full(1 << PAIR_BITS, -1, np.int64)
         self.pair_stays = np.zeros(1 << PAIR_BITS, bool)
 
-    def _forget(self) -> None:
-        self.places = Places()
+    def forget(self) -> None:
+        self.places, self.kept_chars = Places(), 0
         self.starts, self.flat = np.zeros(1, np.int64), np.empty(0, np.int32)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids): the ids of text i are ids[offsets[i]:offsets[i + 1]]."""
-        if len(self.places) > KEPT_WORDS:
-            self._forget()
+        if self.kept_chars > KEPT_CHARS:
+            self.forget()
         words, counts = [], [0]
         for t in texts:
             words += self.model.words(t)
@@ -181,6 +226,7 @@ class Encoder:
         which = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
         if self.places.new:
             self._learn(self.places.new)
+            self.kept_chars += sum(map(len, self.places.new))
             self.places.new = []
         starts, flat = self.starts, self.flat
         sizes = starts[which + 1] - starts[which] if len(which) else np.empty(0, np.int64)
@@ -194,7 +240,7 @@ class Encoder:
             by_length[len(w)].append(k)
         found: list[list[int]] = [[]] * len(new)
         for length, ks in by_length.items():
-            step = max(1, (1 << 20) // length)
+            step = max(1, GROUP_CHARS // length)
             for a in range(0, len(ks), step):
                 group = ks[a : a + step]
                 for k, ids in zip(group, self._search([new[k] for k in group], length), strict=True):
@@ -241,15 +287,17 @@ class Encoder:
                 best[j] = score[top, every]
             elif np.isinf(score[top, every]).any():
                 raise ValueError("a word has no segmentation")
-        return [self._trace(*x) for x in zip(words, last.T.tolist(), back.T.tolist(), strict=True)]
+        traced = (self._trace(*x) for x in zip(words, last.T.tolist(), back.T.tolist(), strict=True))
+        return [one_by_one(w, m) if ids is None else ids for w, ids in zip(words, traced, strict=True)]
 
-    def _trace(self, word: str, last: list[int], back: list[int]) -> list[int]:
+    def _trace(self, word: str, last: list[int], back: list[int]) -> list[int] | None:
+        """The ids of the best path; None where a substring had a piece's hash and isn't it."""
         m, out, j = self.model, [], len(word)
         while j:
             piece, size = last[j], back[j]
             if piece != FOREIGN:
                 if m.pieces[piece] != word[j - size : j]:
-                    raise ValueError("a substring has a piece's hash and isn't it")
+                    return None
                 out.append(piece)
             elif m.bytes:
                 out.extend(m.bytes[b] for b in reversed(word[j - 1].encode("utf-8", "replace")))
@@ -297,17 +345,17 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def _encoder(model: Model, key: str) -> Encoder:
-    """A worker's encoder for a run; it keeps its words from task to task."""
+    """A worker's encoder for a run. From task to task it keeps which pairs stay apart, a table of fixed size, but no words."""
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = Encoder(model)
     return _ENCODERS[key]
 
 
-def _parts(texts: list[str | None]) -> Iterator[list[str]]:
+def _parts(texts: pa.Array) -> Iterator[list[str]]:
     part, held = [], 0
     for t in texts:
-        part.append(t or "")
+        part.append(t.as_py() or "")
         held += len(part[-1])
         if held >= BATCH_CHARS:
             yield part
@@ -327,6 +375,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     vocabulary become byte pieces, or one unknown piece per run where a model has none. Repeated rows
     give equal rows; an empty table none; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the vocabulary
     key = f"{id(model)}-{len(model.pieces)}-{shared._jbroadcast.id() if shared._jbroadcast else 0}"
     schema = pa.schema([("id", pa.string()), ("ids", pa.list_(pa.int32())), ("exact", pa.bool_())])
@@ -335,13 +384,15 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         encoder, decoder = _encoder(shared.value, key), Decoder(shared.value)
         for batch in batches:
             done = 0
-            for part in _parts(batch.column("text").to_pylist()):
+            for part in _parts(batch.column("text")):
                 offsets, ids = encoder.encode(part)
                 exact = [decoder.decode(ids[a:b]) == t for t, a, b in zip(part, offsets[:-1], offsets[1:], strict=True)]
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
                 own = batch.column("id").slice(done, len(part))
                 done += len(part)
                 yield pa.RecordBatch.from_arrays([own.cast(pa.string()), lists, pa.array(exact)], schema=schema)
+        encoder.forget()
+        give_back()
 
     # Ids travel as text, whatever their type.
     given = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from peerbench.llm import collocations, hidden_markov, source_audit
+from peerbench.llm import collocations, hidden_markov, packing, source_audit
 from peerbench.llm.queries import QUERIES
 
 DOCS = "doc_id long, text string, lang string, source string, chunk string, code long, n long, page string"
@@ -72,14 +72,23 @@ def test_collocations_are_brute_force(spark, frame):
 def test_collocations_over_several_chunks_and_pages(spark, frame, monkeypatch):
     monkeypatch.setattr(collocations, "HELD_WORDS", 50)
     monkeypatch.setattr(collocations, "PAGE", 16)
+    monkeypatch.setattr(packing, "SHARD", 40)
     r = random.Random(6)
     rows = [(i, " ".join(r.choice("abcde") for _ in range(60)), "en", "s") for i in range(30)]
-    pages = list(collocations._pages(np.arange(100, dtype=np.int32), collocations._ROUND, chunk=1))
+    pages = list(collocations._pages(collocations._ROUND, (np.arange(100, dtype=np.int32),), chunk=1, kind="codes"))
     assert len(pages) == 7
     found = collocations.collocations(table(frame, rows).coalesce(1), 5, 4, 50)
     assert sorted(tuple(x) for x in found.collect()) == brute_collocations(rows, 5, 4, 50)
 
 
+def test_packed_columns_come_back():
+    columns = (np.arange(50, dtype=np.int64) << 33, np.arange(50, dtype=np.int32)[::-1].copy(), np.zeros(50, np.int64))
+    for n in (0, 1, 50):
+        packed = packing.pack(*[c[:n] for c in columns])
+        back = packing.unpack(packed["data"], packed["size"], (np.int64, np.int32, np.int64))
+        assert all(np.array_equal(a[:n], b) for a, b in zip(columns, back, strict=True))
+
+
 def test_nothing_to_find_gives_no_rows(spark, frame):
     for rows in ([], [(1, None, None, None)], [(1, "a b", "en", "s")]):
         assert collocations.collocations(table(frame, rows)).collect() == []
@@ -110,9 +119,8 @@ def test_forward_is_the_sum_over_all_paths():
     pi, move, emit = (x / x.sum(axis=-1, keepdims=True) for x in (r.random(k), r.random((k, k)), r.random((k, v))))
     docs = sorted((r.integers(0, v, n) for n in (1, 4, 2, 5, 5)), key=len, reverse=True)
     block = hidden_markov.Block(docs)
-    _, scale = block.forward(pi, move, emit.T[block.symbols])
-    got = np.bincount(block.doc, weights=np.log(scale))
-    states, moves, first = block.expected(pi, move, emit.T[block.symbols])
+    got = block.likelihood(pi, move, emit) * math.log(10)
+    states, moves, first = block.expected(pi, move, emit)
     want_states, want_moves = np.zeros((v, k)), np.zeros((k, k))
     for d, doc in enumerate(docs):
         total, by_path = 0.0, []
@@ -129,7 +137,7 @@ def test_forward_is_the_sum_over_all_paths():
                 if i:
                     want_moves[path[i - 1], s] += p / total
     found = np.zeros((v, k))
-    np.add.at(found, block.symbols, states)
+    np.add.at(found, block.symbols, states.T)
     assert np.allclose(found, want_states) and np.allclose(moves, want_moves) and math.isclose(first.sum(), len(docs))
 
 
@@ -141,12 +149,12 @@ def corpus(r, n):
 def test_model_is_a_distribution_and_learns(spark, frame):
     texts = corpus(random.Random(2), 400)
     rows = [(i, t, "x", "s") for i, t in enumerate(texts)] + [(1000, None, "x", "s"), (1001, "", "x", "s"), (1001, "NEVER seen " * 3000, "x", "s"), (None, "a1", None, None)]
-    model = hidden_markov.HiddenMarkov(table(frame, rows).repartition(3), states=3, rounds=3)
-    symbols = model.symbols.toPandas()
-    share = (symbols["c"].to_numpy() + hidden_markov.SMOOTH) / model.norm
-    emitted = np.stack([symbols[f"s{k}"].to_numpy() / hidden_markov.UNIT for k in range(3)], axis=1) + hidden_markov.PRIOR * share[:, None]
-    rare = model.rare_mass + hidden_markov.PRIOR * model.rare / model.norm
-    assert np.allclose((emitted.sum(axis=0) + rare) / (model.mass + hidden_markov.PRIOR), 1)
+    model = hidden_markov.HiddenMarkov(table(frame, rows).coalesce(1), states=3, rounds=3)
+    stored = model.docs.rows().filter("codes IS NULL").first()
+    code, symbol, c = packing.unpack(stored["data"], stored["size"], hidden_markov._SYMBOL)
+    assert len(set(symbol.tolist())) == len(symbol) == 15  # one chunk has all symbols: 14 words and the end
+    counts = packing.joined([packing.unpack(r["data"], r["size"], (np.uint16,) * 3) for r in model.params.orderBy("shard").collect()], (np.uint16,) * 3)
+    assert np.allclose(model.emissions.matrix(code, c, counts).sum(axis=1), 1)
     assert np.allclose(model.move.sum(axis=1), 1) and math.isclose(model.pi.sum(), 1)
     found = model.score().collect()
     assert len(found) == len(rows)
@@ -155,8 +163,11 @@ def test_model_is_a_distribution_and_learns(spark, frame):
     assert len(held) > 10 and sum(r["score"] > r["base_score"] for r in held) > 0.9 * len(held)
     empty = [r for r in found if r["doc_id"] in (1000, 1001) and r["n_tokens"] == 1]
     assert len(empty) == 2 and math.isclose(empty[0]["score"], empty[1]["score"])
-    again = hidden_markov.HiddenMarkov(table(frame, rows).repartition(3), states=3, rounds=3)
-    assert np.array_equal(model.move, again.move) and np.array_equal(model.mass, again.mass)
+    for parts in (1, 4):
+        other = hidden_markov.HiddenMarkov(table(frame, rows).repartition(parts), states=3, rounds=3)
+        assert np.allclose(model.move, other.move, atol=0.01) and np.allclose(model.emissions.mass, other.emissions.mass, rtol=0.01)
+    again = hidden_markov.HiddenMarkov(table(frame, rows).coalesce(1), states=3, rounds=3)
+    assert np.array_equal(model.move, again.move) and np.array_equal(model.emissions.mass, again.emissions.mass)
 
 
 def test_nothing_to_learn_from(spark, frame):
