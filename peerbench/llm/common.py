@@ -47,3 +47,9 @@ def give_back() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
     if trim:
         trim(0)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Has the driver collect its garbage, so that the files of shuffles that nothing reads any more go now."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

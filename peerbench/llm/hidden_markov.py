@@ -10,7 +10,7 @@
    and backward recursions over its runs, and hands on its own expected counts. These are dealt to their symbols'
    shards and summed there in whole numbers of 1 / UNIT, so a round doesn't depend on the order; only the
    transitions, of a fixed size, pass the driver. A run is RUN tokens of a document, or its rest. Counts
-   travel as 16-bit logarithms, 0.5 % apart; those that a shard sends back are the model's own.
+   travel as 16-bit logarithms, 1 % apart; those that a shard sends back are the model's own.
 4. A text's score is its exact likelihood, by the scaled forward recursion over the whole text: all documents of
    a chunk advance together, a step for each place.
 
@@ -32,13 +32,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peerbench.llm.common import give_back, shuffle_partitions
+from peerbench.llm.common import drop_shuffles, give_back, shuffle_partitions
 from peerbench.llm.packing import DEALT, SHARDS_DDL, WORD_ENTRY, Numbers, by_shard, deal_words, expand, joined, pack, rows, shards, squeeze, unpack, unpacked
 from peerbench.session import durable, release, shared_dir
 from peerbench.sources.bucketed import BucketedTable
 
 STATES = 8
-ROUNDS = 4
+ROUNDS = 3
 STAY = 0.9  # of the transitions before learning
 SMOOTH = 0.1  # added to every count
 RARE_LEAST = 50
@@ -70,11 +70,11 @@ def held_out(doc_id: Column, folds: int = 10) -> Column:
 
 def shrink(x: np.ndarray) -> np.ndarray:
     """Counts as 16-bit logarithms: 0 stays 0, and up to 2 ** 63 all fit. Few different values compress well."""
-    return np.rint(128 * np.log2(1 + x)).astype(np.uint16)
+    return np.rint(64 * np.log2(1 + x)).astype(np.uint16)
 
 
 def widen(q: np.ndarray) -> np.ndarray:
-    return np.exp2(q / 128) - 1
+    return np.exp2(q / 64) - 1
 
 
 def _number(chunk_tokens: int):
@@ -417,6 +417,7 @@ class HiddenMarkov:
         rare_mass = share_out([b"\n"], states)[0] * rare_total
         self.emissions = Emissions(states, self.total + SMOOTH * (self.kinds + 1), rare, np.array(sums[4:], float) / UNIT + rare_mass, rare_mass)
 
+        drop_shuffles(spark)
         buckets = shuffle_partitions(spark)
         place = f"{shared_dir(spark)}/peerbench/hidden-markov-{uuid.uuid4().hex}"
         self.docs = BucketedTable(spark, place, _DOCS_DDL, ["chunk"], buckets)
@@ -425,6 +426,7 @@ class HiddenMarkov:
         facts = pages.groupBy("chunk").cogroup(given.groupBy("chunk")).applyInArrow(_facts(self.total, self.kinds, rare), _DOCS_DDL)
         self.docs.append(facts)
         release(base)
+        drop_shuffles(spark)
 
         self.pi = np.full(states, 1 / states)
         self.move = np.full((states, states), (1 - STAY) / max(1, states - 1))
@@ -451,6 +453,8 @@ class HiddenMarkov:
         mass = merged.filter("kind IS NULL").agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in names]).first()
         release(found, self._stored)
         self._stored = merged
+        del found, summed, dealt, merged
+        drop_shuffles(self.docs.spark)
         e = self.emissions
         self.emissions = Emissions(e.states, e.norm, e.rare, np.array(list(mass), float) / UNIT + small[-1], small[-1])
         self.pi = (small[-2] + 1) / (small[-2] + 1).sum()
