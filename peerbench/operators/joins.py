@@ -85,8 +85,9 @@ def salted_join(
     """Shuffle join with every key of the big side split over ``salts`` tasks.
 
     The salt is a hash of columns that tell rows apart, so a repeated task
-    gives each row the same place again.
+    gives each row the same place again. The optimizer takes the small side for as
+    large as before it is repeated for every salt, so it is told not to broadcast it.
     """
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return left.join(right.hint("merge"), [*on, "_salt"], how).drop("_salt")

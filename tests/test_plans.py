@@ -69,3 +69,13 @@ def test_lookup_broadcasts_only_below_the_limit(spark):
     assert "BroadcastHashJoin" in plan(joins.lookup(big, small, ["k"], small_rows=100))
     salted = plan(joins.lookup(big, small, ["k"], spread=["k"], small_rows=99))
     assert "_salt" in salted
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_a_side_repeated_for_every_salt_is_not_broadcast(spark, how):
+    small = spark.range(50).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    joined = joins.salted_join(big, small, ["k"], how, ["k"])
+    assert joined.count() == (1000 if how == "left" else 50)
+    text = plan(joined)
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
