@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerbench.catalogue.views import view, with_views
+from peerbench.catalogue.views import dealt_view, view, with_views
 from peerbench.constants import SECTOR_CODES
 from peerbench.session import durable
 
@@ -26,7 +26,7 @@ class Views:
     def stored(self, name: str, *dropped: str) -> DataFrame:
         """A view as a stored table in several files, as an input that is scanned more than once is in a real run."""
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return durable(view(self.spark, self.sf_dir, name).drop(*dropped).repartition(parts))
+        return durable(dealt_view(self.spark, self.sf_dir, name, parts, dropped))
 
 
 def query(name: str, sql: str | None = None):

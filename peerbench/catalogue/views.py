@@ -9,8 +9,10 @@ from the rows' own columns; no row is left out.
 from __future__ import annotations
 
 import string
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Schemas are given so that building a view runs no inference job.
 TABLES = {
@@ -251,6 +253,21 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(sql, **{n: view(spark, sf_dir, n) for n in _names(sql)})
 
 
+def dealt_view(spark: SparkSession, sf_dir: str, name: str, parts: int, dropped: Sequence[str] = ()) -> DataFrame:
+    """A view without the dropped columns, its rows dealt over ``parts`` tasks by a hash of all columns.
+
+    A wide row that is taken apart into cells is dealt before that: less is moved, and its cells stand together.
+    """
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition(parts, *[F.col(c) for c in rows.columns if c not in dropped])
+
+    if name not in SPARK_VIEWS:
+        return dealt(view(spark, sf_dir, name).drop(*dropped))
+    wide = {n: dealt(view(spark, sf_dir, n)) for n in _names(SPARK_VIEWS[name])}
+    return spark.sql(SPARK_VIEWS[name], **wide).drop(*dropped)
+
+
 def _needed(names: list[str]) -> list[str]:
     """Views in an order in which each comes after those it reads."""
     out: list[str] = []

@@ -79,3 +79,17 @@ def test_a_side_repeated_for_every_salt_is_not_broadcast(spark, how):
     assert joined.count() == (1000 if how == "left" else 50)
     text = plan(joined)
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+
+
+@pytest.mark.parametrize("name, dropped", [("cells", []), ("metrics", ["name"]), ("universe", []), ("vend", [])])
+def test_a_view_is_dealt_before_its_rows_become_cells(spark, sf, name, dropped):
+    from peerbench.catalogue.registry import Views
+    from peerbench.catalogue.views import dealt_view, view
+
+    dealt = dealt_view(spark, sf, name, 5, dropped)
+    tree = plan(dealt).split("\n\n")[0]
+    at = tree.index("Exchange")
+    assert "Generate" not in tree[at:] and ("Generate" in tree[:at]) == (name != "vend")
+    want, got = view(spark, sf, name).drop(*dropped), Views(spark, sf).stored(name, *dropped)
+    assert got.columns == want.columns
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
