@@ -4,8 +4,8 @@
    them; an end stands behind every document. Words are dealt by hash to shards, packed many to a row, and counted
    there over the documents to learn from; every chunk gets the counts of its own words back.
 2. Words that were learnt from fewer than RARE_LEAST times, and words never met, are one symbol to the states; within
-   it a word has its smoothed share, whatever the state. A chunk's documents, as symbols, are written once,
-   bucketed by chunk, with the chunk's symbols, so that no round moves them.
+   it a word has its smoothed share, whatever the state. A chunk's documents are dealt once, as numbers, to tables
+   that are bucketed by chunk; they become symbols where they stand, with the chunk's symbols, and no round moves them.
 3. Baum-Welch: in a round every chunk gets the expected counts of its own symbols so far, runs the scaled forward
    and backward recursions over its runs, and hands on its own expected counts. These are dealt to their symbols'
    shards and summed there in whole numbers of 1 / UNIT, so a round doesn't depend on the order; only the
@@ -406,7 +406,12 @@ class HiddenMarkov:
         spark = docs.sparkSession
         self.states, self.id_type = states, docs.schema[id_col].dataType
         own = docs.select(F.col(id_col).cast("string").alias("id"), (~held_out(F.col(id_col))).alias("taught"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-        base = durable(own.mapInArrow(_number(CHUNK_TOKENS), _CHUNKS_DDL))
+        buckets = shuffle_partitions(spark)
+        place = f"{shared_dir(spark)}/peerbench/hidden-markov-{uuid.uuid4().hex}"
+        numbered = BucketedTable(spark, f"{place}-numbered", _CHUNKS_DDL, ["chunk"], buckets)
+        numbered.append(own.mapInArrow(_number(CHUNK_TOKENS), _CHUNKS_DDL))
+        drop_shuffles(spark)
+        base = numbered.rows()
         words = base.filter("words IS NOT NULL").select("chunk", F.lit(None).cast("string").alias("lang"), "size", "data", "words", "words_size")
         entries = words.agg(F.sum("size")).first()[0]
         ddl = f"{_PACKED_DDL}, {_totals(states)}"
@@ -418,14 +423,12 @@ class HiddenMarkov:
         self.emissions = Emissions(states, self.total + SMOOTH * (self.kinds + 1), rare, np.array(sums[4:], float) / UNIT + rare_mass, rare_mass)
 
         drop_shuffles(spark)
-        buckets = shuffle_partitions(spark)
-        place = f"{shared_dir(spark)}/peerbench/hidden-markov-{uuid.uuid4().hex}"
         self.docs = BucketedTable(spark, place, _DOCS_DDL, ["chunk"], buckets)
         pages = base.filter("words IS NULL").select("chunk", "ids", "size", "data", "codes_size", "codes")
         given = counted.filter("kind IN ('counts', 'symbols')").select("chunk", "kind", "shard", "size", "data")
         facts = pages.groupBy("chunk").cogroup(given.groupBy("chunk")).applyInArrow(_facts(self.total, self.kinds, rare), _DOCS_DDL)
-        self.docs.append(facts)
-        release(base)
+        self.docs.append(facts, together=True)
+        numbered.remove()
         drop_shuffles(spark)
 
         self.pi = np.full(states, 1 / states)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from peerbench.sources import files
+
 BUCKETS = 64
 
 
@@ -25,12 +27,14 @@ class BucketedTable:
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def append(self, df: DataFrame) -> None:
-        """A file per bucket: rows are dealt by the table's own hash before they are written."""
-        columns = self.rows().columns
+    def append(self, df: DataFrame, together: bool = False) -> None:
+        """A file per bucket: rows are dealt by the table's own hash before they are written.
+
+        Where the rows of a key stand ``together`` in a task already, they are written from there.
+        """
+        rows = df.select(*self.rows().columns)
         (
-            df.select(*columns)
-            .repartition(self.buckets, *self.keys)
+            (rows if together else rows.repartition(self.buckets, *self.keys))
             .write.mode("append")
             .format("parquet")
             .bucketBy(self.buckets, *self.keys)
@@ -38,3 +42,7 @@ class BucketedTable:
             .option("path", self.path)
             .saveAsTable(self.name)
         )
+
+    def remove(self) -> None:
+        self.spark.sql(f"DROP TABLE {self.name}")
+        files.delete(self.spark, self.path)

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import os
 import random
 import re
 import zlib
@@ -170,6 +171,24 @@ def test_model_is_a_distribution_and_learns(spark, frame):
     assert np.array_equal(model.move, again.move) and np.array_equal(model.emissions.mass, again.emissions.mass)
 
 
+def test_documents_are_dealt_to_their_chunks_once(spark, frame, monkeypatch):
+    exchanges, append = [], hidden_markov.BucketedTable.append
+
+    def noted(self, df, together=False):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        exchanges.append((plan.count("Exchange hashpartitioning"), together))
+        append(self, df, together)
+
+    monkeypatch.setattr(hidden_markov.BucketedTable, "append", noted)
+    rows = [(i, t, "x", "s") for i, t in enumerate(corpus(random.Random(4), 200))]
+    model = hidden_markov.HiddenMarkov(table(frame, rows).repartition(5, "doc_id"), states=2, rounds=1)
+    numbered, facts = exchanges
+    assert numbered[1] is False and facts == (1, True)  # only the words' counts move to where the documents are
+    assert len({r["chunk"] for r in model.docs.rows().select("chunk").collect()}) == 5
+    assert sorted(r["doc_id"] for r in model.score().collect()) == list(range(200))
+    assert not [x for x in os.listdir(re.sub("^file:", "", os.path.dirname(model.docs.path))) if x.endswith("-numbered")]
+
+
 def test_nothing_to_learn_from(spark, frame):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     row = hidden_markov.HiddenMarkov(table(frame, [(held, "some words", "x", "s")])).score().first()
