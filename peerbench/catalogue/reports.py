@@ -21,7 +21,7 @@ from peerbench.operators import benchmarks as b
 from peerbench.operators import metrics as m
 from peerbench.operators import peers as p
 from peerbench.operators import report as r
-from peerbench.operators.joins import ORDER, first_per_key
+from peerbench.operators.joins import ORDER, by_shuffle, first_per_key
 from peerbench.operators.quantiles import trimmed_mean
 from peerbench.operators.requests import FOCUS, SUB_INDUSTRY
 from peerbench.operators.sectors import entity_sectors
@@ -69,7 +69,7 @@ _HEADS = ["row_number", "name", "id", "sector", "sub_industry", "focus", "peer_g
 
 def _wide(v):
     values = v.raw_best.select("id", "field", r.to_number(F.col("value")).alias("value_num"))
-    return r.to_wide(_heads(v).join(values, "id", "left"), _HEADS, FIELDS)
+    return r.to_wide(_heads(v).join(by_shuffle(values), "id", "left"), _HEADS, FIELDS)
 
 
 _SQL_WIDE = f"""{_SQL_HEADS},
@@ -131,7 +131,7 @@ def _report_rows(v):
     entities = v.stored("ent_rows")
     heads = durable(_heads(v, entities))
     values = v.raw_best.select("id", "field", r.to_number(F.col("value")).alias("value_num"))
-    rows = heads.join(values, "id", "left")
+    rows = heads.join(by_shuffle(values), "id", "left")
     named = heads.select(
         F.inline(
             F.array(

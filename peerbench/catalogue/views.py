@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peerbench.operators.joins import by_shuffle
+
 # Schemas are given so that building a view runs no inference job.
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -245,12 +247,17 @@ def _names(sql: str) -> list[str]:
     return list(dict.fromkeys(n for _, n, _, _ in string.Formatter().parse(sql) if n))
 
 
+#: Joined to other tables by a shuffle (see joins.by_shuffle).
+SHUFFLED = ("customer",)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table or view as a lazy DataFrame."""
     if name in TABLES:
         return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
     sql = SPARK_VIEWS.get(name) or VIEWS[name]
-    return spark.sql(sql, **{n: view(spark, sf_dir, n) for n in _names(sql)})
+    read = {n: view(spark, sf_dir, n) for n in _names(sql)}
+    return spark.sql(sql, **{n: by_shuffle(df) if n in SHUFFLED else df for n, df in read.items()})
 
 
 def dealt_view(spark: SparkSession, sf_dir: str, name: str, parts: int, dropped: Sequence[str] = ()) -> DataFrame:

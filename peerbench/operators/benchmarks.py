@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from peerbench.functions.fieldnames import field_key, field_keys
 from peerbench.functions.numbers import as_number, to_number, without_marks
 from peerbench.functions.text import norm_key
-from peerbench.operators.joins import first_by, only
+from peerbench.operators.joins import by_shuffle, first_by, only
 from peerbench.operators.metrics import last_wins
 from peerbench.operators.peers import GROUP
 from peerbench.operators.quantiles import grouped_quantiles, trimmed_mean
@@ -47,7 +47,7 @@ def group_means(
     )
     means = (
         members.select(*GROUP, norm_key(F.col("id")).alias("id"))
-        .join(numbers, "id")
+        .join(by_shuffle(numbers), "id")
         .groupBy(*GROUP, "field")
         .agg(F.avg("v").alias("avg_value"), F.count("v").alias("n_valid"))
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from peerbench.constants import MIN_NAME_LENGTH
 from peerbench.functions.labels import entity_name
 from peerbench.functions.text import norm_key, parts, strip
-from peerbench.operators.joins import ORDER, first_by, first_per_key, lookup, only
+from peerbench.operators.joins import ORDER, by_shuffle, first_by, first_per_key, lookup, only
 from peerbench.operators.name_index import BEST, FACTS, GRAM, NameIndex, name_texts, needles, rarest_gram
 from peerbench.session import durable
 
@@ -39,7 +39,7 @@ def resolve_by_id(requests: DataFrame, entities: DataFrame) -> DataFrame:
     found = find_by_id(wanted, entities).withColumnRenamed("id", "entity_id")
     return (
         wanted.withColumn("key", norm_key(F.col("id")))
-        .join(found, "key", "left")
+        .join(by_shuffle(found), "key", "left")
         .select("row_number", "entity_id", "name", "sub_industry", "focus")
     )
 
@@ -71,7 +71,7 @@ def resolve_by_name(requests: DataFrame, entities: DataFrame | NameIndex) -> Dat
     """Requests looked up by name; unknown names keep null facts."""
     wanted = requests.select("row_number", F.lower("name").alias("needle"))
     found = find_by_name(wanted, entities).withColumnRenamed("id", "entity_id")
-    return wanted.join(found, "needle", "left").select(
+    return wanted.join(by_shuffle(found), "needle", "left").select(
         "row_number", "entity_id", "name", "sub_industry", "focus"
     )
 
@@ -81,7 +81,7 @@ def name_to_id(names: DataFrame, entities: DataFrame) -> DataFrame:
     wanted = names.select("name").distinct().withColumn("key", F.lower("name"))
     hits = only(entities.withColumn("key", F.lower("holding")), wanted, ["key"], ORDER)
     found = first_per_key(hits, ["key"], ["id"])
-    return wanted.join(found, "key", "left").select("name", F.coalesce("id", F.lit("")).alias("id"))
+    return wanted.join(by_shuffle(found), "key", "left").select("name", F.coalesce("id", F.lit("")).alias("id"))
 
 
 def id_to_name(ids: DataFrame, entities: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def id_to_name(ids: DataFrame, entities: DataFrame) -> DataFrame:
     wanted = ids.select("id").distinct().withColumn("key", norm_key(F.col("id")))
     hits = only(entities.withColumn("key", norm_key(F.col("id"))), wanted, ["key"], ORDER)
     found = hits.groupBy("key").agg(first_by(F.col("holding"), ORDER).alias("name"))
-    return wanted.join(found, "key", "left").select("id", F.coalesce("name", F.lit("")).alias("name"))
+    return wanted.join(by_shuffle(found), "key", "left").select("id", F.coalesce("name", F.lit("")).alias("name"))
 
 
 def resolve(requests: DataFrame, entities: DataFrame, names: NameIndex | None = None) -> DataFrame:

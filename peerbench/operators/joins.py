@@ -66,6 +66,15 @@ def _as_stored(df: DataFrame) -> bool:
     return "Relation [" in plan and not _MOVES.search(plan)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """A table with a row per entity or request, to be joined by a shuffle.
+
+    Spark would broadcast it for as long as its columns are small as stored, and stored ids take a twentieth
+    of what a broadcast of them takes on the driver.
+    """
+    return df.hint("merge")
+
+
 def only(big: DataFrame, wanted: DataFrame, on: Sequence[str], spread: Sequence[str]) -> DataFrame:
     """Rows of the big side whose key is wanted. Keys that aren't columns of a small stored table are written first."""
     keys = wanted.select(*on)

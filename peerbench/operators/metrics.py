@@ -17,7 +17,7 @@ from peerbench.functions.fieldnames import field_base, field_key, field_keys, ye
 from peerbench.functions.numbers import display_value, is_code_like, is_error_text
 from peerbench.functions.text import blank_to_null, is_blank, norm_key
 from peerbench.operators.header_match import LOOSE, STRICT, Matching, each_field, match_headers
-from peerbench.operators.joins import first_by, lookup, only
+from peerbench.operators.joins import by_shuffle, first_by, lookup, only
 from peerbench.session import durable
 
 SHEET = ("file_ord", "sheet_ord")
@@ -82,8 +82,8 @@ def until_first_yield(metrics: DataFrame, hits: DataFrame) -> DataFrame:
     at = F.struct(*SHEET)
     later = (F.col("file_ord") > F.col("_first.file_ord")) & (F.col("sheet_ord") == F.col("_head"))
     return (
-        hits.join(first_yield, "id")
-        .join(first_sheet, ["id", "file_ord"])
+        hits.join(by_shuffle(first_yield), "id")
+        .join(by_shuffle(first_sheet), ["id", "file_ord"])
         .where((at <= F.col("_first")) | later)
     )
 
@@ -123,7 +123,7 @@ def metric_lookup_by_name(
     rows = only(keyed, wanted, ["key"], PLACE)
     picks = sheet_picks(rows, fields, "key", LOOSE, metrics).where(F.col("value").isNotNull())
     found = picks.groupBy("key", "field").agg(first_by(F.col("value"), SHEET).alias("value"))
-    return found.join(wanted, "key").select("name", "field", "value")
+    return found.join(by_shuffle(wanted), "key").select("name", "field", "value")
 
 
 def every_field(ids: DataFrame, found: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -134,7 +134,7 @@ def every_field(ids: DataFrame, found: DataFrame, fields: Sequence[str]) -> Data
     )
     return (
         wanted.withColumn("key", norm_key(F.col("id")))
-        .join(marked, ["key", "field"], "left")
+        .join(by_shuffle(marked), ["key", "field"], "left")
         .select("id", "field", "value", F.coalesce("_found", F.lit(False)).alias("is_found"))
     )
 

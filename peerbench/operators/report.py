@@ -28,7 +28,7 @@ from peerbench.constants import (
 from peerbench.functions.fieldnames import clean_name
 from peerbench.functions.numbers import to_number
 from peerbench.functions.text import is_blank
-from peerbench.operators.joins import ORDER
+from peerbench.operators.joins import ORDER, by_shuffle
 from peerbench.operators.requests import FOCUS, SUB_INDUSTRY
 
 BASE = ["name", "id", "sector", "sub_industry", "focus", "peer_group_type", "input_row"]
@@ -42,7 +42,7 @@ def mean_name(row_kind: str, group: Column) -> Column:
 
 def entity_rows(peers: DataFrame, sectors: DataFrame) -> DataFrame:
     """Heads of entity rows: one per group and member, with sector and request label."""
-    return peers.join(sectors.select("id", "sector"), "id", "left").select(
+    return peers.join(by_shuffle(sectors.select("id", "sector")), "id", "left").select(
         F.lit(0).alias("section"),
         "row_number",
         *ORDER,

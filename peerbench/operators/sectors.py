@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from peerbench.constants import SECTOR_CODES, SECTOR_FILE_PATTERNS, SECTOR_PROXIES
 from peerbench.functions.labels import file_fits_sector, fits_word, sector_of_file
 from peerbench.functions.text import norm_key
-from peerbench.operators.joins import ORDER, first_by, only
+from peerbench.operators.joins import ORDER, by_shuffle, first_by, only
 
 
 def _values(spark: SparkSession, rows: Sequence[tuple], names: str) -> DataFrame:
@@ -54,7 +54,7 @@ def entity_sectors(ids: DataFrame, entities: DataFrame) -> DataFrame:
         .groupBy("key")
         .agg(first_by(F.col("sector"), ["file_ord"]).alias("sector"))
     )
-    return wanted.join(found, "key", "left").select("id", "sector")
+    return wanted.join(by_shuffle(found), "key", "left").select("id", "sector")
 
 
 def files_for_sectors(files: DataFrame, sectors: Sequence[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from peerbench.functions.numbers import to_number
 from peerbench.functions.text import is_blank, norm_key
 from peerbench.operators import benchmarks, metrics as m, peers as p, report as r
 from peerbench.operators.entities import resolve
-from peerbench.operators.joins import first_by, lookup, only
+from peerbench.operators.joins import by_shuffle, first_by, lookup, only
 from peerbench.operators.name_index import NameIndex
 from peerbench.operators.requests import (
     FOCUS,
@@ -115,7 +115,7 @@ def _run(requests, entities, metrics, vendor, universe, sheet_fields, vendor_fie
     raw = group_choice(requests)
     clean = durable(clean_requests(raw))
     found = resolve(clean, entities, names).join(
-        clean.select("row_number", "group_choice", "sector"), "row_number"
+        by_shuffle(clean.select("row_number", "group_choice", "sector")), "row_number"
     )
     assigned = durable(p.assign_group(found))
     groups = durable(p.open_groups(assigned))
@@ -136,7 +136,7 @@ def _run(requests, entities, metrics, vendor, universe, sheet_fields, vendor_fie
         picks = m.judge(m.sheet_picks(cells, sheet_fields, headers=metrics)).where("is_hit")
         picks = durable(m.until_first_yield(cells, picks) if stop_after_first_hit else picks)
         own = peers.select(*p.GROUP, "id", norm_key(F.col("id")).alias("key"))
-        mine = own.join(picks.withColumnRenamed("id", "key"), "key")
+        mine = own.join(by_shuffle(picks.withColumnRenamed("id", "key")), "key")
         best = (
             _in_sector_files(mine, groups, metrics)
             .groupBy(*p.GROUP, "id", "field")
@@ -155,7 +155,7 @@ def _run(requests, entities, metrics, vendor, universe, sheet_fields, vendor_fie
             F.col("display").alias("value_text"),
             to_number(F.col("value")).alias("value_num"),
         )
-        values.append(peers.select(*p.GROUP, "id").join(quoted, "id"))
+        values.append(peers.select(*p.GROUP, "id").join(by_shuffle(quoted), "id"))
         listed = with_sector_name(screen(universe)).where(field_key(F.col("field")).isin(keys))
         listed = listed.withColumn("field", field_key(F.col("field")))
         used = sectors.where(~is_blank(F.col("sector"))).select("sector").distinct()
@@ -166,10 +166,10 @@ def _run(requests, entities, metrics, vendor, universe, sheet_fields, vendor_fie
     if values:
         both = values[0] if len(values) == 1 else values[0].unionByName(values[1])
         owner = F.col("group_type").alias("peer_group_type")
-        joined = both.join(peers.select(*p.GROUP, "id", "row_number"), [*p.GROUP, "id"]).select(
+        joined = both.join(by_shuffle(peers.select(*p.GROUP, "id", "row_number")), [*p.GROUP, "id"]).select(
             owner, "row_number", "id", "field", "value_text", "value_num"
         )
-        long = heads.join(joined, ["peer_group_type", "row_number", "id"], "left")
+        long = heads.join(by_shuffle(joined), ["peer_group_type", "row_number", "id"], "left")
     shown = [part.withColumn("value_text", F.format_number("value_num", 4)) for part in parts]
     rows = durable(r.union_rows(long, *shown))
     return PeerReport(rows, status, list(dict.fromkeys([*sheet_fields, *keys])))

@@ -93,3 +93,33 @@ def test_a_view_is_dealt_before_its_rows_become_cells(spark, sf, name, dropped):
     want, got = view(spark, sf, name).drop(*dropped), Views(spark, sf).stored(name, *dropped)
     assert got.columns == want.columns
     assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["ent_rows", "metrics", "listings"])
+def test_customers_of_a_view_are_not_broadcast(spark, sf, name):
+    from peerbench.catalogue.views import view
+
+    tree = plan(view(spark, sf, name))
+    assert "SortMergeJoin" in tree
+    assert not [x for x in tree.splitlines() if "BroadcastHashJoin" in x and "custkey" in x]
+
+
+def test_tables_with_a_row_per_entity_are_not_broadcast(spark):
+    from peerbench.operators import entities, metrics, report, sectors
+
+    ids = spark.createDataFrame([("A",), ("B",)], "id string")
+    place = "1 AS file_ord, 1 AS sheet_ord, 2 AS row_idx"
+    rows = ids.selectExpr("*", "'IT_Services.xlsx' AS file", place.split(", ")[0], *place.split(", ")[1:], "'Acme' AS holding")
+    peers = ids.selectExpr("*", "1 AS row_number", *place.split(", "), "'n' AS name", "'s' AS sub_industry", "'f' AS focus", "'Focus' AS group_type")
+    found = ids.limit(1).selectExpr("id", "'x' AS field", "'1' AS value")
+    made = {
+        "sectors": sectors.entity_sectors(ids, rows),
+        "rows": report.entity_rows(peers, ids.selectExpr("id", "'IT' AS sector")),
+        "names": entities.id_to_name(ids, rows),
+        "fields": metrics.every_field(ids, found, ["x"]),
+    }
+    for what, df in made.items():
+        # the join of all rows is the first in the plan
+        joins_ = [x for x in plan(df).splitlines() if "Join" in x]
+        assert "SortMergeJoin" in joins_[0], what
+        assert df.count() == 2, what
