@@ -46,6 +46,7 @@ LOCAL_TOKENS = 1 << 17  # counts a task keeps
 LOCAL_LEAST, HEAVY_LEAST = 3, 24
 MOST_HEAVY = 1 << 17  # frequent n-grams that workers get
 SLOT_BITS = 23  # of the bit table of documents
+TABLE_WORDS = 4  # of 64 bits, of the bit table of a class's first n-grams
 
 _FACTS = "heavy boolean, id long, n long, cls long, key binary, token long, count long"
 _TABLE = {"boolean": pa.bool_(), "long": pa.int64(), "binary": pa.binary(), "int": pa.int32(), "array<long>": pa.list_(pa.int64())}
@@ -336,15 +337,16 @@ class NgramJoin:
         return durable(here.join(split.filter("lo < hi").select("token", "width"), "token"))
 
     def _later_leaders(self, split: DataFrame, seed: int) -> DataFrame:
-        """In wide postings, members of smaller groups with members of the largest, picked by hash.
+        """In wide postings, members of smaller groups with members of the largest ones, picked by hash.
 
+        Where groups are equally large, as where none has formed yet, the hash picks among all their members.
         Leaders whose sets are too large or too small to link are not met at all.
         """
         per_token, tries = LATER_LEADERS
         near = f"100 * least(n, x.n) >= {self.percent} * greatest(n, x.n)"
         wide = split.filter(F.col("width") >= WIDE)
         picks = [
-            F.min_by(F.struct("node", "group", "size", "n"), F.struct(-F.col("size"), "group", F.xxhash64("node", F.lit(seed * per_token + k))))
+            F.min_by(F.struct("node", "group", "size", "n"), F.struct(-F.col("size"), F.xxhash64("node", F.lit(seed * per_token + k))))
             for k in range(per_token)
         ]
         leaders = wide.groupBy("token").agg(F.array_distinct(F.array(*picks)).alias("leaders"))
@@ -355,16 +357,36 @@ class NgramJoin:
         )
         return self._leader_pairs(met, tries)
 
-    def _cross_pairs(self, left: DataFrame, done: DataFrame) -> DataFrame:
-        """(a, b) with a < b: all pairs that can link, share a split posting and are not in one group yet."""
-        a, b = (left.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "place", "group")]) for x in "ab")
+    def _met(self, left: DataFrame) -> DataFrame:
+        """(node_a, n_a, node_b, n_b): pairs of different groups that share a split posting and are able to link.
+
+        All n-grams that such classes share among their first stand in split postings. So they share no more than
+        either has of those from the first shared one on, nor than it has less the bits of its
+        table (a bit for each of its n-grams, many to a bit) that the other lacks.
+        """
+        one = Window.partitionBy("node")
+        slot = F.pmod("token", F.lit(64 * TABLE_WORDS))
+        bit = F.expr(f"shiftleft(1L, cast(pmod(token, {64 * TABLE_WORDS}) % 64 AS int))")
+        table = [F.bit_or(F.when(F.floor(slot / 64) == k, bit).otherwise(0)).over(one).alias(f"bits{k}") for k in range(TABLE_WORDS)]
+        onward = F.row_number().over(one.orderBy(F.desc("place"))).alias("onward")
+        known = durable(left.select("token", "node", "n", "place", "group", onward, F.count(F.lit(1)).over(one).alias("all"), *table))
+        a, b = (known.select("token", *[F.col(c).alias(f"{c}_{x}") for c in known.columns if c != "token"]) for x in "ab")
         p = self.percent
         apart = (F.col("node_a") < F.col("node_b")) & (F.col("group_a") != F.col("group_b"))
         near = 100 * F.least("n_a", "n_b") >= p * F.greatest("n_a", "n_b")
         # The first n-gram that linked sets share has all of their overlap from its place on, in both.
         ahead = (100 + p) * F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) >= p * (F.col("n_a") + F.col("n_b"))
-        met = a.join(b, (a["token"] == b["token"]) & apart & near & ahead)
-        pairs = met.select("node_a", "n_a", "node_b", "n_b").distinct()
+        held = [
+            F.col(f"all_{x}") - sum(F.bit_count(F.col(f"bits{k}_{x}").bitwiseAND(F.bitwise_not(f"bits{k}_{y}"))) for k in range(TABLE_WORDS))
+            for x, y in ("ab", "ba")
+        ]
+        enough = self._may_link(F.least("onward_a", "onward_b", *held), F.col("n_a"), F.col("n_b"))
+        met = a.join(b, (a["token"] == b["token"]) & apart & near & ahead & enough)
+        return met.select("node_a", "n_a", "node_b", "n_b").distinct()
+
+    def _cross_pairs(self, left: DataFrame, done: DataFrame) -> DataFrame:
+        """(a, b) with a < b: all pairs that can link, share a split posting and are not in one group yet."""
+        pairs = self._met(left)
         own = durable(left.groupBy("node").agg(F.collect_list("token").alias("tokens")))  # no more than the first of a set
         for x in "ab":
             pairs = pairs.join(own.select(F.col("node").alias(f"node_{x}"), F.col("tokens").alias(f"tokens_{x}")), f"node_{x}")

@@ -95,6 +95,33 @@ def test_ngram_join_of_sets_in_several_fragments_is_brute_force(spark, frame):
     assert rows(found, "doc_id", "n_shingles", "component_id") == sorted(expected, key=repr)
 
 
+def by_hand(spark, left):
+    """A join without documents, with a row (token, node, n, place, group, size, width) per posting."""
+    join = object.__new__(ngram_join.NgramJoin)
+    join.words, join.percent = 5, 75
+    split = spark.createDataFrame(left, "token long, node long, n long, place long, group long, size long, width long")
+    join.classes = split.select("node", "n").distinct()
+    return join, split
+
+
+def test_later_leaders_differ_where_no_group_has_formed(spark):
+    left = [(-token, node, 40, token, node, 1, 40) for token in range(1, 10) for node in range(40)]
+    join, split = by_hand(spark, left)
+    leaders = {x["b"] for x in join._later_leaders(split, 0).collect()}
+    assert 1 < len(leaders) <= ngram_join.LATER_LEADERS[0]
+    assert {x["a"] for x in join._later_leaders(split, 0).collect()} == set(range(40))
+
+
+def test_pairs_that_share_too_few_of_their_first_ngrams_are_not_listed(spark):
+    # Of 40, classes of one kind share ten of their first n-grams (six are needed), of two kinds two: the bit tables tell.
+    first = {node: [1, 2, *range(100 * (node % 2) + 10, 100 * (node % 2) + 18)] for node in range(60)}
+    left = [(token, node, 40, at, node, 1, 60) for node in first for at, token in enumerate(first[node])]
+    join, split = by_hand(spark, left)
+    assert next(k for k in range(12) if 175 * (k + 29) >= 75 * 80) == 6
+    listed = {(x["node_a"], x["node_b"]) for x in join._met(split).collect()}
+    assert listed == {(a, b) for a in first for b in first if a < b and a % 2 == b % 2}
+
+
 def test_ngram_join_odd_rows(spark, frame):
     found = ngram_join.NgramJoin(frame(ROWS, DOCS)).components()
     assert rows(found, "doc_id", "component_id") == sorted([(3, 3), (3, 3), (4, 4), (5, 3), (6, 6), (7, 7), (None, 3)], key=repr)
