@@ -47,6 +47,7 @@ LOCAL_LEAST, HEAVY_LEAST = 3, 24
 MOST_HEAVY = 1 << 17  # frequent n-grams that workers get
 SLOT_BITS = 23  # of the bit table of documents
 TABLE_WORDS = 4  # of 64 bits, of the bit table of a class's first n-grams
+EARLIER = 4  # n-grams before a shared one that tell whether it is the first
 
 _FACTS = "heavy boolean, id long, n long, cls long, key binary, token long, count long"
 _TABLE = {"boolean": pa.bool_(), "long": pa.int64(), "binary": pa.binary(), "int": pa.int32(), "array<long>": pa.list_(pa.int64())}
@@ -363,13 +364,17 @@ class NgramJoin:
         All n-grams that such classes share among their first stand in split postings. So they share no more than
         either has of those from the first shared one on, nor than it has less the bits of its
         table (a bit for each of its n-grams, many to a bit) that the other lacks.
+        Both sets have one order, so a pair that shares one of the n-grams just before is listed there: what
+        holds at a later n-gram holds at an earlier one, too. The first shared one always lists its pair.
         """
         one = Window.partitionBy("node")
         slot = F.pmod("token", F.lit(64 * TABLE_WORDS))
         bit = F.expr(f"shiftleft(1L, cast(pmod(token, {64 * TABLE_WORDS}) % 64 AS int))")
         table = [F.bit_or(F.when(F.floor(slot / 64) == k, bit).otherwise(0)).over(one).alias(f"bits{k}") for k in range(TABLE_WORDS)]
-        onward = F.row_number().over(one.orderBy(F.desc("place"))).alias("onward")
-        known = durable(left.select("token", "node", "n", "place", "group", onward, F.count(F.lit(1)).over(one).alias("all"), *table))
+        down = one.orderBy(F.desc("place"))
+        onward = F.row_number().over(down).alias("onward")
+        earlier = F.array_compact(F.array(*[F.lead("token", k).over(down) for k in range(1, EARLIER + 1)])).alias("earlier")
+        known = durable(left.select("token", "node", "n", "place", "group", onward, earlier, F.count(F.lit(1)).over(one).alias("all"), *table))
         a, b = (known.select("token", *[F.col(c).alias(f"{c}_{x}") for c in known.columns if c != "token"]) for x in "ab")
         p = self.percent
         apart = (F.col("node_a") < F.col("node_b")) & (F.col("group_a") != F.col("group_b"))
@@ -381,7 +386,8 @@ class NgramJoin:
             for x, y in ("ab", "ba")
         ]
         enough = self._may_link(F.least("onward_a", "onward_b", *held), F.col("n_a"), F.col("n_b"))
-        met = a.join(b, (a["token"] == b["token"]) & apart & near & ahead & enough)
+        first = ~F.arrays_overlap("earlier_a", "earlier_b")
+        met = a.join(b, (a["token"] == b["token"]) & apart & near & ahead & enough & first)
         return met.select("node_a", "n_a", "node_b", "n_b").distinct()
 
     def _cross_pairs(self, left: DataFrame, done: DataFrame) -> DataFrame:

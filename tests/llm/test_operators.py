@@ -122,6 +122,19 @@ def test_pairs_that_share_too_few_of_their_first_ngrams_are_not_listed(spark):
     assert listed == {(a, b) for a in first for b in first if a < b and a % 2 == b % 2}
 
 
+def test_pairs_are_listed_where_they_begin_to_share_and_none_is_lost(spark, monkeypatch):
+    rng = random.Random(5)
+    first = {node: [t for t in range(-4, 40) if t % 7 == 3 or rng.random() < (0.9, 0.6)[node % 2]][:26] for node in range(40)}
+    left = [(token, node, 100, at, node // 2, 2, 40) for node in first for at, token in enumerate(first[node])]
+    join, split = by_hand(spark, left)
+    monkeypatch.setattr(type(split), "distinct", lambda self: self)
+    listed = [(x["node_a"], x["node_b"]) for x in join._met(split).collect()]
+    monkeypatch.setattr(ngram_join, "EARLIER", 0, raising=False)
+    everywhere = [(x["node_a"], x["node_b"]) for x in join._met(split).collect()]
+    assert set(listed) == set(everywhere) and len(set(listed)) > 300
+    assert len(listed) < 1.2 * len(set(listed)) and len(everywhere) > 4 * len(set(listed))
+
+
 def test_ngram_join_odd_rows(spark, frame):
     found = ngram_join.NgramJoin(frame(ROWS, DOCS)).components()
     assert rows(found, "doc_id", "component_id") == sorted([(3, 3), (3, 3), (4, 4), (5, 3), (6, 6), (7, 7), (None, 3)], key=repr)
