@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,10 @@ def stored_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _is_small(stored: DataFrame, rows: int) -> bool:
+    return stored_bytes(stored) <= SMALL_BYTES and stored.count() <= rows
+
+
 def lookup(
     big: DataFrame,
     small: DataFrame,
@@ -54,8 +59,7 @@ def lookup(
     and ``small_rows`` it is broadcast; beyond that the join is shuffled with the big side
     salted by a hash of ``spread`` so that no key lands in one task.
     """
-    stored = small if within is None else within
-    if stored_bytes(stored) <= SMALL_BYTES and stored.count() <= small_rows:
+    if _is_small(small if within is None else within, small_rows):
         return big.join(F.broadcast(small), list(on), how)
     return salted_join(big, small, on, how, spread or big.columns)
 
@@ -77,10 +81,36 @@ def by_shuffle(df: DataFrame) -> DataFrame:
 
 def only(big: DataFrame, wanted: DataFrame, on: Sequence[str], spread: Sequence[str]) -> DataFrame:
     """Rows of the big side whose key is wanted. Keys that aren't columns of a small stored table are written first."""
+    return lookup(big, _keys(wanted, on), on, "left_semi", spread)
+
+
+def _keys(wanted: DataFrame, on: Sequence[str]) -> DataFrame:
     keys = wanted.select(*on)
-    if not (_as_stored(keys) and stored_bytes(keys) <= SMALL_BYTES):
-        keys = durable(keys.distinct())
-    return lookup(big, keys, on, "left_semi", spread)
+    return keys if _as_stored(keys) and stored_bytes(keys) <= SMALL_BYTES else durable(keys.distinct())
+
+
+@dataclass
+class Wanted:
+    """Keys that an aggregate by key (and more) is wanted for.
+
+    Few keys are broadcast and leave out rows before they are grouped. Many meet the groups instead: the aggregate
+    takes a repeated key to a row per task, so rows need no salt, and keys no copy for every salt.
+    """
+
+    keys: DataFrame
+    on: list[str]
+    small: bool
+
+    @classmethod
+    def of(cls, wanted: DataFrame, on: Sequence[str]) -> Wanted:
+        keys = _keys(wanted, on)
+        return cls(keys, list(on), _is_small(keys, SMALL_ROWS))
+
+    def before(self, rows: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(self.keys), self.on, "left_semi") if self.small else rows
+
+    def after(self, groups: DataFrame) -> DataFrame:
+        return groups if self.small else groups.join(by_shuffle(self.keys), self.on, "left_semi")
 
 
 def salted_join(

@@ -17,23 +17,31 @@ from peerbench.functions.fieldnames import field_base, field_key, field_keys, ye
 from peerbench.functions.numbers import display_value, is_code_like, is_error_text
 from peerbench.functions.text import blank_to_null, is_blank, norm_key
 from peerbench.operators.header_match import LOOSE, STRICT, Matching, each_field, match_headers
-from peerbench.operators.joins import by_shuffle, first_by, lookup, only
+from peerbench.operators.joins import Wanted, by_shuffle, first_by, lookup, only
 from peerbench.session import durable
 
 SHEET = ("file_ord", "sheet_ord")
 PLACE = (*SHEET, "row_idx", "col_ord")
 PERIOD_MARK = "(Period="
+SLOTS = 8  # fields whose picks stand in one row
 
 
 def _upper_ids(ids: DataFrame) -> DataFrame:
     return ids.select(norm_key(F.col("id")).alias("id"))
 
 
+def _texts(fields: Sequence[str]) -> Column:
+    return F.array(*[F.lit(f) for f in fields]).cast("array<string>")
+
+
 def _candidates(
     metrics: DataFrame, fields: Sequence[str], matching: Matching, headers: DataFrame | None
 ) -> DataFrame:
-    """Metric cells under a header that fits a wanted field."""
-    fit = durable(match_headers(metrics if headers is None else headers, fields, matching))
+    """Metric cells under a header that fits a wanted field: one for each group of SLOTS fields (_part), a tier for each slot."""
+    fit = match_headers(metrics if headers is None else headers, fields, matching)
+    number = F.array_position(_texts(fields), F.col("field").cast("string")) - 1
+    slots = [F.max(F.when(number % SLOTS == i, F.col("tier"))).alias(f"_tier{i}") for i in range(SLOTS)]
+    fit = durable(fit.groupBy("header", F.floor(number / SLOTS).cast("int").alias("_part")).agg(*slots))
     return lookup(metrics, fit, ["header"], spread=PLACE)
 
 
@@ -48,14 +56,21 @@ def sheet_picks(
 
     Blank cells give way to the next column or tier, never to the next row.
     ``headers`` is where headers are looked up, ``metrics`` itself by default.
+    Picks of up to SLOTS fields are shuffled as one row per key and sheet.
     """
-    blank = is_blank(F.col("value")).cast("int")
-    order = ["row_idx", blank, "tier", "col_ord"]
-    return (
+    fields = list(dict.fromkeys(fields))
+    slots = range(max(1, min(SLOTS, len(fields))))
+    blank = is_blank(F.col("value")).cast("byte").alias("blank")
+    value = blank_to_null(F.col("value")).alias("value")
+    cell = lambda i: F.struct("row_idx", blank, F.col(f"_tier{i}"), "col_ord", value)
+    picks = (
         _candidates(metrics, fields, matching, headers)
-        .groupBy(key, "field", *SHEET, "file")
-        .agg(first_by(blank_to_null(F.col("value")), order).alias("value"))
+        .groupBy(key, "_part", *SHEET, "file")
+        .agg(*[F.min(F.when(F.col(f"_tier{i}").isNotNull(), cell(i))).alias(f"_pick{i}") for i in slots])
     )
+    field = lambda i: F.get(_texts(fields), F.col("_part") * SLOTS + i).alias("field")
+    each = [F.when(F.col(f"_pick{i}").isNotNull(), F.struct(field(i), F.col(f"_pick{i}.value").alias("value"))) for i in slots]
+    return picks.select(key, *SHEET, "file", F.inline(F.array_compact(F.array(*each)))).select(key, "field", *SHEET, "file", "value")
 
 
 def judge(picks: DataFrame, strict_codes: bool = True) -> DataFrame:
@@ -77,14 +92,15 @@ def until_first_yield(metrics: DataFrame, hits: DataFrame) -> DataFrame:
     It reads sheets in order up to the first that yields anything for the id;
     in each later file it reads only the first sheet holding the id.
     """
-    first_yield = hits.groupBy("id").agg(F.min(F.struct(*SHEET)).alias("_first"))
     first_sheet = metrics.groupBy("id", "file_ord").agg(F.min("sheet_ord").alias("_head"))
     at = F.struct(*SHEET)
-    later = (F.col("file_ord") > F.col("_first.file_ord")) & (F.col("sheet_ord") == F.col("_head"))
+    seen = at <= F.col("_first")
+    later = F.col("file_ord") > F.col("_first.file_ord")
     return (
-        hits.join(by_shuffle(first_yield), "id")
+        hits.withColumn("_first", F.min(at).over(Window.partitionBy("id")))
+        .where(seen | later)
         .join(by_shuffle(first_sheet), ["id", "file_ord"])
-        .where((at <= F.col("_first")) | later)
+        .where(seen | (later & (F.col("sheet_ord") == F.col("_head"))))
     )
 
 
@@ -103,9 +119,10 @@ def metric_lookup(
     rows = metrics.withColumn("id", norm_key(F.col("id")))
     if files is not None:
         rows = rows.join(files.select("file").distinct(), "file", "left_semi")
-    if ids is not None:
-        rows = only(rows, _upper_ids(ids), ["id"], PLACE)
-    hits = judge(sheet_picks(rows, fields, headers=metrics), strict_codes).where("is_hit")
+    wanted = None if ids is None else Wanted.of(_upper_ids(ids), ["id"])
+    rows = rows if wanted is None else wanted.before(rows)
+    hits = judge(sheet_picks(rows, fields, headers=metrics), strict_codes).where("is_hit").select("id", "field", *SHEET, "value")
+    hits = hits if wanted is None else wanted.after(hits)
     if stop_after_first_hit:
         hits = until_first_yield(rows, hits)
     return hits.groupBy("id", "field").agg(first_by(F.col("value"), SHEET).alias("value"))
@@ -120,8 +137,8 @@ def metric_lookup_by_name(
     """
     keyed = metrics.withColumn("key", F.lower(F.trim("name")))
     wanted = names.select("name", F.lower(F.trim("name")).alias("key")).distinct()
-    rows = only(keyed, wanted, ["key"], PLACE)
-    picks = sheet_picks(rows, fields, "key", LOOSE, metrics).where(F.col("value").isNotNull())
+    asked = Wanted.of(wanted, ["key"])
+    picks = asked.after(sheet_picks(asked.before(keyed), fields, "key", LOOSE, metrics).where(F.col("value").isNotNull()))
     found = picks.groupBy("key", "field").agg(first_by(F.col("value"), SHEET).alias("value"))
     return found.join(by_shuffle(wanted), "key").select("name", "field", "value")
 
@@ -181,13 +198,15 @@ def every_value(ids: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFr
     return batch.select("id", "field", "value", display_value(F.col("value")).alias("display"))
 
 
-def yearly(rows: DataFrame) -> DataFrame:
+def yearly(rows: DataFrame, ids: Wanted | None = None) -> DataFrame:
     """The last row of each (id, field, year), with the field's base name and the id's latest year.
 
-    Rows meet once; the window is over what an id has left of them.
+    Rows meet once; the window is over what an id has left of them. ``ids`` are those wanted, all by default.
     """
+    rows = rows if ids is None else ids.before(rows)
     last = F.max_by(F.struct("value", "ord"), "ord").alias("_last")
     kept = rows.groupBy("id", field_key(F.col("field")).alias("field"), "fy").agg(last).select("id", "field", "fy", "_last.*")
+    kept = kept if ids is None else ids.after(kept)
     latest = F.max("fy").over(Window.partitionBy("id"))
     return kept.withColumn("base", field_base(F.col("field"))).withColumn("latest", latest)
 
@@ -202,7 +221,7 @@ def vendor_lookup(vendor: DataFrame, ids: DataFrame, fields: Sequence[str]) -> D
     keys = field_keys(fields)
     rows = vendor.withColumn("id", norm_key(F.col("id")))
     if any(PERIOD_MARK in k for k in keys):
-        answers = vendor_answers(yearly(only(rows, _upper_ids(ids), ["id"], ["ord"])), keys, F.col("ord"))
+        answers = vendor_answers(yearly(rows, Wanted.of(_upper_ids(ids), ["id"])), keys, F.col("ord"))
     else:
         rows = rows.where(field_key(F.col("field")).isin(*keys))
         answers = last_wins(only(rows, _upper_ids(ids), ["id"], ["ord"]))

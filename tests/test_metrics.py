@@ -1,6 +1,9 @@
+import random
+
 import pytest
 
 from peerbench.operators import benchmarks as b
+from peerbench.operators import joins
 from peerbench.operators import metrics as m
 
 METRICS = (
@@ -173,3 +176,56 @@ def test_sector_values_from_universe_and_vendor(spark):
     got = {tuple(r) for r in b.sector_values(universe, v).collect()}
     assert got == {(it, "X", 7.5556), (energy, "X", 2.0), (energy, "Y", 3.0)}
     assert {tuple(r) for r in b.sector_values(universe, v, ["TR.Y"]).collect()} == {(energy, "Y", 3.0)}
+
+
+# --- more ids than a broadcast takes -------------------------------------------
+
+
+@pytest.fixture
+def many_keys(monkeypatch):
+    monkeypatch.setattr(joins, "SMALL_ROWS", 0, raising=False)
+    monkeypatch.setattr(joins.lookup, "__defaults__", ("inner", (), 0, None))
+
+
+def test_cells_are_read_once_and_unsalted_for_many_ids(spark, many_keys, tmp_path):
+    rows = sheet(1, 0, ["Revenue", "x"], *[(f"I{i}", str(i), "9") for i in range(20)])
+    spark.createDataFrame(rows, METRICS).write.parquet(str(tmp_path / "m"))
+    cells = spark.read.parquet(str(tmp_path / "m"))
+    ids = spark.createDataFrame([(f"i{i}",) for i in range(5, 30)], "id string")
+    found = m.metric_lookup(cells, ids, ["Revenue"], stop_after_first_hit=True)
+    tree = found._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.count("LeftSemi") == 1  # picks are made once
+    cells_in = tree[tree.index("LeftSemi") :]
+    assert "Aggregate" in cells_in.split("parquet")[0]  # and before they meet the ids
+    assert {r["id"]: r["value"] for r in found.collect()} == {f"I{i}": str(i) for i in range(5, 20)}
+    assert m.metric_lookup(cells, ids, []).count() == 0
+
+
+def test_many_ids_find_what_few_ids_find(spark, monkeypatch):
+    rng = random.Random(5)
+    heads = ["Revenue", "Total revenue", "Net Margin", "EBIT", "Growth"]
+    fields = [*heads, *[f"No such field {i}" for i in range(12)], "Margin", "Revenue", "Net"]
+    rows = []
+    for file in (1, 2):
+        for nth in range(3):
+            shown = rng.sample(heads, 3)
+            value = lambda: rng.choice([None, " ", "5", "7", "#N/A", "USD", "12"])
+            rows += sheet(file, nth, shown, *[(f"I{rng.randint(0, 9)}", *[value() for _ in shown]) for _ in range(12)])
+    for stop in (False, True):
+        few = look(spark, rows, fields, stop_after_first_hit=stop)
+        with monkeypatch.context() as patch:
+            patch.setattr(joins, "SMALL_ROWS", 0, raising=False)
+            assert look(spark, rows, fields, stop_after_first_hit=stop) == few
+        assert len(few) > 20
+        assert {f for _, f in few} <= {*heads, "Margin"}
+
+
+def test_vendor_rows_of_many_ids(spark, many_keys):
+    rows = [(f"V{i}", "TR.EBIT", 2000 + y, str(i * 10 + y), y) for i in range(4) for y in range(3)]
+    vendor = spark.createDataFrame(rows, VENDOR)
+    ids = spark.createDataFrame([("v1",), (" V3 ",), ("W",)], "id string")
+    found = m.vendor_lookup(vendor, ids, ["EBIT", "EBIT(Period=FY-1)"])
+    assert {(r["id"], r["field"], r["value"]) for r in found.collect()} == {
+        ("v1", "EBIT", "12"), ("v1", "EBIT(Period=FY-1)", "11"), (" V3 ", "EBIT", "32"),
+        (" V3 ", "EBIT(Period=FY-1)", "31"), ("W", "EBIT", None), ("W", "EBIT(Period=FY-1)", None)}
+    assert "_salt" not in m.yearly(vendor, joins.Wanted.of(ids, ["id"]))._jdf.queryExecution().optimizedPlan().toString()
