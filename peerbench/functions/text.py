@@ -50,7 +50,7 @@ def has_any(c: Column, words: Sequence[str]) -> Column:
     return c.rlike(any_word(words))
 
 
-def parts(c: Column, n: int) -> Column:
+def parts(c: Column, n: int | Column) -> Column:
     """All different substrings of n characters; a shorter text is its own only part."""
     last = F.greatest(F.length(c) - (n - 1), F.lit(1))
     return F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(c, i, F.lit(n))))

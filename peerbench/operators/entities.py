@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from peerbench.constants import MIN_NAME_LENGTH
 from peerbench.functions.labels import entity_name
-from peerbench.functions.text import norm_key, parts, strip
+from peerbench.functions.text import norm_key, strip
 from peerbench.operators.joins import ORDER, by_shuffle, first_by, first_per_key, lookup, only
-from peerbench.operators.name_index import BEST, FACTS, GRAM, NameIndex, name_texts, needles, rarest_gram
+from peerbench.operators.name_index import BEST, FACTS, NameIndex, gram_size, grams_of, name_texts, needles, rarest_gram
 from peerbench.session import durable
 
 
@@ -47,22 +47,35 @@ def resolve_by_id(requests: DataFrame, entities: DataFrame) -> DataFrame:
 def find_by_name(wanted: DataFrame, entities: DataFrame | NameIndex) -> DataFrame:
     """First entity whose name contains a wanted name (column needle, lower case).
 
-    A name contains a needle only if it contains each of the needle's trigrams, so each needle is
-    filed under its rarest trigram, names meet needles by that trigram, and are then verified.
+    A name contains a needle only if it contains each of the needle's parts of one size, so each needle is
+    filed under its rarest part, names meet needles by that part, and are then verified.
     An index that was written before knows how rare a trigram is among the names. An entity table is read
-    once, with each needle under the trigram that the fewest needles have; only hits are shuffled. Within
+    once, with each needle under the part that the fewest needles have; only hits are shuffled. Those parts are
+    as long as a needle allows: there are so few trigrams that the needles of one grow with all needles. Within
     a sheet a hit in holding beats a hit in universe; the first sheet with a hit wins.
     """
     if isinstance(entities, NameIndex):
         return _named(entities.find(wanted))
     sought = needles(wanted)
-    seen = sought.select(F.explode(parts(F.col("needle"), GRAM)).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
-    filed = durable(rarest_gram(sought, seen))
-    cut = name_texts(entities).withColumn("gram", F.explode(parts(F.col("text"), GRAM)))
-    hits = lookup(cut, filed, ["gram"], spread=["text", "row_idx"]).where(F.contains("text", "needle"))
+    size = gram_size(F.col("needle"))
+    seen = grams_of(sought, size).groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = rarest_gram(sought, seen, size)
+    filed = durable(rarest.select("needle", F.length("gram").alias("size"), F.xxhash64("gram").alias("gram")))
+    sizes = [x["size"] for x in filed.select("size").distinct().collect()]  # some of SIZES
+    cut = _cut(name_texts(entities), sizes)
+    hits = lookup(cut, filed.select("needle", "gram"), ["gram"], spread=["text", "row_idx"], within=filed)
+    hits = hits.where(F.contains("text", "needle"))
     return _named(first_per_key(hits, ["needle"], ["id", *FACTS], list(BEST)))
 
 
+def _cut(texts: DataFrame, sizes: list[int]) -> DataFrame:
+    """A row per text and part of one of the sizes: the part's hash (gram), as what meets by it is compared whole."""
+    last = F.length("text") - F.col("_size") + 1
+    each = texts.withColumn("_size", F.explode(F.array(*[F.lit(n) for n in sizes]).cast("array<int>")))
+    each = each.withColumn("_at", F.explode(F.when(last > 0, F.sequence(F.lit(1), last))))
+    return each.withColumn("gram", F.xxhash64(F.substring("text", F.col("_at"), F.col("_size")))).drop("_size", "_at")
+
+
 def _named(found: DataFrame) -> DataFrame:
     return with_name(found.withColumn("id", strip(F.col("id"))))
 

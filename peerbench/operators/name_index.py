@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerbench.constants import MIN_NAME_LENGTH
@@ -21,6 +21,7 @@ from peerbench.sources.bucketed import BUCKETS, BucketedTable
 
 FACTS = ("holding", "universe", "sub_industry", "focus")
 GRAM = 3
+SIZES = (GRAM, 6, 12, 24, 48)
 SALTS = 8
 BEST = ("file_ord", "sheet_ord", "side", "row_idx")
 
@@ -39,9 +40,18 @@ def needles(wanted: DataFrame) -> DataFrame:
     return wanted.select("needle").where(F.length("needle") >= MIN_NAME_LENGTH).distinct()
 
 
-def rarest_gram(sought: DataFrame, seen: DataFrame) -> DataFrame:
-    """(needle, gram) for needles whose trigrams have all been seen; ``seen`` counts names by gram."""
-    grams = sought.select("needle", F.explode(parts(F.col("needle"), GRAM)).alias("gram"))
+def gram_size(needle: Column) -> Column:
+    """The largest size that a needle is long enough for."""
+    return F.greatest(F.lit(GRAM), *[F.when(F.length(needle) >= n, n) for n in SIZES])
+
+
+def grams_of(sought: DataFrame, size: int | Column = GRAM) -> DataFrame:
+    return sought.select("needle", F.explode(parts(F.col("needle"), size)).alias("gram"))
+
+
+def rarest_gram(sought: DataFrame, seen: DataFrame, size: int | Column = GRAM) -> DataFrame:
+    """(needle, gram) for needles whose grams have all been seen; ``seen`` counts names by gram."""
+    grams = grams_of(sought, size)
     counted = grams.join(seen, "gram", "left").groupBy("needle")
     rarest = counted.agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.bool_and(F.col("n").isNotNull()).alias("_all"))
     return rarest.where("_all").drop("_all")

@@ -86,7 +86,7 @@ def expand(groups: DataFrame, entities: DataFrame, within: DataFrame | None = No
 def peers_or_self(groups: DataFrame, members: DataFrame) -> DataFrame:
     """Members of each opened group, or the opening entity where there are none."""
     facts = ["id", "name", "sub_industry", "focus", *ORDER]
-    members = durable(members)
+    members = members if hasattr(members, "stored_at") else durable(members)
     inside = lookup(members, groups.select(*GROUP, "row_number"), GROUP, spread=["id"])
     alone = groups.join(members.select(*GROUP).distinct(), list(GROUP), "left_anti").select(
         *GROUP,

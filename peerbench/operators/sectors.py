@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from peerbench.constants import SECTOR_CODES, SECTOR_FILE_PATTERNS, SECTOR_PROXIES
 from peerbench.functions.labels import file_fits_sector, fits_word, sector_of_file
 from peerbench.functions.text import norm_key
-from peerbench.operators.joins import ORDER, by_shuffle, first_by, only
+from peerbench.operators.joins import ORDER, Wanted, by_shuffle, first_by
 
 
 def _values(spark: SparkSession, rows: Sequence[tuple], names: str) -> DataFrame:
@@ -49,8 +49,9 @@ def entity_sectors(ids: DataFrame, entities: DataFrame) -> DataFrame:
         *ORDER,
         sector_of_file(F.col("file")).alias("sector"),
     ).where(F.col("sector").isNotNull())
+    asked = Wanted.of(ids.select(norm_key(F.col("id")).alias("key")), ["key"])
     found = (
-        only(rows, ids.select(norm_key(F.col("id")).alias("key")), ["key"], ORDER)
+        asked.before(rows)
         .groupBy("key")
         .agg(first_by(F.col("sector"), ["file_ord"]).alias("sector"))
     )

@@ -13,7 +13,7 @@ from peerbench.functions.numbers import to_number
 from peerbench.functions.text import is_blank, norm_key
 from peerbench.operators import benchmarks, metrics as m, peers as p, report as r
 from peerbench.operators.entities import resolve
-from peerbench.operators.joins import by_shuffle, first_by, lookup, only
+from peerbench.operators.joins import Wanted, by_shuffle, first_by, lookup
 from peerbench.operators.name_index import NameIndex
 from peerbench.operators.requests import (
     FOCUS,
@@ -67,6 +67,12 @@ def _groups_of(rows: DataFrame) -> DataFrame:
     return named.distinct()
 
 
+def _members_of(named: DataFrame, groups: DataFrame, opened: DataFrame, entities: DataFrame) -> DataFrame:
+    """Members of the named groups; those of groups that requests opened are known, so entities are searched for the others."""
+    others = durable(named.join(groups.select(*p.GROUP), list(p.GROUP), "left_anti"))
+    return lookup(opened, named, p.GROUP, "left_semi", spread=["id"]).unionByName(p.expand(others, entities))
+
+
 def _in_sector_files(peer_picks: DataFrame, groups: DataFrame, metrics: DataFrame) -> DataFrame:
     """Picks from the files of the sectors asked for by a group's requests.
 
@@ -121,19 +127,22 @@ def _run(requests, entities, metrics, vendor, universe, sheet_fields, vendor_fie
     groups = durable(p.open_groups(assigned))
     status = durable(request_status(raw, assigned, groups))
 
-    peers = durable(p.peers_or_self(groups, p.expand(groups, entities)))
+    opened = durable(p.expand(groups, entities))
+    peers = durable(p.peers_or_self(groups, opened))
     ids = peers.select("id")
     sectors = durable(entity_sectors(ids, entities))
     heads = durable(r.entity_rows(peers, sectors))
 
-    members = durable(p.expand(_groups_of(peers), entities, within=peers))
+    named = durable(_groups_of(peers))
+    members = durable(_members_of(named, groups, opened, entities))
     parts = []
     values = []
     if sheet_fields:
         wanted = peers.select("id").unionByName(members.select("id"))
         wanted = wanted.select(norm_key(F.col("id")).alias("id"))
-        cells = only(metrics.withColumn("id", norm_key(F.col("id"))), wanted, ["id"], m.PLACE)
-        picks = m.judge(m.sheet_picks(cells, sheet_fields, headers=metrics)).where("is_hit")
+        asked = Wanted.of(wanted, ["id"])
+        cells = asked.before(metrics.withColumn("id", norm_key(F.col("id"))))
+        picks = asked.after(m.judge(m.sheet_picks(cells, sheet_fields, headers=metrics)).where("is_hit"))
         picks = durable(m.until_first_yield(cells, picks) if stop_after_first_hit else picks)
         own = peers.select(*p.GROUP, "id", norm_key(F.col("id")).alias("key"))
         mine = own.join(by_shuffle(picks.withColumnRenamed("id", "key")), "key")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from peerbench.operators import entities as e
 from peerbench.operators import joins, peers, requests
+from peerbench.operators.sectors import entity_sectors
 from peerbench.session import durable
 
 REQ = (
@@ -178,3 +179,55 @@ def test_hot_group_is_spread_over_tasks(spark, entities):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(r["count"] for r in sizes) == 4000
     assert len(sizes) > 4 and max(r["count"] for r in sizes) < 2000
+
+
+@pytest.fixture
+def met(monkeypatch):
+    """How many pairs of a text and a needle that it is compared with each search made."""
+    pairs = []
+    look = e.lookup
+
+    def counted(*args, **options):
+        out = look(*args, **options)
+        pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(e, "lookup", counted)
+    return pairs
+
+
+def test_needles_that_share_their_trigrams_are_not_all_compared(spark, entities, met):
+    rows = [(1, 0, i, None, f"Customer#{i:07d}", "s", None, f"I{i}") for i in range(0, 30000, 10)]
+    wanted = spark.createDataFrame([(f"customer#{i:06d}",) for i in range(6000)], "needle string")
+    found = {x["needle"]: x["id"] for x in e.find_by_name(wanted, entities(rows)).collect()}
+    assert found == {f"customer#{i:06d}": f"I{i * 10}" for i in range(3000)}
+    assert met[0] <= 2 * len(rows)
+
+
+def test_needles_of_many_lengths(spark, entities, any_join):
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdé ") for _ in range(400))
+    rows = [(1, 0, i, text[i : i + n], None, "s", None, f"I{i}") for i, n in enumerate(rng.choices(range(1, 90), k=300))]
+    rows.append((1, 0, 300, "ab" * 40, "", "s", None, "I300"))
+    needles = sorted({text[i : i + n].lower() for i, n in zip(rng.choices(range(330), k=80), rng.choices(range(2, 70), k=80))} | {"ab" * 30, "ba" * 30 + "a"})
+    want = {}
+    for n in needles:
+        hits = [r for r in rows if len(n) >= 4 and n in r[3]]
+        if hits:
+            want[n] = hits[0][7]
+    found = e.find_by_name(spark.createDataFrame([(n,) for n in needles], "needle string"), entities(rows)).collect()
+    assert {r["needle"]: r["id"] for r in found} == want
+    assert len(want) > 10
+    none = spark.createDataFrame([("abc",), (None,)], "needle string")
+    assert e.find_by_name(none, entities(rows)).count() == 0
+
+
+def test_sectors_of_many_ids_are_not_salted(spark, entities, monkeypatch):
+    rows = [(1, 0, i, None, "U", "s", None, f"I{i}") for i in range(6)]
+    found = entities(rows).withColumn("file", F.when(F.col("row_idx") < 3, "Health_Care.xlsx").otherwise("Overview.xlsx"))
+    ids = spark.createDataFrame([(" i1 ",), ("I4",), ("I9",)], "id string")
+    monkeypatch.setattr(joins, "SMALL_ROWS", 0)
+    monkeypatch.setattr(joins.lookup, "__defaults__", ("inner", (), 0, None))
+    out = entity_sectors(ids, found)
+    assert "_salt" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["id"], r["sector"]) for r in out.collect()} == {(" i1 ", "Health Care"), ("I4", None), ("I9", None)}
