@@ -1,5 +1,7 @@
 import pytest
 
+from peerbench.operators import entities as e
+from peerbench.operators import peers as p
 from peerbench.operators import report as r
 from peerbench.operators import sectors as sec
 from peerbench.operators.name_index import NameIndex
@@ -147,6 +149,35 @@ def test_a_request_sheet_drives_the_report(inputs, report, spark):
     assert sorted(found.status.collect()) == sorted(report.status.collect())
 
 
+def test_a_request_sheet_of_many_alike_names(inputs, spark, monkeypatch):
+    pairs, searched = [], []
+    look, expand = e.lookup, p.expand
+
+    def counted(*args, **options):
+        out = look(*args, **options)
+        pairs.append(out.count())
+        return out
+
+    def groups_searched(groups, *args, **options):
+        searched.append(sorted(x["group_value"] for x in groups.collect()))
+        return expand(groups, *args, **options)
+
+    monkeypatch.setattr(e, "lookup", counted)
+    monkeypatch.setattr(p, "expand", groups_searched)
+    n = 3000
+    entities = [("Consumer_A.xlsx", 1, "Key", 0, i, f"Holding {i:07d}", f"Uni {i}", f"Sub {i % 7}", f"Focus {i % 2}", f"E{i}") for i in range(n)]
+    sheet = [["Name", "Code", "GICS Sector", "Focus", "Sub-Industry", "Kennzahlen aus Excel", "Kennzahlen aus Refinitiv"]]
+    sheet += [[f"holding {i:07d}"[: 15 - i % 2], None, None, None, "X"] for i in range(n)]
+    cells = [("R", 1, "S", 0, i, j, v) for i, row in enumerate(sheet) for j, v in enumerate(row) if v is not None]
+    schema = "file string, file_ord int, sheet string, sheet_ord int, row_idx int, col_idx int, value string"
+    made = report_from_sheet(spark.createDataFrame(cells, schema), spark.createDataFrame(entities, ENT), *inputs[2:])
+    kinds = {x["status"]: x["count"] for x in made.status.groupBy("status").count().collect()}
+    assert kinds == {"by_name": 7, "duplicate_group": n - 7}
+    assert made.long.where("row_kind = 'entity'").count() == n
+    assert pairs[0] <= 8 * n
+    assert searched == [[f"Sub {i}" for i in range(7)], ["Focus 0", "Focus 1"]]  # no group twice
+
+
 def test_search_that_stops_and_search_in_an_index(inputs, report):
     index = NameIndex.write(inputs[1], buckets=4)
     found = peer_report(*inputs, ["Market Cap", "Unknown"], ["TR.EBIT", "EBIT"], names=index)
